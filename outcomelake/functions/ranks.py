@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,12 +44,30 @@ def distinct_index(df: DataFrame, value: str) -> DataFrame:
     return value_ranks(df.select(value).distinct(), value).select(value, F.col("lo").alias("idx"))
 
 
-def quantile_nearest(df: DataFrame, value: str, q: float, name: str = "cutoff") -> DataFrame:
-    """One row: the value whose 0-based rank is nearest to ``q * (n - 1)``, halves upward."""
+def quantile_nearest(df: DataFrame, value: str, q: float) -> int | None:
+    """The value whose 0-based rank is nearest to ``q * (n - 1)``, halves upward.
+
+    Two jobs of counts, each combined map-side and at most one bucket wide at the
+    driver: the first finds the bucket holding the rank, the second reads only
+    that bucket's range, which a Parquet scan can skip to.  ``df`` is evaluated
+    twice, so pass a stored table.
+    """
     if not 0.0 <= q <= 1.0:
         raise ValueError(f"q must be in [0, 1], got {q!r}")
-    ranks = value_ranks(df, value)
-    target = ranks.agg(F.floor(F.lit(q) * (F.sum("n") - 1) + F.lit(0.5)).alias("_r")).scalar()
-    return ranks.where((F.col("lo") <= target) & (target < F.col("lo") + F.col("n"))).select(
-        F.col(value).alias(name)
-    )
+    bucket = F.floor(F.col(value) / F.lit(BUCKET))
+    known = df.where(F.col(value).isNotNull())
+    sizes = sorted((r.b, r.n) for r in known.groupBy(bucket.alias("b")).agg(_rows()).collect())
+    target = math.floor(q * (sum(n for _, n in sizes) - 1) + 0.5)
+    for b, n in sizes:
+        if target < n:
+            inside = known.where((F.col(value) >= b * BUCKET) & (F.col(value) < (b + 1) * BUCKET))
+            for v, m in sorted((r.v, r.n) for r in inside.groupBy(F.col(value).alias("v")).agg(_rows()).collect()):
+                if target < m:
+                    return v
+                target -= m
+        target -= n
+    return None
+
+
+def _rows():
+    return F.count(F.lit(1)).alias("n")

@@ -7,8 +7,9 @@ carried value per slice.
 
 Bounds: with a threshold of ``limit = max(min_rows, share * rows)`` at most
 ``1/share`` keys can exceed it, and a key with ``n`` rows is cut into at most
-``slices_per_limit * n / limit + 1`` slices, so the two broadcast tables hold at
-most ``1/share`` and ``(slices_per_limit + 1)/share`` rows however large the input is.
+``slices_per_limit * n / limit + 1`` slices, so the key table holds at most
+``1/share`` rows and the carry table ``(slices_per_limit + 1)/share``, however
+large the input is.  Within a slice the rows of one second stay together.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
-COLD = -1
 
 
 @dataclass(frozen=True)
@@ -32,23 +32,27 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 
 
-def hot_keys(df: DataFrame, keys: list[str], ts: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Keys above the limit with the start and width of their time slices.
+def hot_keys(
+    df: DataFrame, keys: list[str], ts: str, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame | None:
+    """Keys above the limit with the start and width of their time slices, None if there are none.
 
-    One pass over the key and time columns only, combined map-side; the total is
-    a scalar subquery over the same aggregate, so its exchange is reused.
+    One job over the key and time columns, combined map-side.  It runs at once,
+    like a pivot without values does, so that inputs without a hot key get a
+    plain one-shuffle window.
     """
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi")
     )
-    total = stats.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total")).select(
-        F.greatest(F.lit(policy.min_rows), F.ceil(F.col("_total") * F.lit(policy.share))).alias("_limit")
-    )
-    limit = total.scalar()
+    limit = stats.agg(
+        F.expr(f"greatest({policy.min_rows}, ceil(coalesce(sum(_n), 0) * {policy.share!r}))")
+    ).scalar()
     width = (F.col("_hi") - F.col("_lo") + 1) * limit / (F.col("_n") * F.lit(policy.slices_per_limit))
-    return stats.where(F.col("_n") > limit).select(
+    hot = stats.where(F.col("_n") > limit).select(
         *keys, F.col("_lo"), F.greatest(F.lit(1).cast("long"), F.ceil(width)).alias("_width")
     )
+    rows = hot.collect()
+    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
 def _slice_number(ts: str) -> Column:
@@ -57,18 +61,13 @@ def _slice_number(ts: str) -> Column:
 
 def slice_rows(df: DataFrame, hot: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """Every row with its slice number; rows of ordinary keys share slice -1."""
-    return (
-        df.join(F.broadcast(hot), keys, "left")
-        .withColumn(SLICE, F.coalesce(_slice_number(ts), F.lit(COLD).cast("long")))
-        .drop("_lo", "_width")
-    )
+    number = F.coalesce(_slice_number(ts), F.lit(-1).cast("long"))
+    return df.join(F.broadcast(hot), keys, "left").withColumn(SLICE, number).drop("_lo", "_width")
 
 
 def hot_rows(df: DataFrame, hot: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Only rows of hot keys, sliced; with no hot key AQE drops the scan."""
-    return (
-        df.join(F.broadcast(hot), keys, "inner").withColumn(SLICE, _slice_number(ts)).drop("_lo", "_width")
-    )
+    """Only the rows of hot keys, sliced."""
+    return df.join(F.broadcast(hot), keys).withColumn(SLICE, _slice_number(ts)).drop("_lo", "_width")
 
 
 def running_sum(
@@ -81,23 +80,22 @@ def running_sum(
     """``sums`` maps output names to integer columns summed per key up to each row."""
     ts, tie = order
     hot = hot_keys(df, keys, ts, policy)
-    within = (
-        Window.partitionBy(*keys, SLICE)
-        .orderBy(ts, tie)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    before = (
-        Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    group = keys if hot is None else [*keys, SLICE]
+    upto = Window.partitionBy(*group).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
+    totals = {out: F.sum(c).over(upto) for out, c in sums.items()}
+    if hot is None:
+        return df.withColumns(totals)
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         hot_rows(df, hot, keys, ts)
         .groupBy(*keys, SLICE)
         .agg(*[F.sum(c).alias(f"_t_{out}") for out, c in sums.items()])
         .select(*keys, SLICE, *[F.sum(f"_t_{out}").over(before).alias(f"_c_{out}") for out in sums])
     )
-    local = slice_rows(df, hot, keys, ts).withColumns({o: F.sum(c).over(within) for o, c in sums.items()})
     return (
-        local.join(F.broadcast(carry), [*keys, SLICE], "left")
+        slice_rows(df, hot, keys, ts)
+        .withColumns(totals)
+        .join(F.broadcast(carry), [*keys, SLICE], "left")
         .withColumns({o: F.col(o) + F.coalesce(F.col(f"_c_{o}"), F.lit(0)) for o in sums})
         .drop(SLICE, *[f"_c_{o}" for o in sums])
     )

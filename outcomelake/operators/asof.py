@@ -43,30 +43,32 @@ def asof_forward(
         allowMissingColumns=True,
     )
     hot = hot_keys(stacked, keys, "_t", policy)
+    group = keys if hot is None else [*keys, SLICE]
     back = (
-        Window.partitionBy(*keys, SLICE)
+        Window.partitionBy(*group)
         .orderBy(F.desc("_t"), F.desc("_tag"), F.desc("_tie"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    later = (
-        Window.partitionBy(*keys).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    walked = stacked if hot is None else slice_rows(stacked, hot, keys, "_t")
+    local = walked.withColumn("_next", F.last("_print", ignorenulls=True).over(back)).where(
+        F.col("_signal").isNotNull()
     )
-    first_in_slice = F.min_by("_print", F.when(F.col("_print").isNotNull(), F.struct("_t", "_tie")))
-    carry = (
+    if hot is not None:
+        local = local.join(F.broadcast(_first_print_later(stacked, hot, keys)), [*keys, SLICE], "left")
+        local = local.withColumn("_next", F.coalesce("_next", "_carried"))
+    return local.select("_signal.*", *[F.col(f"_next.{out}").alias(out) for out in take])
+
+
+def _first_print_later(stacked: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Per slice of a hot key, the first print of the slices after it."""
+    key = F.when(F.col("_print").isNotNull(), F.struct("_t", "_tie"))
+    later = Window.partitionBy(*keys).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    return (
         hot_rows(stacked, hot, keys, "_t")
         .groupBy(*keys, SLICE)
-        .agg(first_in_slice.alias("_first"))
+        .agg(F.min_by("_print", key).alias("_first"))
         .select(*keys, SLICE, F.last("_first", ignorenulls=True).over(later).alias("_carried"))
     )
-    local = slice_rows(stacked, hot, keys, "_t").withColumn(
-        "_next", F.last("_print", ignorenulls=True).over(back)
-    )
-    return (
-        local.where(F.col("_signal").isNotNull())
-        .join(F.broadcast(carry), [*keys, SLICE], "left")
-        .withColumn("_next", F.coalesce("_next", "_carried"))
-        .select("_signal.*", *[F.col(f"_next.{out}").alias(out) for out in take])
-    )
 
 
 def align_to_clock(

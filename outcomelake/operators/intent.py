@@ -75,14 +75,13 @@ def punter_player_stats(bets: DataFrame, win_threshold: float = 0.98) -> DataFra
     return compute_player_stats(bets, player_side="taker", win_threshold=win_threshold)
 
 
-def entry_cutoff(entries: DataFrame, q: float = 0.7) -> DataFrame:
-    """One row with the entry time at quantile ``q``."""
+def entry_cutoff(entries: DataFrame, q: float = 0.7) -> int | None:
+    """The entry time at quantile ``q``."""
     return quantile_nearest(entries, "timestamp", q)
 
 
-def leader_cohort(entries: DataFrame, q: float = 0.7, n: int = 5) -> DataFrame:
+def leader_cohort(entries: DataFrame, cutoff: int, n: int = 5) -> DataFrame:
     """W05 — the takers with the most entries before the cutoff."""
-    cutoff = entry_cutoff(entries, q).scalar()
     return (
         entries.where(F.col("timestamp") < cutoff)
         .groupBy("taker")

@@ -9,7 +9,6 @@ definition of the input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from outcomelake.session import use_utc
 
@@ -18,258 +17,188 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _seconds(column: str):
-    return F.unix_seconds(F.col(column).cast("timestamp"))
-
-
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    ev = table(spark, sf_dir, "events").select(
-        "event_id",
-        _seconds("ts").alias("timestamp"),
-        k.alias("k"),
-        F.floor(F.least(F.col("value"), F.lit(60.0)) * 100 / 60).cast("int").alias("ticks"),
-        (1 + F.col("event_id") % 5).alias("tok"),
-        "user_id",
-        F.col("event_type").isin("error", "signup").alias("sells"),
+    ev = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id", "event_type IN ('error', 'signup') AS sells",
+        "unix_seconds(CAST(ts AS timestamp)) AS timestamp",
+        "CAST(get_json_object(props, '$.k') AS int) AS k",
+        "CAST(floor(least(value, 60.0D) * 100 / 60) AS int) AS ticks", "1 + event_id % 5 AS tok",
     )
-    return ev.where("ticks > 0").select(
-        "timestamp",
-        F.concat(F.lit("M"), "k").alias("market_id"),
-        F.concat(F.lit("U"), (F.col("user_id") + F.col("event_id") % 13) % 20).alias("maker"),
-        F.concat(F.lit("U"), F.col("user_id") % 20).alias("taker"),
-        F.when(F.col("event_id") % 2 == 0, "token1").otherwise("token2").alias("nonusdc_side"),
-        F.when(F.col("sells"), "BUY").otherwise("SELL").alias("maker_direction"),
-        F.when(F.col("sells"), "SELL").otherwise("BUY").alias("taker_direction"),
-        (F.col("ticks") / F.lit(100.0)).alias("price"),
-        (F.col("ticks") * F.col("tok") / F.lit(100.0)).alias("usd_amount"),
-        F.col("tok").cast("double").alias("token_amount"),
-        F.concat(F.lit("x"), F.floor(F.col("event_id") / 3)).alias("transactionHash"),
-        F.col("event_id").alias("orderfilled_id"),
+    return ev.where("ticks > 0").selectExpr(
+        "timestamp", "concat('M', k) AS market_id",
+        "concat('U', (user_id + event_id % 13) % 20) AS maker", "concat('U', user_id % 20) AS taker",
+        "if(event_id % 2 = 0, 'token1', 'token2') AS nonusdc_side",
+        "if(sells, 'BUY', 'SELL') AS maker_direction", "if(sells, 'SELL', 'BUY') AS taker_direction",
+        "ticks / 100.0D AS price", "ticks * tok / 100.0D AS usd_amount",
+        "CAST(tok AS double) AS token_amount", "concat('x', event_id div 3) AS transactionHash",
+        "event_id AS orderfilled_id",
     )
 
 
+def _market_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(get_json_object(props, '$.k') AS int) AS k"
+    ).distinct().selectExpr("k", "1704844800 + (k % 15) * 86400 AS resolved")
+
+
 def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = table(spark, sf_dir, "events").select(
-        F.get_json_object("props", "$.k").cast("int").alias("k")
-    ).distinct()
-    resolved = F.lit(1704844800) + (F.col("k") % 15) * 86400
-    return k.select(
-        F.concat(F.lit("M"), "k").alias("id"),
-        F.concat(F.lit("t"), "k", F.lit("a")).alias("token1"),
-        F.concat(F.lit("t"), "k", F.lit("b")).alias("token2"),
-        F.when(F.col("k") % 2 == 1, "Politics").otherwise("Sports").alias("category"),
-        F.concat(F.lit("tick"), "k").alias("ticker"),
-        F.concat(F.lit("Question "), "k").alias("question"),
-        F.when(
-            F.col("k") % 5 != 0,
-            F.date_format(F.timestamp_seconds(resolved), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
-        ).otherwise("").alias("closedTime"),
+    iso = "date_format(timestamp_seconds(resolved), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+    return _market_numbers(spark, sf_dir).selectExpr(
+        "concat('M', k) AS id", "concat('t', k, 'a') AS token1", "concat('t', k, 'b') AS token2",
+        "if(k % 2 = 1, 'Politics', 'Sports') AS category", "concat('tick', k) AS ticker",
+        "concat('Question ', k) AS question", f"if(k % 5 <> 0, {iso}, '') AS closedTime",
     )
 
 
 def market_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = table(spark, sf_dir, "events").select(
-        F.get_json_object("props", "$.k").cast("int").alias("k")
-    ).distinct()
-    return k.where("k % 5 <> 0").select(
-        F.concat(F.lit("M"), "k").alias("market_id"),
-        F.when(F.col("k") % 2 == 0, "token1").otherwise("token2").alias("winner_token"),
-        (F.lit(1704844800) + (F.col("k") % 15) * 86400).cast("long").alias("resolved_at"),
+    return _market_numbers(spark, sf_dir).where("k % 5 <> 0").selectExpr(
+        "concat('M', k) AS market_id", "if(k % 2 = 0, 'token1', 'token2') AS winner_token",
+        "CAST(resolved AS bigint) AS resolved_at",
     )
 
 
+_FILL_ID = (
+    "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS int), "
+    "CAST(rint(l_extendedprice * 100) AS bigint), day)"
+)
+_ASSET = "concat('p', l_partkey, if(l_linenumber % 2 = 1, 'a', 'b'))"
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    line = table(spark, sf_dir, "lineitem")
+    return line.join(orders, line.l_orderkey == orders.o_orderkey).selectExpr(
+        "*", "unix_seconds(CAST(l_shipdate AS timestamp)) AS ship", "rint(l_discount * 100) / 10.0D AS px"
+    ).selectExpr("*", "ship div 86400 AS day", "ship + l_orderkey % 86400 AS at")
+
+
 def fills_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw second-generation fills; returned lines were fetched again later, corrected to taker fills."""
-    line = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    day = F.floor(_seconds("l_shipdate") / 86400)
-    cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
-    ts = _seconds("l_shipdate") + F.col("l_orderkey") % 86400
-    price = F.rint(F.col("l_discount") * 100) / F.lit(10.0)
-    base = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat_ws(
-            "-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-            F.col("l_quantity").cast("int"), cents, day,
-        ).alias("id"),
-        F.lit("0xabc").alias("exchange"),
-        F.col("l_linenumber").cast("long").alias("log_index"),
-        ts.alias("timestamp"),
-        (day * 1000 + F.col("l_orderkey") % 1000).alias("block_number"),
-        ts.alias("block_timestamp"),
-        F.concat(F.lit("tx"), "l_orderkey").alias("transaction_hash"),
-        F.concat(F.lit("C"), "o_custkey").alias("user_id"),
-        F.concat(
-            F.lit("p"), "l_partkey", F.when(F.col("l_linenumber") % 2 == 1, "a").otherwise("b")
-        ).alias("asset"),
-        (price * F.col("l_quantity")).alias("amount_usdc"),
-        F.col("l_quantity").alias("amount_shares"),
-        price.alias("price"),
-        F.when(F.col("l_linestatus") == "O", "buy").otherwise("SELL").alias("side"),
-        F.concat(F.lit("o"), "l_orderkey").alias("order_hash"),
-        F.concat(F.lit("S"), "l_suppkey").alias("counterparty_id"),
-        F.when(F.col("l_linenumber") <= 5, "maker").otherwise("TAKER").alias("order_type"),
-        F.col("l_tax").alias("fee"),
-        F.concat(F.lit("b"), F.col("l_suppkey") % 10).alias("builder"),
-        F.col("l_returnflag").alias("_flag"),
-    )
-    copies = F.when(F.col("_flag") == "R", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    seq = base.withColumn("ingest_seq", F.explode(copies)).drop("_flag")
-    return seq.withColumn(
-        "order_type", F.when(F.col("ingest_seq") == 1, "taker").otherwise(F.col("order_type"))
+    return _lines(spark, sf_dir).selectExpr(
+        "*", "explode(if(l_returnflag = 'R', array(0, 1), array(0))) AS ingest_seq"
+    ).selectExpr(
+        f"{_FILL_ID} AS id", "'0xabc' AS exchange", "CAST(l_linenumber AS bigint) AS log_index",
+        "at AS timestamp", "day * 1000 + l_orderkey % 1000 AS block_number", "at AS block_timestamp",
+        "concat('tx', l_orderkey) AS transaction_hash", "concat('C', o_custkey) AS user_id",
+        f"{_ASSET} AS asset", "px * l_quantity AS amount_usdc", "l_quantity AS amount_shares",
+        "px AS price", "if(l_linestatus = 'O', 'buy', 'SELL') AS side",
+        "concat('o', l_orderkey) AS order_hash", "concat('S', l_suppkey) AS counterparty_id",
+        "CASE WHEN ingest_seq = 1 THEN 'taker' WHEN l_linenumber <= 5 THEN 'maker' ELSE 'TAKER' END "
+        "AS order_type",
+        "l_tax AS fee", "concat('b', l_suppkey % 10) AS builder", "ingest_seq",
     )
 
 
 def fills_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw first-generation fills: amounts as text in 1e-6 units, asset "0" is the cash side."""
-    line = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    day = F.floor(_seconds("l_shipdate") / 86400)
-    cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
-    price = F.rint(F.col("l_discount") * 100) / F.lit(10.0)
-    usd = F.rint(price * F.col("l_quantity") * 1_000_000).cast("long").cast("string")
-    tokens = F.rint(F.col("l_quantity") * 1_000_000).cast("long").cast("string")
-    asset = F.concat(
-        F.lit("p"), "l_partkey", F.when(F.col("l_linenumber") % 2 == 1, "a").otherwise("b")
-    )
-    buys = F.col("l_linestatus") == "O"
-    cross = F.col("l_linenumber") == 7
-    return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat_ws(
-            "-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-            F.col("l_quantity").cast("int"), cents, day,
-        ).alias("id"),
-        (_seconds("l_shipdate") + F.col("l_orderkey") % 86400).alias("timestamp"),
-        F.concat(F.lit("C"), "o_custkey").alias("maker"),
-        F.when(buys & ~cross, F.lit("0")).otherwise(asset).alias("makerAssetId"),
-        F.when(buys, usd).otherwise(tokens).alias("makerAmountFilled"),
-        F.concat(F.lit("S"), "l_suppkey").alias("taker"),
-        F.when(buys | cross, asset).otherwise(F.lit("0")).alias("takerAssetId"),
-        F.when(buys, tokens).otherwise(usd).alias("takerAmountFilled"),
-        F.concat(F.lit("tx"), "l_orderkey").alias("transactionHash"),
+    usd = "CAST(CAST(rint(px * l_quantity * 1000000) AS bigint) AS string)"
+    tokens = "CAST(CAST(rint(l_quantity * 1000000) AS bigint) AS string)"
+    return _lines(spark, sf_dir).selectExpr(
+        f"{_FILL_ID} AS id", "at AS timestamp", "concat('C', o_custkey) AS maker",
+        f"if(l_linestatus = 'O' AND l_linenumber <> 7, '0', {_ASSET}) AS makerAssetId",
+        f"if(l_linestatus = 'O', {usd}, {tokens}) AS makerAmountFilled",
+        "concat('S', l_suppkey) AS taker",
+        f"if(l_linestatus = 'O' OR l_linenumber = 7, {_ASSET}, '0') AS takerAssetId",
+        f"if(l_linestatus = 'O', {tokens}, {usd}) AS takerAmountFilled",
+        "concat('tx', l_orderkey) AS transactionHash",
     )
 
 
 def part_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market metadata from ``part``; the largest parts have no metadata."""
-    return table(spark, sf_dir, "part").where("p_size < 50").select(
-        F.concat(F.lit("P"), "p_partkey").alias("id"),
-        F.concat(F.lit("p"), "p_partkey", F.lit("a")).alias("token1"),
-        F.when(F.col("p_partkey") % 41 == 0, "").otherwise(
-            F.concat(F.lit("p"), "p_partkey", F.lit("b"))
-        ).alias("token2"),
-        F.col("p_name").alias("question"),
-        F.when(F.col("p_size") % 4 == 0, F.lit(None).cast("string")).otherwise(
-            F.col("p_type")
-        ).alias("category"),
-        (F.lit(1577836800) + F.col("p_partkey") * 60).alias("timestamp"),
-        "p_size",
+    return table(spark, sf_dir, "part").where("p_size < 50").selectExpr(
+        "concat('P', p_partkey) AS id", "concat('p', p_partkey, 'a') AS token1",
+        "if(p_partkey % 41 = 0, '', concat('p', p_partkey, 'b')) AS token2", "p_name AS question",
+        "if(p_size % 4 = 0, CAST(NULL AS string), p_type) AS category",
+        "1577836800 + p_partkey * 60 AS timestamp", "p_partkey", "p_size",
     )
 
 
+_MARKET_COLUMNS = ("id", "token1", "token2", "question", "category", "timestamp")
+
+
 def market_versions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Canonical, discovered and refreshed rows; only some of them carry ``observed_at``."""
     base = part_markets(spark, sf_dir)
-    key = F.substring("id", 2, 20).cast("long")
-    nanos = (F.lit(1700000000) + key % 1000) * F.lit(1_000_000_000)
-    seen = F.when(F.col("p_size").between(10, 20), F.lit(None).cast("long")).otherwise(nanos)
     return {
-        "markets": base.withColumn("observed_at", seen).drop("p_size"),
-        "missing_markets": base.where("p_size <= 7")
-        .withColumn("question", F.concat(F.lit("found "), "question"))
-        .drop("category", "p_size"),
+        "markets": base.selectExpr(
+            *_MARKET_COLUMNS,
+            "if(p_size BETWEEN 10 AND 20, CAST(NULL AS bigint), "
+            "(1700000000 + p_partkey % 1000) * 1000000000) AS observed_at",
+        ),
+        "missing_markets": base.where("p_size <= 7").selectExpr(
+            "id", "token1", "token2", "concat('found ', question) AS question", "timestamp"
+        ),
         "market_refreshes": base.where("p_size % 5 = 0")
-        .withColumn("question", F.concat(F.lit("new "), "question"))
-        .withColumn("version", F.explode(F.array(F.lit(1), F.lit(2))))
-        .withColumn("question", F.concat("question", F.lit(" v"), "version"))
-        .withColumn("observed_at", F.lit(1710000000) + F.col("version"))
-        .drop("version", "p_size"),
+        .selectExpr("*", "explode(array(1, 2)) AS version")
+        .selectExpr(
+            "id", "token1", "token2", "concat('new ', question, ' v', version) AS question", "category",
+            "timestamp", "CAST(1710000000 + version AS bigint) AS observed_at",
+        ),
     }
 
 
 def raw_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw metadata objects as JSON lines (column ``value``)."""
-    p = table(spark, sf_dir, "part")
-    key = F.col("p_partkey")
-    tokens = F.when(key % 37 == 0, F.concat(F.lit('["p'), key, F.lit('a"]'))).when(
-        key % 43 == 0, "not json"
-    ).otherwise(F.concat(F.lit('["p'), key, F.lit('a", "p'), key, F.lit('b"]')))
-    prices = (
-        F.when(key % 4 == 0, '["1","0"]')
-        .when(key % 4 == 1, '["0","1.0"]')
-        .when(key % 4 == 2, '["0.5","0.5"]')
-        .otherwise("broken")
-    )
-    created = F.date_format(F.timestamp_seconds(F.lit(1600000000) + key), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    closed = F.date_format(F.timestamp_seconds(F.lit(1650000000) + key), "yyyy-MM-dd HH:mm:ss")
-    obj = F.struct(
-        F.concat(F.lit("P"), key).alias("id"),
-        F.when(key % 6 != 0, F.col("p_name")).alias("question"),
-        F.concat(F.lit("title "), key).alias("title"),
-        F.lit('["Yes", "No"]').alias("outcomes"),
-        tokens.alias("clobTokenIds"),
-        (key % 8 == 0).alias("negRiskAugmented"),
-        (key % 12 == 0).alias("negRiskOther"),
-        F.when(key % 3 == 0, F.col("p_type")).alias("category"),
-        F.array(
-            F.struct(F.col("p_brand").alias("ticker"), F.lower("p_type").alias("category"))
-        ).alias("events"),
-        created.alias("createdAt"),
-        F.when(key % 10 == 0, "soon").otherwise(closed).alias("closedTime"),
-        (key % 5 != 0).alias("closed"),
-        prices.alias("outcomePrices"),
-        F.concat(F.lit("slug-"), key).alias("slug"),
-        F.concat(F.lit("0xc"), key).alias("conditionId"),
-        F.col("p_retailprice").cast("string").alias("volume"),
-    )
-    return p.select(F.to_json(obj).alias("value"))
+    fields = {
+        "id": "concat('P', p_partkey)",
+        "question": "if(p_size % 6 <> 0, p_name, NULL)",
+        "title": "concat('title ', p_partkey)",
+        "outcomes": "'[\"Yes\", \"No\"]'",
+        "clobTokenIds": "CASE WHEN p_partkey % 37 = 0 THEN concat('[\"p', p_partkey, 'a\"]') "
+                        "WHEN p_partkey % 43 = 0 THEN 'not json' "
+                        "ELSE concat('[\"p', p_partkey, 'a\", \"p', p_partkey, 'b\"]') END",
+        "negRiskAugmented": "p_partkey % 8 = 0",
+        "negRiskOther": "p_partkey % 12 = 0",
+        "category": "if(p_size % 3 = 0, p_type, NULL)",
+        "events": "array(named_struct('ticker', p_brand, 'category', lower(p_type)))",
+        "createdAt": "date_format(timestamp_seconds(1600000000 + p_partkey), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
+        "closedTime": "if(p_partkey % 10 = 0, 'soon', "
+                      "date_format(timestamp_seconds(1650000000 + p_partkey), 'yyyy-MM-dd HH:mm:ss'))",
+        "closed": "p_partkey % 5 <> 0",
+        "outcomePrices": "CASE p_partkey % 4 WHEN 0 THEN '[\"1\",\"0\"]' WHEN 1 THEN '[\"0\",\"1.0\"]' "
+                         "WHEN 2 THEN '[\"0.5\",\"0.5\"]' ELSE 'broken' END",
+        "slug": "concat('slug-', p_partkey)",
+        "conditionId": "concat('0xc', p_partkey)",
+        "volume": "CAST(p_size AS string)",
+    }
+    inner = ", ".join(f"'{name}', {expr}" for name, expr in fields.items())
+    return table(spark, sf_dir, "part").selectExpr(f"to_json(named_struct({inner})) AS value")
 
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Hex-encoded fill logs, match logs and block times built from ``lineitem``."""
-    fills = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_linestatus",
-        F.col("l_quantity").cast("long").alias("qty"),
-        F.rint(F.col("l_discount") * 100).cast("long").alias("disc"),
-        F.rint(F.col("l_extendedprice") * 100).cast("long").alias("cents"),
-        F.floor(_seconds("l_shipdate") / 86400).alias("day"),
+    fills = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linestatus", "CAST(l_linenumber AS bigint) AS log",
+        "CAST(l_quantity AS bigint) * 1000000 AS shares",
+        "CAST(l_quantity AS bigint) * CAST(rint(l_discount * 100) AS bigint) * 100000 AS usd",
+        "CAST(rint(l_discount * 100) AS bigint) AS disc",
+        "CAST(rint(l_extendedprice * 100) AS bigint) AS cents",
+        "unix_seconds(CAST(l_shipdate AS timestamp)) div 86400 AS day",
+    ).selectExpr(
+        "*", "log % 2 AS sells", "concat_ws('-', '0xTX', l_orderkey, l_partkey, cents, day) AS tx"
     )
 
-    def word(c):
-        return F.lpad(F.lower(F.hex(c)), 64, "0")
+    def word(expr: str) -> str:
+        return f"lpad(lower(hex({expr})), 64, '0')"
 
-    shares = F.col("qty") * 1_000_000
-    usd = F.col("qty") * F.col("disc") * 100_000
-    sells = F.col("l_linenumber") % 2
-    buy = sells == 0
     # Token ids beyond 64 bits: 2^96 plus the part key.
-    token = F.lpad(F.concat(F.lit("1"), F.lpad(F.lower(F.hex("l_partkey")), 24, "0")), 64, "0")
-    tx = F.concat(F.lit("0xTX"), "l_orderkey", F.lit("p"), "l_partkey", F.lit("c"), "cents", F.lit("d"), "day")
-    order_hash = F.concat(F.lit("0xA"), word(F.col("l_orderkey")))
-    logs = fills.select(
-        F.lit("0xEXCHANGE").alias("address"),
-        F.concat(F.lit("0x"), F.hex(F.col("day"))).alias("blockNumber"),
-        tx.alias("transactionHash"),
-        F.concat(F.lit("0x"), F.hex("l_suppkey")).alias("transactionIndex"),
-        F.concat(F.lit("0x"), F.hex(F.col("l_linenumber").cast("long"))).alias("logIndex"),
-        F.array(
-            F.lit("0xfill"), order_hash,
-            F.concat(F.lit("0x"), word(F.col("l_suppkey"))),
-            F.concat(F.lit("0x"), word(F.col("l_partkey"))),
-        ).alias("topics"),
-        F.concat(
-            F.lit("0x"), word(sells.cast("long")), token,
-            word(F.when(buy, usd).otherwise(shares)), word(F.when(buy, shares).otherwise(usd)),
-            word(F.col("disc")), word(F.col("l_suppkey")), word(F.col("day")),
-        ).alias("data"),
+    token = "lpad(concat('1', lpad(lower(hex(l_partkey)), 24, '0')), 64, '0')"
+    order = f"concat('0xA', {word('l_orderkey')})"
+    data = ", ".join([
+        word("sells"), token, word("if(sells = 0, usd, shares)"), word("if(sells = 0, shares, usd)"),
+        word("disc"), word("l_suppkey"), word("day"),
+    ])
+    logs = fills.selectExpr(
+        "'0xEXCHANGE' AS address", "concat('0x', hex(day)) AS blockNumber", "tx AS transactionHash",
+        "concat('0x', hex(l_suppkey)) AS transactionIndex", "concat('0x', hex(log)) AS logIndex",
+        f"array('0xfill', {order}, concat('0x', {word('l_suppkey')}), concat('0x', {word('l_partkey')})) AS topics",
+        f"concat('0x', {data}) AS data",
     )
-    matches = fills.where("l_linestatus = 'F'").select(
-        F.upper(tx).alias("transactionHash"),
-        F.array(F.lit("0xmatch"), order_hash, F.lit("0x00")).alias("topics"),
+    matches = fills.where("l_linestatus = 'F'").selectExpr(
+        "upper(tx) AS transactionHash", f"array('0xmatch', {order}, '0x00') AS topics"
     )
-    blocks = fills.select(
-        F.col("day").alias("block_number"), (F.col("day") * 86400).alias("block_timestamp")
-    ).distinct()
+    blocks = fills.selectExpr("day AS block_number", "day * 86400 AS block_timestamp").distinct()
     return logs, matches, blocks
 
 
@@ -427,7 +356,7 @@ CTES["bars"] = (("trades",), """
          count(*) AS n_trades
   FROM trades GROUP BY 1, 2, 3""")
 CTES["signals"] = (("bars",), """
-  SELECT *, CAST(c3 > m3 AS INTEGER) AS signal
+  SELECT * EXCLUDE (c3, m3), CAST(c3 > m3 AS INTEGER) AS signal
   FROM (SELECT market_id, nonusdc_side, timestamp, close, usd_volume, n_trades, 3 * micro_(close) AS c3, m3,
                CASE WHEN n3 = 3 THEN m3 / 1000000 / 3 END AS moving_average
         FROM (SELECT *, sum(micro_(close)) OVER w AS m3, count(*) OVER w AS n3 FROM bars
@@ -457,7 +386,7 @@ def with_ctes(sql: str, *names: str) -> str:
 def expand_macros(text: str) -> str:
     """``micro_(x)`` is an exact 1e-6 integer and ``usd_(x)`` turns a sum of them into DOUBLE."""
     for name, head, tail in (
-        ("micro_(", "CAST(round_even(", " * 1000000, 0) AS BIGINT)"),
+        ("micro_(", "CAST(round_even((", ") * 1000000, 0) AS BIGINT)"),
         ("usd_(", "(CAST(CAST(", " AS BIGINT) AS DOUBLE) / 1000000)"),
     ):
         while (start := text.find(name)) >= 0:

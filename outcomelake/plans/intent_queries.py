@@ -11,6 +11,7 @@ from outcomelake.operators.positions import market_resolution
 from outcomelake.plans.fixtures import market_outcomes, trades
 from outcomelake.plans.positions_queries import _STATS, rounded
 from outcomelake.plans.registry import query
+from outcomelake.session import materialize
 
 
 def _timeline(spark, sf):
@@ -18,7 +19,8 @@ def _timeline(spark, sf):
 
 
 def _entries(spark, sf):
-    return I.entries_only(_timeline(spark, sf))
+    """Stored once: the cutoff, the cohort and the signals all read them."""
+    return materialize(I.entries_only(_timeline(spark, sf)), "entries")
 
 
 @query("w01_punter_view", "SELECT * FROM punter", ("punter",))
@@ -33,7 +35,7 @@ def _(spark, sf):
 
 @query("w03_entries_only", "SELECT * FROM entries", ("entries",))
 def _(spark, sf):
-    return _entries(spark, sf)
+    return I.entries_only(_timeline(spark, sf))
 
 
 _PUNTER_TABLES = """
@@ -63,12 +65,13 @@ def _(spark, sf):
 
 @query("w05_leader_cohort", "SELECT * FROM leaders", ("leaders",))
 def _(spark, sf):
-    return I.leader_cohort(_entries(spark, sf))
+    entries = _entries(spark, sf)
+    return I.leader_cohort(entries, I.entry_cutoff(entries))
 
 
 @query("w06_random_cohort")
 def _(spark, sf):
-    return I.random_cohort(_entries(spark, sf), seed=7, n=5)
+    return I.random_cohort(I.entries_only(_timeline(spark, sf)), seed=7, n=5)
 
 
 _NEXT_PRINT = """
@@ -90,7 +93,7 @@ _W07_VIEWS = ("entries", "punter", "cutoff", "resolutions")
 def _next_prints(spark, sf):
     t = trades(spark, sf)
     entries = _entries(spark, sf)
-    test = entries.where(F.col("timestamp") >= I.entry_cutoff(entries).scalar())
+    test = entries.where(F.col("timestamp") >= I.entry_cutoff(entries))
     return B.next_print_asof(test, I.punter_view(t), market_resolution(t), tolerance_secs=7200)
 
 
@@ -117,9 +120,9 @@ def _(spark, sf):
 def _copy_candidates(spark, sf, fee_bps=10.0):
     t = trades(spark, sf)
     entries = _entries(spark, sf)
-    cutoff = I.entry_cutoff(entries).scalar()
-    end = t.agg(F.max("timestamp") + 1).scalar()
-    signals = B.leader_signals(entries, I.leader_cohort(entries), cutoff, end)
+    cutoff = I.entry_cutoff(entries)
+    end = t.agg(F.max("timestamp")).first()[0] + 1
+    signals = B.leader_signals(entries, I.leader_cohort(entries, cutoff), cutoff, end)
     return B.copy_fill_asof(
         signals, I.punter_view(t), market_outcomes(spark, sf), end, latency_secs=60, fee_bps=fee_bps
     )
@@ -227,7 +230,7 @@ _TEST_BARS = """
 
 
 def _test_bars(spark, sf):
-    return B.walk_forward_test(B.sma_signal(_bars(spark, sf)))
+    return B.walk_forward_test(materialize(B.sma_signal(_bars(spark, sf)), "signals"))
 
 
 @query("w13_buy_and_hold", f"""
@@ -258,29 +261,29 @@ def _backtest(spark, sf):
 
 
 @query("w14_backtest_equity", f"""
-  SELECT market_id, nonusdc_side, timestamp, round(cash, 6) + 0.0 AS cash, shares,
-         round(marked_equity, 6) + 0.0 AS marked_equity, round(exposure, 6) AS exposure, round(drawdown, 6) AS drawdown
+  SELECT market_id, nonusdc_side, timestamp, round(cash, 9) + 0.0 AS cash, shares,
+         round(marked_equity, 9) + 0.0 AS marked_equity, round(exposure, 9) AS exposure, round(drawdown, 9) AS drawdown
   FROM ({_STEPS})""", ("signals",))
 def _(spark, sf):
-    out = rounded(_backtest(spark, sf).equity, "cash", "marked_equity", "exposure", "drawdown")
+    out = rounded(_backtest(spark, sf).equity, "cash", "marked_equity", "exposure", "drawdown", digits=9)
     return out.withColumns({c: F.col(c) + F.lit(0.0) for c in ("cash", "marked_equity")})
 
 
 @query("w14_backtest_fills", f"""
   SELECT market_id, nonusdc_side, signal_timestamp, timestamp AS fill_timestamp,
-         CAST(shares AS BIGINT) AS target_shares, delta AS delta_shares, round(fill_price, 6) AS fill_price,
-         round(abs(delta) * fill_price * (10.0::DOUBLE / 10000), 6) AS fee,
-         round(abs(delta) * fill_price, 6) AS notional FROM ({_STEPS}) WHERE delta <> 0""", ("signals",))
+         CAST(shares AS BIGINT) AS target_shares, delta AS delta_shares, round(fill_price, 9) AS fill_price,
+         round(abs(delta) * fill_price * (10.0::DOUBLE / 10000), 9) AS fee,
+         round(abs(delta) * fill_price, 9) AS notional FROM ({_STEPS}) WHERE delta <> 0""", ("signals",))
 def _(spark, sf):
-    return rounded(_backtest(spark, sf).fills, "fill_price", "fee", "notional")
+    return rounded(_backtest(spark, sf).fills, "fill_price", "fee", "notional", digits=9)
 
 
 @query("w14_backtest_summary", f"""
-  SELECT market_id, nonusdc_side, round(sum(abs(delta) * fill_price), 6) AS turnover,
-         round(max(drawdown), 6) AS max_drawdown, round(arg_max(marked_equity, timestamp), 6) + 0.0 AS final_equity
+  SELECT market_id, nonusdc_side, round(sum(abs(delta) * fill_price), 9) AS turnover,
+         round(max(drawdown), 9) AS max_drawdown, round(arg_max(marked_equity, timestamp), 9) + 0.0 AS final_equity
   FROM ({_STEPS}) GROUP BY 1, 2""", ("signals",))
 def _(spark, sf):
-    out = rounded(_backtest(spark, sf).summary, "turnover", "max_drawdown", "final_equity")
+    out = rounded(_backtest(spark, sf).summary, "turnover", "max_drawdown", "final_equity", digits=9)
     return out.withColumn("final_equity", F.col("final_equity") + F.lit(0.0))
 
 

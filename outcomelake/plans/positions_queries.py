@@ -13,8 +13,8 @@ _STATS = """SELECT player, n_won, n_lost, total_won_usd, total_lost_usd, net_usd
   round(win_rate, 6) AS win_rate, round(score_c, 6) AS score_c FROM {view}"""
 
 
-def rounded(df, *columns):
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+def rounded(df, *columns, digits=6):
+    return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
 @query("a01_expand_to_positions", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
 
@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stack capture per column call costs milliseconds in plans of hundreds of columns.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -51,3 +53,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="spark-outcomelake-", dir="/tmp")
         spark.conf.set(CHECKPOINT_DIR_KEY, base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to shared storage and read back, for results used several times.
+
+    Cuts the lineage at a table that survives lost executors and lets later
+    filters reach a Parquet scan.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
