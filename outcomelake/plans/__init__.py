@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("positions_queries", "intent_queries")
+_MODULES = (
+    "positions_queries", "intent_queries", "fill_queries", "panel_queries", "lake_queries", "quality_queries",
+)
 
 
 def _load():

@@ -257,8 +257,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
          CASE WHEN l_linestatus = 'O' OR l_linenumber = 7 THEN token ELSE '0' END AS "takerAssetId",
          CASE WHEN l_linestatus = 'O' THEN tokens ELSE usd END AS "takerAmountFilled",
          'tx' || l_orderkey AS "transactionHash"
-  FROM (SELECT *, CAST(round_even(px * l_quantity * 1000000, 0) AS BIGINT) AS usd,
-               CAST(round_even(l_quantity * 1000000, 0) AS BIGINT) AS tokens FROM line)"""),
+  FROM (SELECT *, CAST(CAST(round_even(px * l_quantity * 1000000, 0) AS BIGINT) AS VARCHAR) AS usd,
+               CAST(CAST(round_even(l_quantity * 1000000, 0) AS BIGINT) AS VARCHAR) AS tokens FROM line)"""),
     "part_markets": ((), """
   SELECT 'P' || p_partkey AS id, 'p' || p_partkey || 'a' AS token1,
          CASE WHEN p_partkey % 41 = 0 THEN '' ELSE 'p' || p_partkey || 'b' END AS token2,

@@ -131,6 +131,17 @@ class Lake:
         own = df.where((cols["year"] == year) & (cols["month"] == month))
         self._write(own, self.path(source), mode="overwrite" if replace else "append")
 
+    def write_batch(self, source: str, df: DataFrame, batch_id: int) -> None:
+        """One streaming batch in its own folder, so a replayed batch replaces itself."""
+        (
+            df.withColumns(_month_columns())
+            .withColumn("batch", F.lit(batch_id))
+            .write.mode("overwrite")
+            .partitionBy("batch", *PARTITION)
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(f"{self.root}/{source}")
+        )
+
     # -- scans ---------------------------------------------------------------
 
     def scan(self, source: str, year: int | None = None, month: int | None = None) -> DataFrame:
