@@ -131,12 +131,15 @@ def normalize_fills_v2(fills: DataFrame, assets: DataFrame) -> DataFrame:
 
 
 def unresolved_assets(fills: DataFrame, assets: DataFrame) -> DataFrame:
-    """D04 — assets of valid fills without a market: rows and first time seen."""
+    """D04 — assets of valid fills without a market: rows and first time seen.
+
+    Counted per asset first, so the anti-join sees one row per asset.
+    """
     return (
         valid_maker_fills(fills)
-        .join(assets.select("asset"), "asset", "left_anti")
         .groupBy("asset")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("block_timestamp").alias("first_timestamp"))
+        .join(assets.select("asset"), "asset", "left_anti")
     )
 
 

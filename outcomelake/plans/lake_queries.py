@@ -24,7 +24,8 @@ from outcomelake.sources import readers as R
 from outcomelake.sources.lake import Lake
 from outcomelake.streaming.incremental import bar_stream, fills_to_trades, read_fill_stream
 
-_MONTH = """year(make_timestamp(timestamp * 1000000)) AS year, month(make_timestamp(timestamp * 1000000)) AS month"""
+_MONTH = """CAST(year(make_timestamp(timestamp * 1000000)) AS INTEGER) AS year,
+  CAST(month(make_timestamp(timestamp * 1000000)) AS INTEGER) AS month"""
 
 
 def _lake(spark) -> Lake:
@@ -322,7 +323,7 @@ def _(spark, sf):
         read_fill_stream(spark, lake.path("order_filled_v2")), assets, lake, shared_folder(spark, "checkpoint")
     )
     run.awaitTermination()
-    return lake.scan("trades").drop("year", "month", "batch")
+    return lake.scan("trades").drop("year", "month")
 
 
 @query("l20_export_snapshot", _monthly_sql("fills_v2", "amount_usdc", "WHERE ingest_seq = 0"), ("fills_v2",))

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even where a later aggregation then needs its own exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.parquet.aggregatePushdown": "true",
@@ -36,9 +38,13 @@ def build_session(app: str = "outcomelake", master: str | None = None, **extra:
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings that change results, on a session made elsewhere."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    """Pin the runtime settings that results and skew handling rely on, on a session made elsewhere."""
+    for key in (
+        "spark.sql.session.timeZone",
+        "spark.sql.sources.partitionOverwriteMode",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin",
+    ):
+        spark.conf.set(key, SETTINGS[key])
     return spark
 
 

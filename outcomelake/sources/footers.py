@@ -19,7 +19,7 @@ def file_footers(spark: SparkSession, root: str) -> DataFrame:
     """One row per file: size, row count, range of ``timestamp``, and schema.
 
     Only paths and sizes are listed by the scan; each task opens the footers of
-    its own files.  Empty if the source does not exist.
+    its share of the files.  Empty if the source does not exist.
     """
     try:
         listing = (
@@ -33,7 +33,8 @@ def file_footers(spark: SparkSession, root: str) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
         return spark.createDataFrame([], FOOTER_SCHEMA)
-    return listing.mapInPandas(_read_footers, FOOTER_SCHEMA)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return listing.coalesce(tasks).mapInPandas(_read_footers, FOOTER_SCHEMA)
 
 
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

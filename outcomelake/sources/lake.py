@@ -131,17 +131,6 @@ class Lake:
         own = df.where((cols["year"] == year) & (cols["month"] == month))
         self._write(own, self.path(source), mode="overwrite" if replace else "append")
 
-    def write_batch(self, source: str, df: DataFrame, batch_id: int) -> None:
-        """One streaming batch in its own folder, so a replayed batch replaces itself."""
-        (
-            df.withColumns(_month_columns())
-            .withColumn("batch", F.lit(batch_id))
-            .write.mode("overwrite")
-            .partitionBy("batch", *PARTITION)
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(f"{self.root}/{source}")
-        )
-
     # -- scans ---------------------------------------------------------------
 
     def scan(self, source: str, year: int | None = None, month: int | None = None) -> DataFrame:
@@ -272,29 +261,35 @@ class Lake:
     def _unique_keys(self, source: str) -> list[str]:
         return list(contract(source).unique[0]) if has_contract(source) else ["id"]
 
+    @staticmethod
+    def _months(months: list[tuple[int, int]]) -> Column:
+        """A filter on whole months, which prunes directories."""
+        return reduce(lambda a, b: a | b, [(F.col("year") == y) & (F.col("month") == m) for y, m in months])
+
     def _compact(self, source: str, due: DataFrame, keys: list[str] | None, order: list[str] | None) -> DataFrame:
         """Rewrite the months listed in ``due`` in one job and return their row counts.
 
-        Dynamic overwrite stages the new files and swaps months at commit.  Rows of
-        files that lack a key are kept as they are, since null keys would collapse.
+        Dynamic overwrite stages the new files and swaps months at commit.
         """
         keys = self._unique_keys(source) if keys is None else keys
         months = [(r.year, r.month) for r in due.select(*PARTITION).collect()]
         if not months:
             return self.spark.createDataFrame([], "year int, month int, rows long")
-        picked = reduce(
-            lambda a, b: a | b, [(F.col("year") == y) & (F.col("month") == m) for y, m in months]
-        )
+        picked = self._months(months)
         rows = self.scan(source).where(picked)
         if all(k in rows.columns for k in keys):
             order = order or [c for c in ("ingest_seq", "timestamp") if c in rows.columns]
             content = F.xxhash64(*sorted(c for c in rows.columns if c not in PARTITION))
-            lacking = " OR ".join(f"`{k}` IS NULL" for k in keys)
-            # Months with a null key stay whole; others keep the latest row per key.
-            mixed = rows.where(lacking).select(*PARTITION).distinct()
-            whole = rows.join(mixed, PARTITION, "left_semi")
-            clean = rows.join(mixed, PARTITION, "left_anti")
-            rows = dedupe(clean, [*PARTITION, *keys], [*order, content], keep="last").unionByName(whole)
+            by_key = [*PARTITION, *keys]
+            lacking = rows.where(" OR ".join(f"`{k}` IS NULL" for k in keys))
+            mixed = [(r.year, r.month) for r in lacking.select(*PARTITION).distinct().collect()]
+            if mixed:
+                # Months whose files lack a key stay whole: null keys would collapse.
+                whole = self._months(mixed)
+                kept = rows.where(whole)
+                rows = dedupe(rows.where(~whole), by_key, [*order, content], keep="last").unionByName(kept)
+            else:
+                rows = dedupe(rows, by_key, [*order, content], keep="last")
         path = self.path(source)
         self._write(rows.drop(*PARTITION), path, mode="overwrite", order=["timestamp"])
         self.spark.catalog.refreshByPath(path)
