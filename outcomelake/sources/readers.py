@@ -105,11 +105,12 @@ def parse_fill_events(lines: DataFrame, order: list[str]) -> DataFrame:
     fields = T.StructType([T.StructField(f, T.StringType()) for f in (*REQUIRED_FIELDS, *OPTIONAL_FIELDS)])
     known = text.startswith("[") | text.startswith("{")
     events = (
-        lines.where(F.length(text) > 0)
-        .withColumn("_env", F.when(text.startswith("{"), envelope))
+        lines.withColumn("_env", F.when(text.startswith("{"), envelope))
         .withColumn(
             "_list",
-            F.when(~known, F.raise_error(F.lit("payload must be an object or array")))
+            # Blank lines hold no event; tested here because filters may be reordered.
+            F.when(F.length(text) == 0, F.array().cast("array<string>"))
+            .when(~known, F.raise_error(F.lit("payload must be an object or array")))
             .when(array_text.isNotNull(), F.from_json(array_text, "array<string>"))
             .otherwise(F.array(text)),
         )
