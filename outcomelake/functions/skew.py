@@ -14,6 +14,7 @@ large the input is.  Within a slice the rows of one second stay together.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,16 +38,17 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys above the limit with the start and width of their time slices, None if there are none.
 
-    One job over the key and time columns, combined map-side.  It runs at once,
-    like a pivot without values does, so that inputs without a hot key get a
-    plain one-shuffle window.
+    Runs at once, like a pivot without values does, so that inputs without a hot
+    key get a plain one-shuffle window: a row count, and only above ``min_rows``
+    one aggregation of the key and time columns, combined map-side.
     """
+    total = df.count()
+    if total <= policy.min_rows:
+        return None
+    limit = max(policy.min_rows, math.ceil(total * policy.share))
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi")
     )
-    limit = stats.agg(
-        F.expr(f"greatest({policy.min_rows}, ceil(coalesce(sum(_n), 0) * {policy.share!r}))")
-    ).scalar()
     width = (F.col("_hi") - F.col("_lo") + 1) * limit / (F.col("_n") * F.lit(policy.slices_per_limit))
     hot = stats.where(F.col("_n") > limit).select(
         *keys, F.col("_lo"), F.greatest(F.lit(1).cast("long"), F.ceil(width)).alias("_width")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outcomelake.functions import opposite
+from outcomelake.functions.exprs import MICRO
 
 CASH_ASSET = "0"
 
@@ -61,20 +62,22 @@ def normalize_fills_v1(orders: DataFrame, assets: DataFrame) -> DataFrame:
     non-positive amount are dropped.
     """
     maker_pays = F.col("makerAssetId") == CASH_ASSET
-    maker_units = F.col("makerAmountFilled").cast("double") / 1e6
-    taker_units = F.col("takerAmountFilled").cast("double") / 1e6
     taker_pays = F.col("takerAssetId") == CASH_ASSET
+    cash = F.when(taker_pays, F.col("takerAmountFilled")).otherwise(F.col("makerAmountFilled"))
+    tokens = F.when(taker_pays, F.col("makerAmountFilled")).otherwise(F.col("takerAmountFilled"))
     sided = orders.where(maker_pays | taker_pays).select(
         "timestamp", "maker", "taker", "transactionHash", F.col("id").alias("orderfilled_id"),
         F.when(maker_pays, F.col("takerAssetId")).otherwise(F.col("makerAssetId")).alias("asset"),
         F.when(taker_pays, "BUY").otherwise("SELL").alias("taker_direction"),
         F.when(taker_pays, "SELL").otherwise("BUY").alias("maker_direction"),
-        F.when(taker_pays, taker_units).otherwise(maker_units).alias("usd_amount"),
-        F.when(taker_pays, maker_units).otherwise(taker_units).alias("token_amount"),
+        cash.cast("double").alias("_cash"), tokens.cast("double").alias("_tokens"),
     )
+    # On whole units a price within [0, 1] is cash <= tokens, and no division precedes the filter.
     return (
-        sided.withColumn("price", F.try_divide("usd_amount", "token_amount"))
-        .where(F.col("price").between(0, 1) & (F.col("usd_amount") > 0) & (F.col("token_amount") > 0))
+        sided.where((F.col("_cash") > 0) & (F.col("_tokens") > 0) & (F.col("_cash") <= F.col("_tokens")))
+        .withColumn("usd_amount", F.col("_cash") / MICRO)
+        .withColumn("token_amount", F.col("_tokens") / MICRO)
+        .withColumn("price", F.col("usd_amount") / F.col("token_amount"))
         .join(assets.select("asset", "market_id", F.col("token_side").alias("nonusdc_side")), "asset")
         .select(*TRADE_COLUMNS)
     )

@@ -161,12 +161,15 @@ def hex_long(text: Column) -> Column:
 
 
 def _word_amount(word: Column) -> Column:
-    """A 32-byte amount in 1e-6 units as a double, summed from its four 64-bit parts."""
-    total: Column = F.lit(0.0)
-    for i in range(4):
-        part = F.conv(F.substring(word, 16 * i + 1, 16), 16, 10).cast("double")
-        total = total + part * F.lit(float(2 ** (64 * (3 - i))))
-    return total / 1e6
+    """A 32-byte amount in 1e-6 units as a double.
+
+    Real amounts fit the last 64 bits; wider ones are summed from four parts.
+    """
+    parts = [F.conv(F.substring(word, 16 * i + 1, 16), 16, 10).cast("double") for i in range(4)]
+    wide: Column = F.lit(0.0)
+    for i, part in enumerate(parts):
+        wide = wide + part * F.lit(float(2 ** (64 * (3 - i))))
+    return F.when(F.startswith(word, F.lit("0" * 48)), parts[3]).otherwise(wide) / 1e6
 
 
 def _address(topic: Column) -> Column:
