@@ -8,6 +8,7 @@ from outcomelake.operators import dims as M
 from outcomelake.operators import fills as D
 from outcomelake.plans.fixtures import fills_v1, fills_v2, market_versions, part_markets, raw_markets
 from outcomelake.plans.registry import query
+from outcomelake.session import materialize
 from outcomelake.sources.readers import flatten_market_metadata
 
 V1_SQL = """
@@ -37,7 +38,8 @@ def _assets(spark, sf):
 
 @query("d01_normalize_fills_v1", V1_SQL, ("fills_v1", "assets"))
 def _(spark, sf):
-    return D.normalize_fills_v1(fills_v1(spark, sf), _assets(spark, sf))
+    # Landed first, as raw fills are: deriving them inside the filter repeats the work per condition.
+    return D.normalize_fills_v1(materialize(fills_v1(spark, sf), "raw-fills"), _assets(spark, sf))
 
 
 @query("d02_valid_maker_fills", "SELECT * FROM maker_fills", ("maker_fills",))

@@ -28,6 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, as of one small file, dealt out to all of them.
+
+    A scan of a large table has more splits than that and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").selectExpr(
         "event_id", "user_id", "event_type IN ('error', 'signup') AS sells",
@@ -77,7 +86,7 @@ _ASSET = "concat('p', l_partkey, if(l_linenumber % 2 = 1, 'a', 'b'))"
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"))
     return line.join(orders, line.l_orderkey == orders.o_orderkey).selectExpr(
         "*", "unix_seconds(CAST(l_shipdate AS timestamp)) AS ship", "rint(l_discount * 100) / 10.0D AS px"
     ).selectExpr("*", "ship div 86400 AS day", "ship + l_orderkey % 86400 AS at")
@@ -179,7 +188,7 @@ def raw_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Hex-encoded fill logs, match logs and block times built from ``lineitem``."""
-    fills = table(spark, sf_dir, "lineitem").selectExpr(
+    fills = spread(table(spark, sf_dir, "lineitem")).selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linestatus", "CAST(l_linenumber AS bigint) AS log",
         "CAST(l_quantity AS bigint) * 1000000 AS shares",
         "CAST(l_quantity AS bigint) * CAST(rint(l_discount * 100) AS bigint) * 100000 AS usd",

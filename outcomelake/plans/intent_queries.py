@@ -187,7 +187,7 @@ def _admitted_sql(tail: str) -> str:
     " SELECT leader, orderfilled_id FROM walk WHERE fits"))
 def _(spark, sf):
     admitted = B.admit_by_capital(
-        _copy_candidates(spark, sf), bankroll=10_000.0, per_bet_frac=0.5, portfolio=["leader"]
+        materialize(_copy_candidates(spark, sf), "candidates"), bankroll=10_000.0, per_bet_frac=0.5, portfolio=["leader"]
     )
     return admitted.select("leader", "orderfilled_id")
 

@@ -155,9 +155,14 @@ def uint256_text(words: pd.Series) -> pd.Series:
     return words.map(lambda w: None if w is None else str(int(w, 16)))
 
 
+def _bare(text: Column) -> Column:
+    """Hex digits without their 0x."""
+    return F.when(F.lower(F.substring(text, 1, 2)) == "0x", F.substr(text, F.lit(3))).otherwise(text)
+
+
 def hex_long(text: Column) -> Column:
     """A hex quantity such as a block number, with or without 0x."""
-    return F.conv(F.regexp_replace(text, "^0[xX]", ""), 16, 10).cast("long")
+    return F.conv(_bare(text), 16, 10).cast("long")
 
 
 def _word_amount(word: Column) -> Column:
@@ -184,7 +189,7 @@ def decode_order_events(logs: DataFrame, matches: DataFrame, blocks: DataFrame)
     ``blocks`` block_number and block_timestamp.  A log with too few topics or
     words fails the job.
     """
-    body = F.regexp_replace("data", "^0[xX]", "")
+    body = _bare(F.col("data"))
     broken = (F.size("topics") < 4) | (F.length(body) < 7 * 64)
     data = F.when(broken, F.raise_error(F.lit("event log lacks topics or data words"))).otherwise(body)
     word = [F.substring("_body", 64 * i + 1, 64) for i in range(7)]
