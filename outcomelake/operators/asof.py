@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outcomelake.functions.skew import DEFAULT_POLICY, SLICE, SkewPolicy, hot_keys, hot_rows, slice_rows
@@ -91,32 +91,41 @@ def align_to_clock(
     ``slice_seconds`` of history, so its window and broadcast are bounded by the
     calendar and not by the number of rows.
     """
-    nan = F.lit(float("nan"))
-    cells = [
-        F.max(F.when(F.col(name) == s, F.struct(F.col(value).alias("v")))).alias(f"_{i}")
-        for i, s in enumerate(names)
+    cells, present = [f"_v{i}" for i in range(len(names))], [f"_p{i}" for i in range(len(names))]
+    # Values and presence as primitives, so the pivot is a hash aggregate.
+    pivot = [
+        agg
+        for s, v, p in zip(names, cells, present)
+        for agg in (F.max(F.when(F.col(name) == s, F.col(value))).alias(v), F.bool_or(F.col(name) == s).alias(p))
     ]
-    wide = series.where(F.col(name).isin(*names)).groupBy(F.col(clock)).agg(*cells)
-    cols = [f"_{i}" for i in range(len(names))]
+    wide = series.where(F.col(name).isin(*names)).groupBy(F.col(clock)).agg(*pivot)
     if not forward_fill:
-        return wide.select(clock, *[_cell(c, nan, s) for c, s in zip(cols, names)])
+        return wide.select(clock, *[_cell(_row(v, p), s) for v, p, s in zip(cells, present, names)])
     sliced = wide.withColumn(SLICE, F.floor(F.col(clock) / slice_seconds))
     ends = sliced.groupBy(SLICE).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(clock))).alias(c) for c in cols]
+        *[F.max_by(v, F.when(F.col(p), F.col(clock))).alias(v) for v, p in zip(cells, present)],
+        *[F.bool_or(p).alias(p) for p in present],
     )
     earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select(
-        SLICE, *[F.last(c, ignorenulls=True).over(earlier).alias(f"_c{c}") for c in cols]
-    )
     upto = (
         Window.partitionBy(SLICE).orderBy(clock).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = sliced.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in cols})
+
+    def latest(over) -> list[Column]:
+        return [F.last(_row(v, p), ignorenulls=True).over(over) for v, p in zip(cells, present)]
+
+    carried = [f"_c{i}" for i in range(len(names))]
+    carry = ends.select(SLICE, *[c.alias(n) for c, n in zip(latest(earlier), carried)])
+    filled = sliced.select(SLICE, clock, *[c.alias(n) for c, n in zip(latest(upto), cells)])
     return filled.join(F.broadcast(carry), SLICE, "left").select(
-        clock, *[_cell(F.coalesce(c, f"_c{c}"), nan, s) for c, s in zip(cols, names)]
+        clock, *[_cell(F.coalesce(v, c), s) for v, c, s in zip(cells, carried, names)]
     )
 
 
-def _cell(cell, missing, name: str):
-    row = F.col(cell) if isinstance(cell, str) else cell
-    return F.when(row.isNull(), missing).otherwise(row.getField("v")).alias(name)
+def _row(value: str, present: str) -> Column:
+    """A row of a series, null where it has none; its value may itself be null or NaN."""
+    return F.when(F.col(present), F.struct(F.col(value).alias("v")))
+
+
+def _cell(row: Column, name: str) -> Column:
+    return F.when(row.isNull(), F.lit(float("nan"))).otherwise(row.getField("v")).alias(name)

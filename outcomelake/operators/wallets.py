@@ -77,9 +77,9 @@ def combine_sides(metrics: DataFrame) -> DataFrame:
     weight = F.when(F.col("pct_change").isNotNull(), F.col("buy_usd")).otherwise(0.0)
     weighted = F.coalesce(F.col("pct_change") * F.col("buy_usd"), F.lit(0.0))
     return (
-        metrics.groupBy("maker", "market_id")
+        # The question belongs to the market; as a key it keeps the aggregate hash-based.
+        metrics.groupBy("maker", "market_id", "question")
         .agg(
-            F.max("question").alias("question"),
             F.sum("trades").alias("trades"),
             sum_micros(weighted).alias("_num"),
             sum_micros(weight).alias("_den"),

@@ -161,7 +161,7 @@ def _(spark, sf):
 @query("m07_temporal_split", _sql(f"""
   SELECT decision_ts AS decision_date, market_id, target, is_test FROM panel JOIN {_IS_TEST} USING (decision_ts)"""))
 def _(spark, sf):
-    split = M.temporal_split(_panel(spark, sf)[1], 0.2)
+    split = M.temporal_split(materialize(_panel(spark, sf)[1], "panel"), 0.2)
     return split.select(F.unix_seconds("decision_date").alias("decision_date"), "market_id", "target", "is_test")
 
 

@@ -48,16 +48,21 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_base: str | None = None
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint directory.
 
     ``spark.checkpoint.dir`` names storage every executor sees.  Only where it
     is unset (local tests) does this fall back to a temporary folder.
     """
+    global _local_base
     base = spark.conf.get(CHECKPOINT_DIR_KEY, None)
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-outcomelake-", dir="/tmp")
-        spark.conf.set(CHECKPOINT_DIR_KEY, base)
+        if _local_base is None:
+            _local_base = tempfile.mkdtemp(prefix="spark-outcomelake-", dir="/tmp")
+        base = _local_base
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
