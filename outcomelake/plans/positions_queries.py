@@ -167,25 +167,25 @@ _A15 = ("median_win_pct", "median_loss_pct", "median_win_usd", "median_loss_usd"
 
 
 def _rounding(sql: str, columns: tuple[str, ...]) -> str:
-    return f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in columns)}) FROM ({sql})"
+    return f"SELECT * REPLACE ({', '.join(f'round({c}, 9) AS {c}' for c in columns)}) FROM ({sql})"
 
 
 @query("a13_wallet_market_metrics", _rounding(_PCT, _A13), _WALLET_VIEWS)
 def _(spark, sf):
-    return rounded(V.wallet_market_metrics(trades(spark, sf), markets(spark, sf)), *_A13)
+    return rounded(V.wallet_market_metrics(trades(spark, sf), markets(spark, sf)), *_A13, digits=9)
 
 
 @query("a14_combine_sides", _rounding(_COMBINED, ("pct_change",)), _WALLET_VIEWS)
 def _(spark, sf):
     return rounded(
-        V.combine_sides(V.wallet_market_metrics(trades(spark, sf), markets(spark, sf))), "pct_change"
+        V.combine_sides(V.wallet_market_metrics(trades(spark, sf), markets(spark, sf))), "pct_change", digits=9
     )
 
 
 @query("a15_trader_scorecard", f"SELECT * EXCLUDE (wins) FROM ({_rounding(_CARDS, _A15)})", _WALLET_VIEWS)
 def _(spark, sf):
     metrics = V.wallet_market_metrics(trades(spark, sf), markets(spark, sf))
-    return rounded(V.trader_scorecard(V.combine_sides(metrics)), *_A15)
+    return rounded(V.trader_scorecard(V.combine_sides(metrics)), *_A15, digits=9)
 
 
 @query("a16_candidate_pool", """
@@ -209,4 +209,4 @@ def _(spark, sf):
           "round(big_win_rate_among_wins_pct, 2) AS big_win_rate_among_wins_pct, "), _WALLET_VIEWS)
 def _(spark, sf):
     out = V.ranked_traders(trades(spark, sf), markets(spark, sf), min_markets=20, active_after=0)
-    return rounded(out, "median_win_pct", "median_loss_pct", "median_win_usd", "median_loss_usd")
+    return rounded(out, "median_win_pct", "median_loss_pct", "median_win_usd", "median_loss_usd", digits=9)
