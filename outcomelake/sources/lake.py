@@ -11,7 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from outcomelake.operators.dims import MARKET_SOURCES, asset_dimension, latest_version
+from outcomelake.operators.dims import (
+    MARKET_SOURCES,
+    asset_dimension,
+    latest_version,
+    markets_current,
+    new_outcomes,
+    outcome_counts,
+)
 from outcomelake.operators.fills import (
     TradeModelError,
     UnresolvedAssetsError,
@@ -89,7 +96,7 @@ class Lake:
             raise ValueError(f"{source}: a timestamp column is required")
         if df.isEmpty():
             raise ValueError(f"{source}: refusing to write an empty frame")
-        self._write(df, f"{self.root}/{source}")
+        self._write(df, self.path(source))
 
     def _write(self, df: DataFrame, path: str, mode: str = "append", order: list[str] | None = None) -> None:
         """Rebalancing lets AQE merge small months into one file and split large ones over many tasks."""
@@ -199,6 +206,25 @@ class Lake:
         for source in sources:
             self.scan(source).createOrReplaceTempView(source)
 
+    # -- dimensions ----------------------------------------------------------
+
+    def refresh_dimensions(self) -> dict[str, int]:
+        """D06, D07 — publish the current markets and their assets; rows per source."""
+        current = markets_current({s: self.scan(s).drop(*PARTITION) for s in MARKET_SOURCES})
+        return {
+            "market_assets": self.publish_snapshot("market_assets", asset_dimension(current)),
+            "markets_current": self.publish_snapshot("markets_current", current),
+        }
+
+    def refresh_outcomes(self) -> dict[str, int]:
+        """D10 — append official outcomes of markets that have none; how many, and how many are not final."""
+        current = self.scan("markets_current").drop(*PARTITION)
+        known = self.scan("market_outcomes")
+        counts = outcome_counts(current, known).first().asDict()
+        if counts["added"]:
+            self.write_partitioned("market_outcomes", new_outcomes(current, known))
+        return counts
+
     # -- inventory -----------------------------------------------------------
 
     def partition_inventory(self, source: str) -> DataFrame:
@@ -384,7 +410,7 @@ class Lake:
             if gate.exchange:
                 raise TradeModelError(f"{gate.exchange} trades with an exchange contract as a party")
             if gate.rows:
-                self._write(_as_trades(joined), f"{self.root}/trades")
+                self._write(_as_trades(joined), self.path("trades"))
         finally:
             joined.unpersist()
         self._advance("trades_v2", tail)
@@ -403,7 +429,7 @@ class Lake:
         try:
             rows = trades.count()
             if rows:
-                self._write(trades, f"{self.root}/trades")
+                self._write(trades, self.path("trades"))
         finally:
             trades.unpersist()
         self._advance("trades", tail)

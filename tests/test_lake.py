@@ -208,3 +208,26 @@ def test_export_and_views(spark, lake, v2, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/2026-01-01/order_filled_v2")).count() == 2
     lake.register_views(["order_filled_v2"])
     assert spark.sql("SELECT count(*) FROM order_filled_v2 WHERE month = 2").first()[0] == 1
+
+
+def test_dimensions_and_outcomes_refresh(spark, lake):
+    text = {c: F.lit("x") for c in ("createdAt", "answer1", "answer2", "market_slug", "condition_id", "volume", "ticker",
+                                    "category", "resolutionSource", "umaResolutionStatus")}
+    base = spark.createDataFrame(
+        [("m1", "t1", "t2", "q", JAN, True, '["0","1"]', "2024-01-05T00:00:00Z"), ("m2", "t3", "t4", "q", JAN, False, "[]", "")],
+        "id string, token1 string, token2 string, question string, timestamp long, closed boolean, "
+        "outcomePrices string, closedTime string",
+    ).withColumns({**text, "neg_risk": F.lit(False), "observed_at": F.lit(FEB * 10**9)})
+    lake.write_partitioned("markets", base)
+    assert lake.refresh_dimensions() == {"market_assets": 4, "markets_current": 2}
+    assert {r.timestamp for r in lake.scan("markets_current").collect()} == {FEB}
+    assert lake.refresh_outcomes() == {"added": 1, "skipped": 1}
+    assert lake.refresh_outcomes() == {"added": 0, "skipped": 1}
+    (row,) = lake.scan("market_outcomes").collect()
+    assert (row.market_id, row.winner_token, row.resolved_at) == ("m1", "token2", 1704412800)
+
+
+def test_appends_after_a_snapshot_are_read(lake, v2):
+    lake.publish_snapshot("fills", v2(("a", JAN)))
+    lake.write_partitioned("fills", v2(("b", FEB)))
+    assert {r.id for r in lake.scan("fills").collect()} == {"a", "b"}
