@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outcomelake.llm import bpe
+from outcomelake.llm import bpe, mixing, quality_rules, secret_scan
 from outcomelake.llm.common import table
 
 
@@ -14,11 +14,28 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, model, keep=["doc_id"])
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_byte_bpe": op3_byte_bpe,
+        "op4_mixing": op4_mixing,
+        "op8_quality_rules": op8_quality_rules,
+        "op10_secrets": op10_secrets,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op4_mixing": mixing.ORACLE_SQL}
