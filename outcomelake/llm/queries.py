@@ -5,9 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from outcomelake.llm import bpe, mixing, quality_rules, secret_scan
-from outcomelake.llm.common import table
+from outcomelake.llm import bpe, compression_quality, language_id, mixing, quality_rules, secret_scan
+from outcomelake.llm.common import hash_mod, table
+
+
+def op1_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = hash_mod(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    scored = compression_quality.score(docs, compression_quality.fit(docs, labels), keep=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +27,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = hash_mod(F.col("doc_id"), 4) == 2
+    network = language_id.fit(docs.where(~held_out))
+    found = language_id.identify(docs.select("doc_id", "text"), network, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
@@ -30,8 +47,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_compression_quality": op1_compression_quality,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_mixing": op4_mixing,
+        "op7_language_id": op7_language_id,
         "op8_quality_rules": op8_quality_rules,
         "op10_secrets": op10_secrets,
     }
