@@ -25,9 +25,9 @@ from pyspark.sql import types as T
 from outcomelake.llm.common import append_columns
 
 #: Code points scanned together; whole texts only, so a longer text is a block of its own.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 #: Slices a worker remembers before it starts anew, and the longest that it remembers.
-SLICE_CACHE, SLICE_LENGTH = 300_000, 64
+SLICE_CACHE, SLICE_LENGTH = 150_000, 64
 #: Above every rank.
 NO_RANK = (1 << 31) - 1
 
@@ -154,11 +154,17 @@ class Vocabulary:
         for rank, token in self.bytes.items():
             self.lengths[rank] = len(token)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.top = top
+        self.slots = 0
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def _store_pairs(self) -> None:
+        """A hash table of all pairs of tokens that make a token."""
         pairs = [
-            (ranks[token[:k]] * top + ranks[token[k:]], rank)
-            for token, rank in ranks.items() for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks
+            (self.ranks[token[:k]] * self.top + self.ranks[token[k:]], rank)
+            for token, rank in self.ranks.items() for k in range(1, len(token)) if token[:k] in self.ranks and token[k:] in self.ranks
         ]
-        self.top = top
         self.slots = 1 << (len(pairs) * 4).bit_length()
         self.keys, self.values = np.full(self.slots, -1, np.int64), np.full(self.slots, NO_RANK, np.int32)
         keys, values = (np.array(x, np.int64) for x in zip(*pairs))
@@ -168,8 +174,6 @@ class Vocabulary:
             self.keys[slot[free]], self.values[slot[free]] = keys[free], values[free]
             lost = self.keys[slot] != keys
             keys, values, slot = keys[lost], values[lost], (slot[lost] + 1) & (self.slots - 1)
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -191,6 +195,8 @@ class Vocabulary:
 
     def _merge_equal(self, pieces: list[bytes], width: int) -> list[tuple[int, ...]]:
         """Slices of at most ``width`` bytes, merged in step."""
+        if not self.slots:
+            self._store_pairs()
         count = len(pieces)
         raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(count, width)
         length = np.array([len(p) for p in pieces])

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: Words a worker remembers before it starts anew; bounds its memory, never its results.
-WORD_CACHE = 400_000
+WORD_CACHE = 300_000
+#: Bytes of input that a task holds at once beside Spark's batch; a longer row is a chunk of its own.
+CHUNK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +77,23 @@ def windows(ids: np.ndarray, width: int) -> np.ndarray:
     return h
 
 
+def chunks(batch: pa.RecordBatch, columns: list[int]) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of whole rows of about ``CHUNK_BYTES`` in ``columns``."""
+    if not batch.num_rows:
+        return
+    sizes = np.full(batch.num_rows, 16, np.int64)
+    for i in columns:
+        column = batch.column(i)
+        if pa.types.is_list(column.type):
+            sizes += 4 * column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        elif pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            sizes += pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    which = (np.cumsum(sizes) - sizes) // CHUNK_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(which)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 def append_columns(
     df: DataFrame, fields: list[T.StructField], fill: Callable[[dict[str, pa.Array]], list[pa.Array]],
     inputs: list[str], keep: list[str] | None = None,
@@ -89,7 +109,7 @@ def append_columns(
     inputs_at = [df.columns.index(c) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (chunk for whole in batches for chunk in chunks(whole, inputs_at)):
             made = fill({c: batch.column(i) for c, i in zip(inputs, inputs_at)})
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in kept_at] + made, names=kept + [f.name for f in fields]
