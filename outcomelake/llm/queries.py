@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcomelake.llm import bpe, compression_quality, language_id, mixing, quality_rules, secret_scan
+from outcomelake.llm import bpe, compression_quality, embedding_dedup, language_id, mixing, quality_rules, secret_scan
 from outcomelake.llm.common import hash_mod, table
 
 
@@ -27,6 +27,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = hash_mod(F.col("doc_id"), 4) == 2
@@ -50,6 +54,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_compression_quality": op1_compression_quality,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_mixing": op4_mixing,
+        "op6_embedding_dedup": op6_embedding_dedup,
         "op7_language_id": op7_language_id,
         "op8_quality_rules": op8_quality_rules,
         "op10_secrets": op10_secrets,
@@ -57,4 +62,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_mixing": mixing.ORACLE_SQL}
+    return {"op4_mixing": mixing.ORACLE_SQL, "op6_embedding_dedup": embedding_dedup.ORACLE_SQL}
