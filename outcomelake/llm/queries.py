@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcomelake.llm import bpe, compression_quality, embedding_dedup, language_id, mixing, quality_rules, secret_scan
+from outcomelake.llm import bpe, compression_quality, embedding_dedup, html_text, language_id, mixing, quality_rules, secret_scan
 from outcomelake.llm.common import hash_mod, table
 
 
@@ -27,6 +27,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -54,6 +59,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_compression_quality": op1_compression_quality,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_mixing": op4_mixing,
+        "op5_html_text": op5_html_text,
         "op6_embedding_dedup": op6_embedding_dedup,
         "op7_language_id": op7_language_id,
         "op8_quality_rules": op8_quality_rules,
