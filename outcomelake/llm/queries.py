@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcomelake.llm import bpe, compression_quality, embedding_dedup, html_text, language_id, mixing, quality_rules, secret_scan
+from outcomelake.llm import bpe, compression_quality, embedding_dedup, html_text, language_id, minhash_dedup, mixing, quality_rules, secret_scan
 from outcomelake.llm.common import hash_mod, table
 
 
@@ -19,6 +19,10 @@ def op1_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_compression_quality": op1_compression_quality,
+        "op2_minhash_dedup": op2_minhash_dedup,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_mixing": op4_mixing,
         "op5_html_text": op5_html_text,
