@@ -124,29 +124,36 @@ def hash_mod(doc_id: Column, divisor: int) -> Column:
 
 
 def labelled_sample(
-    rows: DataFrame, texts: DataFrame, label: str, per_class: int, max_chars: int, seed: int = 1,
+    rows: DataFrame, texts: DataFrame, label: str, per_class: int, max_chars: int, seed: int = 1, max_classes: int = 200,
 ) -> list[tuple[int, str, object]]:
-    """At most ``per_class`` labelled texts of every class, chosen by a seeded hash of the id.
+    """At most ``per_class`` labelled texts of each of the ``max_classes`` largest classes, chosen by a seeded hash of the id.
 
     ``rows`` has ``doc_id`` and ``label``; ``texts`` has ``doc_id`` and ``text``.  Ids are
     chosen first, from two narrow columns; only then are texts read, so what reaches
-    the driver is bounded by ``classes * per_class * max_chars``.  Rows with a null
+    the driver is bounded by ``max_classes * per_class * max_chars``.  Rows with a null
     id or label, or an id with two labels, are left out.
     """
     spark = rows.sparkSession
-    order = F.xxhash64(F.lit(seed), "doc_id")
-    pick = Window.partitionBy("label").orderBy(order, "doc_id")
+    # A number in [0, 1) by hash; ids below a bound that leaves a little more than enough go into the ranking.
+    order = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    marked = rows.select("doc_id", F.col(label).alias("label")).where("doc_id is not null and label is not null")
+    counts = marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(max_classes).collect()
+    if not counts:
+        return []
+    kind = rows.schema[label].dataType
+    sizes = spark.createDataFrame([(r.label, r.n) for r in counts], T.StructType([T.StructField("label", kind), T.StructField("n", T.LongType())]))
+    enough = per_class + 8 * int(per_class ** 0.5) + 50
     ids = (
-        rows.select("doc_id", F.col(label).alias("label")).where("doc_id is not null and label is not null")
-        .withColumn("n", F.row_number().over(pick)).where(F.col("n") <= per_class)
+        marked.join(F.broadcast(sizes), "label").where(order <= enough / F.col("n"))
+        .withColumn("k", F.row_number().over(Window.partitionBy("label").orderBy(order, "doc_id"))).where(F.col("k") <= per_class)
         .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
         .where("label = other").select("doc_id", "label").collect()
     )
     if not ids:
         return []
     bound = len(ids)
-    kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("label", rows.schema[label].dataType)])
-    chosen = spark.createDataFrame([(r.doc_id, r.label) for r in ids], kind)
+    fields = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("label", kind)])
+    chosen = spark.createDataFrame([(r.doc_id, r.label) for r in ids], fields)
     found = (
         texts.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
         .select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, max_chars).alias("text"), "label")
