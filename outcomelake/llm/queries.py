@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcomelake.llm import bpe, compression_quality, embedding_dedup, html_text, language_id, minhash_dedup, mixing, quality_rules, secret_scan
+from outcomelake.llm import bpe, compression_quality, embedding_dedup, html_text, language_id, minhash_dedup, mixing, quality_rules, secret_scan, suffix_dedup
 from outcomelake.llm.common import hash_mod, table
 
 
@@ -54,6 +54,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, model, keep=["doc_id"])
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_embedding_dedup": op6_embedding_dedup,
         "op7_language_id": op7_language_id,
         "op8_quality_rules": op8_quality_rules,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_secrets": op10_secrets,
     }
 
