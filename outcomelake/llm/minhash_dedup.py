@@ -43,7 +43,7 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
-    """``doc_id``, the size of the set, two hashes of the whole set, and its ``STORED`` smallest values."""
+    """``doc_id``, a hash of the text, the size of the set, two hashes of the whole set, and its ``STORED`` smallest values."""
     long = T.LongType()
     fields = [T.StructField("n_shingles", long), T.StructField("h1", long), T.StructField("h2", long), T.StructField("sketch", T.ArrayType(long))]
 
@@ -56,7 +56,7 @@ def sketch(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
             pa.array([(s[:STORED] ^ np.uint64(1 << 63)).astype(np.int64) for s in sets], pa.list_(pa.int64())),
         ]
 
-    return append_columns(docs.select("doc_id", text), fields, fill, [text], ["doc_id"])
+    return append_columns(docs.select("doc_id", text, F.xxhash64(text).alias("t")), fields, fill, [text], ["doc_id", "t"])
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -131,17 +131,8 @@ def _second_pairs(classes: DataFrame, tied: DataFrame, percent: int) -> DataFram
     return a.join(b, "value").where((F.col("u") < F.col("v")) & (F.col("c_u") != F.col("c_v")) & sized).select("u", "v").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
-
-    Documents link when shared shingles are at least ``percent`` hundredths of all of both;
-    equal sets always do.  Null and empty texts have no shingles and link with
-    nothing.  Rows that share an id are one document for linking.  Rows of null id link
-    with nothing: ``component_id`` is null and ``kept`` true.  Other columns are not used.
-
-    Completeness: a pair at the threshold t shares none of its ``PROPOSING`` smallest
-    values with a chance of (1 - t) to the power of ``PROPOSING`` (below 1e-16).
-    """
+def _marked(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """What ``near_duplicates`` returns, with the hash ``t`` of each row's text."""
     docs = docs.select("doc_id", "text")
     all_rows = materialize(sketch(docs, width), "sketches")
     classes = materialize(
@@ -154,15 +145,33 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     found = components(first.union(second))
     groups = classes.select("h1", "h2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("h1", "h2", F.coalesce("component", "rep").alias("component"))
-    out = all_rows.select("doc_id", "n_shingles", "h1", "h2").join(groups, ["h1", "h2"], "left").select(
-        "doc_id", "n_shingles",
+    out = all_rows.select("doc_id", "t", "n_shingles", "h1", "h2").join(groups, ["h1", "h2"], "left").select(
+        "doc_id", "t", "n_shingles",
         F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
+
+    Documents link when shared shingles are at least ``percent`` hundredths of all of both;
+    equal sets always do.  Null and empty texts have no shingles and link with
+    nothing.  Rows that share an id each go by their own text.  Rows of null id link
+    with nothing: ``component_id`` is null and ``kept`` true.  Other columns are not used.
+
+    Completeness: a pair at the threshold t shares none of its ``PROPOSING`` smallest
+    values with a chance of (1 - t) to the power of ``PROPOSING`` (below 1e-16).
+    """
+    return _marked(docs, width, percent).drop("t")
+
+
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, that of the least id, with its own columns; of rows that share that id, one."""
-    marks = near_duplicates(docs, width, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    alone = docs.where("doc_id is null")
-    rest = docs.where("doc_id is not null").join(marks, F.col("doc_id") == F.col("__gone"), "left_anti").dropDuplicates(["doc_id"])
-    return rest.union(alone)
+    """One document of each group, that of the least id, with its own columns.
+
+    Of rows equal in id and text one stays, rows of null id all stay.
+    """
+    marks = _marked(docs, width, percent).where("not kept").select(F.col("doc_id").alias("__gone"), F.col("t").alias("__text")).distinct()
+    hashed = docs.withColumn("__t", F.xxhash64("text"))
+    gone = (F.col("doc_id") == F.col("__gone")) & (F.col("__t") == F.col("__text"))
+    rest = hashed.where("doc_id is not null").join(marks, gone, "left_anti").dropDuplicates(["doc_id", "__t"])
+    return rest.select(*docs.columns).union(docs.where("doc_id is null"))
