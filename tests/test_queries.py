@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from outcomelake.plans import all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("events", "lineitem", "orders", "part")
@@ -33,7 +34,7 @@ def _rows(columns, rows):
     return sorted(tuple(_value(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, con, name):
     df = queries()[name](spark, SF_DIR)
     got = _rows(df.columns, df.collect())
