@@ -45,15 +45,6 @@ def dedupe(df: DataFrame, keys: list[str], order: list[str | Column], keep: str
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def dedupe_guarded(df: DataFrame, keys: list[str], order: list[str | Column], keep: str = "last") -> DataFrame:
-    """D13 with the null guard: a frame with any null key mixes schemas and stays whole.
-
-    Null keys would otherwise collapse into a single row.
-    """
-    all_keyed = df.where(" OR ".join(f"`{k}` IS NULL" for k in keys)).isEmpty()
-    return dedupe(df, keys, order, keep) if all_keyed else df
-
-
 def normalize_fills_v1(orders: DataFrame, assets: DataFrame) -> DataFrame:
     """D01 — first-generation fills to trades.
 
@@ -89,11 +80,12 @@ def valid_maker_fills(fills: DataFrame, ingest_order: list[str] | None = None) -
     De-duplication comes before the filter, so a maker row later corrected to a
     taker row does not survive.
     """
+    spelled = fills.withColumns({"side": F.upper(F.col("side").cast("string")), "order_type": F.lower(F.col("order_type").cast("string"))})
     order = ingest_order or [c for c in ("ingest_seq", "block_timestamp") if c in fills.columns]
+    # Of versions that nothing else orders the taker's stands, then the one of the greater hash: a total order.
+    content = F.xxhash64(*sorted(spelled.columns))
     return (
-        dedupe(fills, ["id"], [*order, "order_type"], keep="last")
-        .withColumn("side", F.upper(F.col("side").cast("string")))
-        .withColumn("order_type", F.lower(F.col("order_type").cast("string")))
+        dedupe(spelled, ["id"], [*order, "order_type", content], keep="last")
         .where(
             F.col("side").isin("BUY", "SELL")
             & (F.col("order_type") == "maker")

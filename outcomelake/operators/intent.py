@@ -96,6 +96,6 @@ def random_cohort(entries: DataFrame, seed: int, n: int = 1) -> DataFrame:
     return (
         entries.select("taker")
         .distinct()
-        .orderBy(F.xxhash64(F.lit(seed), "taker"), "taker")
+        .orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col("taker")).cast("binary")), "taker")
         .limit(n)
     )

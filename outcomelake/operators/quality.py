@@ -270,9 +270,18 @@ def analyst_queries(stats: DataFrame, n: int = 20) -> dict[str, DataFrame]:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Q09 — row count and a hash of the content that ignores row and column order."""
-    row = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")
+    """Q09 — row count and a hash of the content that ignores row and column order.
+
+    The hash of a row is the first 60 bits of an md5 digest over its values as text, in order of
+    column names; doubles go in as nine significant decimal places.
+    """
+    def text(name: str, kind: str):
+        value = F.format_string("%.9f", F.col(name).cast("double")) if kind in ("double", "float") else F.col(name).cast("string")
+        return F.coalesce(value, F.lit("null"))
+
+    row = F.concat_ws("|", *[text(c, t) for c, t in sorted(df.dtypes, key=lambda c: c[0].lower())])
+    part = F.conv(F.substring(F.md5(row.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("content_hash"),
+        F.coalesce(F.sum(part), F.lit(0)).cast("string").alias("content_hash"),
     )

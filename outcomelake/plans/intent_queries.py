@@ -69,7 +69,8 @@ def _(spark, sf):
     return I.leader_cohort(entries, I.entry_cutoff(entries))
 
 
-@query("w06_random_cohort")
+@query("w06_random_cohort", """
+  SELECT taker FROM (SELECT DISTINCT taker FROM entries) ORDER BY md5('7:' || taker), taker LIMIT 5""", ("entries",))
 def _(spark, sf):
     return I.random_cohort(I.entries_only(_timeline(spark, sf)), seed=7, n=5)
 
@@ -290,7 +291,7 @@ def _(spark, sf):
 # Four series on hourly clocks; the value is the highest price of the hour.
 _SERIES = """
   SELECT nonusdc_side || '_' || taker_direction AS series, timestamp // 3600 * 3600 AS timestamp, max(price) AS value
-  FROM trades WHERE usd_amount > 2 GROUP BY 1, 2"""
+  FROM trades GROUP BY 1, 2"""
 _NAMES = ["token1_BUY", "token1_SELL", "token2_BUY", "token2_SELL"]
 _WIDE = "SELECT timestamp, " + ", ".join(
     f"max(value) FILTER (series = '{n}') AS {n}" for n in _NAMES) + f" FROM ({_SERIES}) GROUP BY 1"
@@ -298,8 +299,7 @@ _WIDE = "SELECT timestamp, " + ", ".join(
 
 def _series(spark, sf):
     return (
-        trades(spark, sf).where("usd_amount > 2")
-        .groupBy(F.concat_ws("_", "nonusdc_side", "taker_direction").alias("series"),
+        trades(spark, sf).groupBy(F.concat_ws("_", "nonusdc_side", "taker_direction").alias("series"),
                  (F.floor(F.col("timestamp") / 3600) * 3600).alias("timestamp"))
         .agg(F.max("price").alias("value"))
     )

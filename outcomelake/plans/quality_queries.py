@@ -160,6 +160,10 @@ def _(spark, sf):
     return rounded(Q.bet_distribution(_stats(spark, sf)), "mean_n_bets")
 
 
-@query("q09_fingerprint")
+@query("q09_fingerprint", """
+  SELECT count(*) AS rows, CAST(sum(('0x' || substr(md5(concat_ws('|', maker, maker_direction, market_id, nonusdc_side,
+           orderfilled_id, printf('%.9f', price), taker, taker_direction, CAST(timestamp AS VARCHAR), printf('%.9f', token_amount),
+           "transactionHash", printf('%.9f', usd_amount))), 1, 15))::BIGINT::HUGEINT) AS VARCHAR) AS content_hash
+  FROM trades""", ("trades",))
 def _(spark, sf):
-    return Q.fingerprint(compute_player_stats(trades(spark, sf)))
+    return Q.fingerprint(trades(spark, sf))

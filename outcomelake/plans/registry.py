@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from outcomelake.plans.fixtures import with_ctes
-from outcomelake.session import use_utc
+from outcomelake.session import CHECKPOINT_DIR_KEY, use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,9 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Cal
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            if not spark.conf.get(CHECKPOINT_DIR_KEY, None):
+                # The warehouse is shared on a cluster too.
+                spark.conf.set(CHECKPOINT_DIR_KEY, spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
             return fn(use_utc(spark), sf_dir)
 
         if name in QUERIES:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,21 +47,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_base: str | None = None
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint directory.
-
-    ``spark.checkpoint.dir`` names storage every executor sees.  Only where it
-    is unset (local tests) does this fall back to a temporary folder.
-    """
-    global _local_base
+    """A fresh folder below ``spark.checkpoint.dir``, storage that the driver and every executor see."""
     base = spark.conf.get(CHECKPOINT_DIR_KEY, None)
     if not base:
-        if _local_base is None:
-            _local_base = tempfile.mkdtemp(prefix="spark-outcomelake-", dir="/tmp")
-        base = _local_base
+        raise ValueError(f"set {CHECKPOINT_DIR_KEY} to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -1,4 +1,4 @@
-"""Parquet footers of a source as a DataFrame, read by tasks."""
+"""The columns that each Parquet file of a source was written with, read by tasks."""
 
 from __future__ import annotations
 
@@ -8,79 +8,38 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-FOOTER_SCHEMA = (
-    "path string, year int, month int, bytes long, modified timestamp, rows long, "
-    "min_timestamp long, max_timestamp long, schema_json string"
-)
-SPARK_SCHEMA_KEY = b"org.apache.spark.sql.parquet.row.metadata"
+SCHEMA = "path string, schema_json string"
 
 
-def file_footers(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file: size, row count, range of ``timestamp``, and schema.
+def file_schemas(spark: SparkSession, root: str) -> DataFrame:
+    """One row per file: path and Spark schema.  Empty if the source does not exist.
 
-    Only paths and sizes are listed by the scan; each task opens the footers of
-    its share of the files.  Empty if the source does not exist.
+    Only for sources whose files disagree in types, which no single Spark scan can
+    read; tasks open the footers.
     """
     try:
         listing = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true")
-            .load(root)
-            .selectExpr("path", "length AS bytes", "modificationTime AS modified")
+            spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+            .load(root).select("path")
         )
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
-        return spark.createDataFrame([], FOOTER_SCHEMA)
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    return listing.coalesce(tasks).mapInPandas(_read_footers, FOOTER_SCHEMA)
+        return spark.createDataFrame([], SCHEMA)
+    return listing.mapInPandas(_read, SCHEMA)
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for files in batches:
-        facts = [_footer(path) for path in files["path"]]
-        extra = pd.DataFrame(
-            facts, columns=["year", "month", "rows", "min_timestamp", "max_timestamp", "schema_json"]
-        ).astype({c: "Int64" for c in ("year", "month", "rows", "min_timestamp", "max_timestamp")})
-        out = pd.concat([files.reset_index(drop=True), extra], axis=1)
-        yield out[
-            ["path", "year", "month", "bytes", "modified", "rows", "min_timestamp", "max_timestamp",
-             "schema_json"]
-        ]
+        yield pd.DataFrame({"path": files["path"], "schema_json": [_schema(path) for path in files["path"]]})
 
 
-def _footer(path: str) -> tuple:
+def _schema(path: str) -> str:
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
+    from pyspark.sql.pandas.types import from_arrow_schema
 
     uri = "file://" + path[len("file:"):] if path.startswith("file:/") and path[6:7] != "/" else path
     filesystem, local = pafs.FileSystem.from_uri(uri)
     with filesystem.open_input_file(local) as handle:
-        meta = pq.ParquetFile(handle).metadata
-    keys = dict(part.split("=", 1) for part in path.split("/") if "=" in part)
-    low, high = _range(meta, "timestamp")
-    schema = (meta.metadata or {}).get(SPARK_SCHEMA_KEY, b"").decode() or _arrow_schema(meta)
-    return _int(keys.get("year")), _int(keys.get("month")), meta.num_rows, low, high, schema
-
-
-def _int(text: str | None) -> int | None:
-    return int(text) if text and text.isdigit() else None
-
-
-def _range(meta, column: str) -> tuple[int | None, int | None]:
-    names = [meta.schema.column(i).path for i in range(meta.num_columns)]
-    if column not in names:
-        return None, None
-    stats = [meta.row_group(g).column(names.index(column)).statistics for g in range(meta.num_row_groups)]
-    known = [s for s in stats if s is not None and s.has_min_max]
-    if not known:
-        return None, None
-    return min(int(s.min) for s in known), max(int(s.max) for s in known)
-
-
-def _arrow_schema(meta) -> str:
-    """The Spark form of a schema written by another engine."""
-    from pyspark.sql.pandas.types import from_arrow_schema
-
-    return from_arrow_schema(meta.schema.to_arrow_schema()).json()
+        return from_arrow_schema(pq.ParquetFile(handle).schema_arrow).json()

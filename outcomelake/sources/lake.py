@@ -5,9 +5,9 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors.exceptions.captured import CapturedException as SparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,8 @@ from outcomelake.operators.fills import (
 )
 from outcomelake.operators.quality import assert_valid
 from outcomelake.schemas import contract, has_contract
-from outcomelake.sources.footers import file_footers
+from outcomelake.session import materialize
+from outcomelake.sources.footers import file_schemas
 
 PARTITION = ["year", "month"]
 MAX_RUN_FILES = 16
@@ -91,18 +92,29 @@ class Lake:
     # -- sinks ---------------------------------------------------------------
 
     def write_partitioned(self, source: str, df: DataFrame) -> None:
-        """L01 — append under year=/month= of the epoch-second ``timestamp``."""
+        """L01 — append under year=/month= of the epoch-second ``timestamp``.
+
+        Rows are counted while they are written, so the input is evaluated once; an
+        empty frame writes no file.
+        """
         if "timestamp" not in df.columns:
             raise ValueError(f"{source}: a timestamp column is required")
-        if df.isEmpty():
+        written = Observation()
+        self._write(df.observe(written, F.count(F.lit(1)).alias("rows")), self.path(source))
+        if not written.get["rows"]:
             raise ValueError(f"{source}: refusing to write an empty frame")
-        self._write(df, self.path(source))
 
     def _write(self, df: DataFrame, path: str, mode: str = "append", order: list[str] | None = None) -> None:
-        """Rebalancing lets AQE merge small months into one file and split large ones over many tasks."""
-        placed = df.withColumns(_month_columns()).hint("rebalance", *[F.col(c) for c in PARTITION])
+        """Rebalancing lets AQE merge small months into one file and split large ones over many tasks.
+
+        With ``order`` rows are dealt out by ranges of it, so the files of a month
+        hold disjoint ranges and readers skip by them.
+        """
+        placed = df.withColumns(_month_columns())
         if order:
-            placed = placed.sortWithinPartitions(*PARTITION, *order)
+            placed = placed.repartitionByRange(*PARTITION, *order).sortWithinPartitions(*PARTITION, *order)
+        else:
+            placed = placed.hint("rebalance", *[F.col(c) for c in PARTITION])
         (
             placed.write.mode(mode)
             .partitionBy(*PARTITION)
@@ -140,23 +152,38 @@ class Lake:
 
     # -- scans ---------------------------------------------------------------
 
+    def _stored(self, source: str, year: int | None = None, month: int | None = None) -> T.StructType | None:
+        """The merged columns of the files of a source, a year or a month; None if they cannot be merged."""
+        path = self.path(source)
+        part = "".join(f"/{n}={v}" for n, v in (("year", year), ("month", month)) if v is not None)
+        try:
+            return self.spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path + part).schema
+        except (AnalysisException, SparkException) as problem:
+            if any(code in str(problem) for code in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+                return T.StructType([])
+            if "MERGE" in str(problem).upper():
+                return None
+            raise
+
     def scan(self, source: str, year: int | None = None, month: int | None = None) -> DataFrame:
         """L04 — a source, pruned to a year or month by its directories; empty if absent.
 
-        The contract is the read schema, so additive columns read as null in older
-        files and no footers are merged.
+        All stored columns, those of the contract in its types; contract columns that no
+        file has are null.  Where files disagree in the type of a column, L05 reads them.
         """
-        schema = None
-        if has_contract(source):
-            fields = [f for f in contract(source).struct() if f.name not in PARTITION]
+        wanted = list(contract(source).struct()) if has_contract(source) else []
+        stored = self._stored(source, year if year is not None else None, month if year is not None else None)
+        if stored is None:
+            df = self.scan_evolving(source)
+        else:
+            known = {f.name for f in wanted}
+            fields = [f for f in wanted if f.name not in PARTITION]
+            fields += [f for f in stored if f.name not in known and f.name not in PARTITION]
+            if not len(stored):
+                schema = T.StructType([*fields, *[T.StructField(c, T.IntegerType()) for c in PARTITION]] if wanted else [])
+                return self.spark.createDataFrame([], schema)
             schema = T.StructType([*fields, *[T.StructField(c, T.IntegerType()) for c in PARTITION]])
-        try:
-            reader = self.spark.read
-            df = (reader.schema(schema) if schema else reader).parquet(self.path(source))
-        except AnalysisException as missing:
-            if not any(code in str(missing) for code in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
-                raise
-            return self.spark.createDataFrame([], schema or T.StructType([]))
+            df = self.spark.read.schema(schema).parquet(self.path(source))
         if year is not None:
             df = df.where(F.col("year") == year)
         return df if month is None else df.where(F.col("month") == month)
@@ -167,7 +194,7 @@ class Lake:
         Footers are read by tasks; the driver sees the few distinct schemas.  A
         column takes its contract's type, else text where the types differ.
         """
-        files = file_footers(self.spark, self.path(source))
+        files = file_schemas(self.spark, self.path(source))
         groups = files.groupBy("schema_json").agg(F.collect_list("path").alias("paths")).collect()
         if not groups:
             return self.scan(source)
@@ -227,10 +254,27 @@ class Lake:
 
     # -- inventory -----------------------------------------------------------
 
+    def _files(self, source: str) -> DataFrame:
+        """Per file with rows: month, size, modification, number of rows and range of ``timestamp``."""
+        kinds = {"timestamp": T.LongType(), "year": T.IntegerType(), "month": T.IntegerType()}
+        schema = T.StructType([T.StructField(c, t) for c, t in kinds.items()])
+        try:
+            rows = self.spark.read.schema(schema).parquet(self.path(source))
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            return self.spark.createDataFrame(
+                [], "year int, month int, path string, bytes long, modified timestamp, rows long, min_timestamp long, max_timestamp long")
+        facts = [F.col(f"_metadata.{c}").alias(a) for c, a in (
+            ("file_path", "path"), ("file_size", "bytes"), ("file_modification_time", "modified"))]
+        return rows.select(*kinds, *facts).groupBy(*PARTITION, "path", "bytes", "modified").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("min_timestamp"), F.max("timestamp").alias("max_timestamp"))
+
     def partition_inventory(self, source: str) -> DataFrame:
         """L16 — per month: files, run files, rows, bytes, time range, schema fingerprint, compacted.
 
-        Everything comes from file footers, no data page is read.
+        Only the ``timestamp`` column is read.  The fingerprint is that of the source's
+        merged columns, or null where its files disagree in types.
         """
         marks = (
             self._state("compactions", _COMPACTED)
@@ -239,8 +283,9 @@ class Lake:
             .agg(F.max("modified").alias("_done"))
         )
         run = F.col("_done").isNull() | (F.col("modified") > F.col("_done"))
+        stored = self._stored(source)
         return (
-            file_footers(self.spark, self.path(source))
+            self._files(source)
             .join(marks, PARTITION, "left")
             .groupBy(*PARTITION)
             .agg(
@@ -250,10 +295,9 @@ class Lake:
                 F.sum("bytes").alias("bytes"),
                 F.min("min_timestamp").alias("min_timestamp"),
                 F.max("max_timestamp").alias("max_timestamp"),
-                F.sha2(F.concat_ws("|", F.array_sort(F.collect_set("schema_json"))), 256)
-                .alias("schema_sha256"),
                 F.max("modified").alias("modified"),
             )
+            .withColumn("schema_sha256", F.sha2(F.lit(None if stored is None else stored.json()).cast("binary"), 256))
             .withColumn("compacted", F.col("run_files") == 0)
         )
 
@@ -274,8 +318,9 @@ class Lake:
         return reduce(DataFrame.unionByName, totals)
 
     def max_timestamp(self, source: str) -> int | None:
-        """L18 — from footers, without reading data."""
-        return file_footers(self.spark, self.path(source)).agg(F.max("max_timestamp")).first()[0]
+        """L18 — of the rows of the last month that has any, found by its directory."""
+        rows = self._files(source)
+        return rows.agg(F.max("max_timestamp")).first()[0]
 
     def next_block(self, source: str = "order_filled_v2") -> int | None:
         """L18 — the block after the last one landed."""
@@ -293,8 +338,10 @@ class Lake:
         return reduce(lambda a, b: a | b, [(F.col("year") == y) & (F.col("month") == m) for y, m in months])
 
     def _compact(self, source: str, due: DataFrame, keys: list[str] | None, order: list[str] | None) -> DataFrame:
-        """Rewrite the months listed in ``due`` in one job and return their row counts.
+        """Rewrite the months listed in ``due`` in one job, every column kept, and return their row counts.
 
+        The survivor of a key is the last by ``order``: by default ``ingest_seq`` if
+        stored, then when its file landed, then ``timestamp``; content breaks ties.
         Dynamic overwrite stages the new files and swaps months at commit.
         """
         keys = self._unique_keys(source) if keys is None else keys
@@ -302,10 +349,13 @@ class Lake:
         if not months:
             return self.spark.createDataFrame([], "year int, month int, rows long")
         picked = self._months(months)
-        rows = self.scan(source).where(picked)
-        if all(k in rows.columns for k in keys):
-            order = order or [c for c in ("ingest_seq", "timestamp") if c in rows.columns]
-            content = F.xxhash64(*sorted(c for c in rows.columns if c not in PARTITION))
+        scanned = self.scan(source)
+        columns = scanned.columns
+        rows = scanned.select("*", F.col("_metadata.file_modification_time").alias("_landed")).where(picked) \
+            if self._stored(source) is not None else scanned.where(picked).withColumn("_landed", F.lit(None).cast("timestamp"))
+        if all(k in columns for k in keys):
+            order = order or [c for c in ("ingest_seq", "_landed", "timestamp") if c in rows.columns]
+            content = F.xxhash64(*sorted(c for c in columns if c not in PARTITION))
             by_key = [*PARTITION, *keys]
             lacking = rows.where(" OR ".join(f"`{k}` IS NULL" for k in keys))
             mixed = [(r.year, r.month) for r in lacking.select(*PARTITION).distinct().collect()]
@@ -317,7 +367,7 @@ class Lake:
             else:
                 rows = dedupe(rows, by_key, [*order, content], keep="last")
         path = self.path(source)
-        self._write(rows.drop(*PARTITION), path, mode="overwrite", order=["timestamp"])
+        self._write(rows.drop(*PARTITION, "_landed"), path, mode="overwrite", order=["timestamp"])
         self.spark.catalog.refreshByPath(path)
         done = self.partition_inventory(source).where(picked).select(*PARTITION, "rows", "modified").collect()
         seq = self._next_seq("compactions", _COMPACTED)
@@ -330,16 +380,20 @@ class Lake:
 
     def compact(self, source: str, year: int, month: int, keys: list[str] | None = None,
                 order: list[str] | None = None) -> int:
-        """L13 — merge a month's files, de-duplicated and time-sorted; 0 with one file or none."""
+        """L13 — merge a month's files, de-duplicated and time-sorted; 0 with one file or none, or nothing new."""
         due = self.partition_inventory(source).where(
-            (F.col("year") == year) & (F.col("month") == month) & (F.col("files") > 1)
+            (F.col("year") == year) & (F.col("month") == month) & (F.col("files") > 1) & (F.col("run_files") > 0)
         )
         first = self._compact(source, due, keys, order).first()
         return 0 if first is None else first.rows
 
     def compact_all(self, source: str, keys: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
-        """L14 — every month with more than one file, in one job."""
-        return self._compact(source, self.partition_inventory(source).where("files > 1"), keys, order)
+        """L14 — all months with their rows; those with several files, some of them new, are merged in one job."""
+        months = materialize(self.partition_inventory(source).select(*PARTITION, "rows", "files", "run_files"), "months")
+        due = months.where("files > 1 AND run_files > 0")
+        merged = self._compact(source, due, keys, order)
+        rest = months.join(merged, PARTITION, "left_anti").select(*PARTITION, "rows")
+        return merged.unionByName(rest)
 
     def due_partitions(
         self, source: str, max_run_files: int = MAX_RUN_FILES, max_bytes: int = MAX_PARTITION_BYTES
@@ -381,7 +435,8 @@ class Lake:
         """L19 — new second-generation fills to ``trades``; returns rows written.
 
         All new months run as one job.  Unknown assets or exchange parties stop
-        the run before anything is written and the mark stays where it was.
+        the run before anything is written and the mark stays where it was.  Rows that land late, before the
+        mark, are not picked up.
         """
         fills = self._after_cursor(
             self.scan("order_filled_v2"), self.cursor("trades_v2"), "block_timestamp"
@@ -394,27 +449,35 @@ class Lake:
         tail = self._tail(fills, "block_timestamp")
         if tail is None:
             return 0
-        joined = with_markets(valid_maker_fills(fills), assets).persist(StorageLevel.DISK_ONLY)
-        try:
-            gate = joined.agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.count_if(F.col("market_id").isNull()).alias("unresolved"),
-                F.count_if(is_exchange("user_id", "counterparty_id")).alias("exchange"),
-            ).first()
-            if gate.unresolved:
-                lost = joined.where("market_id IS NULL").groupBy("asset").agg(
-                    F.count(F.lit(1)).alias("rows"), F.min("block_timestamp").alias("first_timestamp")
-                )
-                sample = [r.asDict() for r in lost.orderBy("asset").limit(10).collect()]
-                raise UnresolvedAssetsError(f"{gate.unresolved} fills without market metadata: {sample}")
-            if gate.exchange:
-                raise TradeModelError(f"{gate.exchange} trades with an exchange contract as a party")
-            if gate.rows:
-                self._write(_as_trades(joined), self.path("trades"))
-        finally:
-            joined.unpersist()
+        joined = materialize(with_markets(valid_maker_fills(fills), assets), "joined-fills")
+        gate = joined.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("market_id").isNull()).alias("unresolved"),
+            F.count_if(is_exchange("user_id", "counterparty_id")).alias("exchange"),
+        ).first()
+        if gate.unresolved:
+            lost = joined.where("market_id IS NULL").groupBy("asset").agg(
+                F.count(F.lit(1)).alias("rows"), F.min("block_timestamp").alias("first_timestamp")
+            )
+            sample = [r.asDict() for r in lost.orderBy("asset").limit(10).collect()]
+            raise UnresolvedAssetsError(f"{gate.unresolved} fills without market metadata: {sample}")
+        if gate.exchange:
+            raise TradeModelError(f"{gate.exchange} trades with an exchange contract as a party")
+        written = self._append_trades(_as_trades(joined)) if gate.rows else 0
         self._advance("trades_v2", tail)
-        return gate.rows
+        return written
+
+    def _append_trades(self, trades: DataFrame) -> int:
+        """Append what the months concerned do not hold yet, so a run repeated after a crash adds nothing twice."""
+        own = _month_columns()
+        months = [(r.year, r.month) for r in trades.select(*[c.alias(n) for n, c in own.items()]).distinct().collect()]
+        stored = self.scan("trades").where(self._months(months)).select("orderfilled_id") if months else None
+        new = trades if stored is None else trades.join(stored, "orderfilled_id", "left_anti").select(*trades.columns)
+        new = materialize(new, "appended-trades")
+        rows = new.count()
+        if rows:
+            self._write(new, self.path("trades"))
+        return rows
 
     def process_v1(self) -> int:
         """L19 — new first-generation fills to ``trades``, under a mark on the input rows."""
@@ -425,13 +488,7 @@ class Lake:
         tail = self._tail(fills, "timestamp")
         if tail is None:
             return 0
-        trades = normalize_fills_v1(fills, asset_dimension(markets)).persist(StorageLevel.DISK_ONLY)
-        try:
-            rows = trades.count()
-            if rows:
-                self._write(trades, self.path("trades"))
-        finally:
-            trades.unpersist()
+        rows = self._append_trades(materialize(normalize_fills_v1(fills, asset_dimension(markets)), "new-trades"))
         self._advance("trades", tail)
         return rows
 
@@ -439,7 +496,7 @@ class Lake:
         """L19 — by generation: v1, v2 or all."""
         steps = {"v1": [self.process_v1], "v2": [self.process_v2], "all": [self.process_v1, self.process_v2]}
         if source not in steps:
-            raise ValueError("source must be one of: v1, v2, all")
+            raise ValueError(f"no such generation of fills: {source!r}; choose v1, v2 or all")
         return sum(step() for step in steps[source])
 
     def export_snapshot(self, sources: list[str], tag: str, destination: str) -> None:

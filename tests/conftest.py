@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -20,6 +21,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g",
             "spark.sql.warehouse.dir": "/tmp/outcomelake-warehouse",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="spark-tests-", dir="/tmp"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -39,10 +39,12 @@ def test_stored_tables_prune_columns_and_push_filters(spark):
     assert "transactionHash" not in text.split("ReadSchema")[1]
 
 
-def test_scratch_folder_without_a_checkpoint_setting():
+def test_scratch_folder_needs_the_checkpoint_setting(spark):
     class Unset:
         class conf:
             get = staticmethod(lambda key, default=None: None)
 
-    one, two = (session.shared_folder(Unset, "x") for _ in range(2))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Unset, "x")
+    one, two = (session.shared_folder(spark, "x") for _ in range(2))
     assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]

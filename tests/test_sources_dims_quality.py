@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from outcomelake.functions import epoch_from_iso
 from outcomelake.operators import dims as D
 from outcomelake.operators import quality as Q
-from outcomelake.operators.fills import dedupe, dedupe_guarded, mark_taker_orders, sample_fixture, valid_maker_fills
+from outcomelake.operators.fills import dedupe, mark_taker_orders, sample_fixture, valid_maker_fills
 from outcomelake.schemas import contract, has_contract
 from outcomelake.sources import readers as R
 
@@ -161,7 +161,7 @@ def test_dedupe_rules(spark):
     keyed = df.where("id IS NOT NULL")
     assert dedupe(keyed, ["id"], ["n"]).first().v == "y"
     assert dedupe(keyed, ["id"], ["n"], keep="first").first().v == "x"
-    assert dedupe_guarded(df, ["id"], ["n"]).count() == 4 and dedupe_guarded(keyed, ["id"], ["n"]).count() == 1
+    assert dedupe(keyed, ["id"], ["n"]).count() == 1
     plan = dedupe(keyed, ["id"], ["n"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     with pytest.raises(ValueError):
