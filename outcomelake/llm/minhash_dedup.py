@@ -14,13 +14,14 @@ only where a document has little else.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from outcomelake.llm.common import append_columns, materialize, mix, windows, word_ids
+from outcomelake.llm.common import append_columns, materialize, mix, numbered, windows, word_ids
 from outcomelake.llm.components import components
 
 #: Values of a sketch, those that propose pairs, and those of the first round.
@@ -31,6 +32,8 @@ FREQUENT = 16
 FEW = 20
 #: Pairs whose estimate is below this share of the threshold are dropped.
 FAR_OFF = 0.5
+#: Members from which on a list is long, documents of a block, columns of a matrix.
+SHORT, BLOCK, COLUMNS = 16, 128, 4096
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
@@ -118,8 +121,13 @@ def _keys(values: Column) -> Column:
         F.array().cast("array<bigint>"))
 
 
-def _second_pairs(classes: DataFrame, tied: DataFrame, percent: int) -> DataFrame:
-    """All pairs across components that share two neighbouring proposing values and have sizes within reach."""
+def _second_links(classes: DataFrame, tied: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """All links across components, of pairs that share two neighbouring proposing values and have sizes within reach.
+
+    Pairs of short lists are rows.  The members of long lists, families of texts that
+    are alike but mostly not linked, are put in order and cut into blocks instead, and
+    tasks compare two blocks at a time.
+    """
     placed = materialize(
         classes.join(tied.withColumnRenamed("node", "rep"), "rep", "left")
         .select("rep", "n", "h1", "h2", "sketch", F.coalesce("component", "rep").alias("comp")), "placed")
@@ -135,13 +143,92 @@ def _second_pairs(classes: DataFrame, tied: DataFrame, percent: int) -> DataFram
         F.size("early") < FEW) & (F.size("early") < F.size("sketch"))
     keys = F.concat(
         _keys(F.slice("early", 1, PROPOSING)), F.when(few, _keys(F.slice("sketch", 1, PROPOSING))).otherwise(F.array().cast("array<bigint>")))
-    rows = materialize(ordered.select("rep", "n", "comp", F.explode(F.array_distinct(keys)).alias("key")), "proposing")
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
+    rows = materialize(ordered.select(
+        "rep", "n", "comp", F.element_at("sketch", 1).alias("least"), F.explode(F.array_distinct(keys)).alias("key")), "proposing")
+    mixed = rows.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count(F.lit(1)).alias("members")) \
+        .where("a < b").select("key", "members")
     rows = materialize(rows.join(mixed, "key"), "proposing-mixed")
-    a = rows.select("key", F.col("rep").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("c_u"))
-    b = rows.select("key", F.col("rep").alias("v"), F.col("n").alias("n_v"), F.col("comp").alias("c_v"))
+    short = rows.where(F.col("members") <= SHORT)
+    a = short.select("key", F.col("rep").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("c_u"))
+    b = short.select("key", F.col("rep").alias("v"), F.col("n").alias("n_v"), F.col("comp").alias("c_v"))
     sized = (100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
-    return a.join(b, "key").where((F.col("u") < F.col("v")) & (F.col("c_u") != F.col("c_v")) & sized).select("u", "v").distinct()
+    pairs = a.join(b, "key").where((F.col("u") < F.col("v")) & (F.col("c_u") != F.col("c_v")) & sized).select("u", "v").distinct()
+    found = _confirmed(materialize(_near(pairs, classes, percent), "pairs"), docs, width, percent)
+    return found.union(_block_links(rows.where(F.col("members") > SHORT), placed, docs, width, percent))
+
+
+def _block_links(rows: DataFrame, placed: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links among the members of long lists: a task compares two blocks of at most ``BLOCK`` documents."""
+    members = rows.groupBy("rep").agg(F.min("least").alias("least"))
+    blocks = materialize(
+        numbered(members, ["least", "rep"], "family-order").select("rep", F.floor(F.col("number") / BLOCK).alias("block")), "family-blocks")
+    # Lists of one family mostly meet in the same blocks: distinct sets of blocks come first, then their pairs.
+    sets = rows.join(blocks, "rep").groupBy("key").agg(F.array_sort(F.collect_set("block")).alias("met")).select("met").distinct()
+    meeting = sets.select(F.explode("met").alias("x"), "met").select("x", F.explode("met").alias("y")).where("x <= y").distinct()
+    sides = meeting.select("x", "y", F.col("x").alias("block")).union(meeting.where("x < y").select("x", "y", "y"))
+    own = blocks.join(placed.select("rep", "comp", "n", "sketch"), "rep")
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(blocks.select("rep"), "rep")
+    full = materialize(own.join(texts, "rep"), "family-texts")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        return _links_of_blocks(group, width, percent)
+
+    kind = dict(blocks.dtypes)["rep"]
+    return materialize(sides.join(full, "block").groupBy("x", "y").applyInPandas(compare, f"u {kind}, v {kind}"), "family-links")
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the sets share, by products of 0/1 matrices of some columns at a time."""
+    values, times = np.unique(np.concatenate(sets), return_counts=True)
+    values = values[times > 1]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    every = np.concatenate(sets)
+    at = np.searchsorted(values, every)
+    held = at < len(values)
+    held[held] = values[at[held]] == every[held]
+    owner, at = owner[held], at[held]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    for first in range(0, len(values), COLUMNS):
+        a, b = np.searchsorted(at, [first, first + COLUMNS])
+        part = np.zeros((len(sets), min(COLUMNS, len(values) - first)), np.float32)
+        part[owner[a:b], at[a:b] - first] = 1
+        out += (part @ part.T).astype(np.int64)
+    return out
+
+
+def _links_of_blocks(group: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
+    """A forest of the links between two blocks, or within one; pairs far off by their sketches stay out."""
+    group = group.drop_duplicates(["rep", "text"]).reset_index(drop=True)
+    sketches = [np.asarray(s, np.int64) for s in group["sketch"]]
+    size = group["n"].to_numpy()
+    stored = np.array([len(s) for s in sketches])
+    block, comp, rep = (group[c].to_numpy() for c in ("block", "comp", "rep"))
+    near = 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
+    near &= comp[:, None] != comp[None, :]
+    if (block != block[0]).any():
+        near &= block[:, None] != block[None, :]
+    near &= 100 * _shared(sketches) >= FAR_OFF * percent * np.maximum.outer(stored, stored)
+    used = np.flatnonzero(near.any(1))
+    parent = {int(r): int(r) for r in rep[used]}
+    out = []
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = k = parent[parent[k]]
+        return k
+
+    if len(used):
+        sets = [shingles(t, width) for t in group["text"].iloc[used]]
+        shared, length = _shared(sets), np.array([len(s) for s in sets])
+        linked = near[np.ix_(used, used)] & (shared > 0) & (100 * shared >= percent * (length[:, None] + length[None, :] - shared))
+        for i, j in zip(*np.nonzero(np.triu(linked))):
+            a, b = root(int(rep[used[i]])), root(int(rep[used[j]]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((int(rep[used[i]]), int(rep[used[j]])))
+    return pd.DataFrame(out, columns=["u", "v"])
 
 
 def _marked(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -153,8 +240,7 @@ def _marked(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .agg(F.min_by(F.struct("n_shingles", "sketch"), "doc_id").alias("s"), F.min("doc_id").alias("rep"))
         .select("h1", "h2", "rep", F.col("s.n_shingles").alias("n"), F.col("s.sketch").alias("sketch")), "classes")
     first = _confirmed(materialize(_near(_first_pairs(classes), classes, percent), "pairs"), docs, width, percent)
-    second = _confirmed(
-        materialize(_near(_second_pairs(classes, components(first), percent), classes, percent), "pairs"), docs, width, percent)
+    second = _second_links(classes, components(first), docs, width, percent)
     found = components(first.union(second))
     groups = classes.select("h1", "h2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("h1", "h2", F.coalesce("component", "rep").alias("component"))

@@ -52,8 +52,11 @@ def copies(rng):
     return texts + [passage] * 40 + [passage + " " + prose(rng, rng.randint(0, 6)) for _ in range(60)]
 
 
-@pytest.mark.parametrize("width,percent", [(3, 85), (5, 80)])
-def test_near_duplicates(make_docs, width, percent):
+@pytest.mark.parametrize("width,percent,short", [(3, 85, 16), (5, 80, 1), (3, 85, 1)])
+def test_near_duplicates(make_docs, monkeypatch, width, percent, short):
+    monkeypatch.setattr(minhash_dedup, "SHORT", short)  # 1: every list goes by blocks
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 16)
+    monkeypatch.setattr(minhash_dedup, "COLUMNS", 64)
     texts = copies(random.Random(width))
     sets = []
     for t in texts:
