@@ -5,16 +5,14 @@ window puts a whole key into one task.  Here keys above a share of the input
 are cut into time slices; slices are processed in parallel and joined up by a
 carried value per slice.
 
-Bounds: with a threshold of ``limit = max(min_rows, share * rows)`` at most
-``1/share`` keys can exceed it, and a key with ``n`` rows is cut into at most
-``slices_per_limit * n / limit + 1`` slices, so the key table holds at most
-``1/share`` rows and the carry table ``(slices_per_limit + 1)/share``, however
-large the input is.  Within a slice the rows of one second stay together.
+A key above ``limit`` rows is cut where the running count of its time buckets
+passes a multiple of the limit, so slices hold about equally many rows however the
+rows cluster in time.  At most ``1/limit`` of the rows are hot keys, each with at
+most ``most_slices`` slices.  Rows of one bucket stay together.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,9 +23,9 @@ SLICE = "_slice"
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    share: float = 2e-5
-    min_rows: int = 2_000_000
-    slices_per_limit: int = 4
+    limit: int = 1_000_000
+    bucket: int = 10
+    most_slices: int = 1000
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -36,40 +34,39 @@ DEFAULT_POLICY = SkewPolicy()
 def hot_keys(
     df: DataFrame, keys: list[str], ts: str, policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame | None:
-    """Keys above the limit with the start and width of their time slices, None if there are none.
+    """Keys above the limit with the starts of their time slices, None if there are none.
 
-    Runs at once, like a pivot without values does, so that inputs without a hot
-    key get a plain one-shuffle window: a row count, and only above ``min_rows``
-    one aggregation of the key and time columns, combined map-side.
+    Runs at once, like a pivot without values does, at every size of the input:
+    one aggregation of the key and time columns, combined map-side, so that inputs
+    without a hot key get a plain one-shuffle window.
     """
-    total = df.count()
-    if total <= policy.min_rows:
-        return None
-    limit = max(policy.min_rows, math.ceil(total * policy.share))
-    stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi")
-    )
-    width = (F.col("_hi") - F.col("_lo") + 1) * limit / (F.col("_n") * F.lit(policy.slices_per_limit))
-    hot = stats.where(F.col("_n") > limit).select(
-        *keys, F.col("_lo"), F.greatest(F.lit(1).cast("long"), F.ceil(width)).alias("_width")
-    )
+    bucket = F.floor(F.col(ts) / policy.bucket)
+    counts = df.groupBy(*keys, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.select(
+        *keys, "_b", F.sum("_n").over(whole).alias("_rows_all"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows_before"),
+    ).where(F.col("_rows_all") > policy.limit)
+    size = F.greatest(F.lit(policy.limit), F.ceil(F.col("_rows_all") / policy.most_slices))
+    starts = placed.groupBy(*keys, F.floor(F.col("_rows_before") / size).alias("_k")).agg((F.min("_b") * policy.bucket).alias("_s"))
+    hot = starts.groupBy(*keys).agg(F.array_sort(F.collect_list("_s")).alias("_starts"))
     rows = hot.collect()
     return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
 def _slice_number(ts: str) -> Column:
-    return F.floor((F.col(ts) - F.col("_lo")) / F.col("_width"))
+    return (F.size(F.filter("_starts", lambda s: s <= F.col(ts))) - 1).cast("long")
 
 
 def slice_rows(df: DataFrame, hot: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """Every row with its slice number; rows of ordinary keys share slice -1."""
-    number = F.coalesce(_slice_number(ts), F.lit(-1).cast("long"))
-    return df.join(F.broadcast(hot), keys, "left").withColumn(SLICE, number).drop("_lo", "_width")
+    number = F.when(F.col("_starts").isNotNull(), _slice_number(ts)).otherwise(F.lit(-1).cast("long"))
+    return df.join(F.broadcast(hot), keys, "left").withColumn(SLICE, number).drop("_starts")
 
 
 def hot_rows(df: DataFrame, hot: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """Only the rows of hot keys, sliced."""
-    return df.join(F.broadcast(hot), keys).withColumn(SLICE, _slice_number(ts)).drop("_lo", "_width")
+    return df.join(F.broadcast(hot), keys).withColumn(SLICE, _slice_number(ts)).drop("_starts")
 
 
 def running_sum(

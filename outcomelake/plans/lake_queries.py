@@ -191,7 +191,7 @@ def _(spark, sf):
 def _metadata_lake(spark, sf) -> Lake:
     """A lake with both fill generations, market metadata and the asset dimension."""
     lake = _drifting_lake(spark, sf)
-    lake.write_partitioned("order_filled_v2", fills_v2(spark, sf).where("ingest_seq = 0"))
+    lake.write_partitioned("order_filled_v2", fills_v2(spark, sf))
     lake.write_partitioned("markets", part_markets(spark, sf).drop("p_size", "p_partkey"))
     lake.publish_snapshot("market_assets", asset_dimension(part_markets(spark, sf)))
     return lake
@@ -212,7 +212,7 @@ _ADHOC = """
   FROM {fills} f JOIN {assets} m ON f.asset = m.asset GROUP BY m.token_side, f.side"""
 
 
-@query("l12_adhoc_sql", _ADHOC.format(fills="(SELECT * FROM fills_v2 WHERE ingest_seq = 0)", assets="assets"),
+@query("l12_adhoc_sql", _ADHOC.format(fills="fills_v2", assets="assets"),
        ("fills_v2", "assets"))
 def _(spark, sf):
     lake = _metadata_lake(spark, sf)
@@ -234,13 +234,24 @@ def _compactable(spark, sf) -> Lake:
 
 
 @query("l13_compact", """
-  SELECT id, order_type FROM latest_fills_v2
+  SELECT id, order_type, ingest_seq FROM latest_fills_v2
   WHERE year(make_timestamp(timestamp * 1000000)) = 1998 AND month(make_timestamp(timestamp * 1000000)) = 5""",
        ("latest_fills_v2",))
 def _(spark, sf):
     lake = _compactable(spark, sf)
     lake.compact("fills", 1998, 5, keys=["id"], order=["version"])
-    return lake.scan("fills", 1998, 5).select("id", "order_type")
+    return lake.scan("fills", 1998, 5).select("id", "order_type", "ingest_seq")
+
+
+@query("l13_compact_drifted", """
+  SELECT id, timestamp, maker, "makerAssetId", "makerAmountFilled", taker, "takerAssetId", "takerAmountFilled",
+         "transactionHash", CASE WHEN "makerAssetId" = '0' THEN NULL ELSE 'x' END AS venue FROM fills_v1
+  WHERE year(make_timestamp(timestamp * 1000000)) = 1998 AND month(make_timestamp(timestamp * 1000000)) = 5""",
+       ("fills_v1",))
+def _(spark, sf):
+    lake = _drifting_lake(spark, sf)
+    lake.compact("orderFilled", 1998, 5)
+    return lake.scan("orderFilled", 1998, 5).drop("year", "month")
 
 
 @query("l14_compact_all", f"SELECT {_MONTH}, count(*) AS rows FROM latest_fills_v2 GROUP BY 1, 2",
@@ -268,7 +279,7 @@ def _(spark, sf):
 
 @query("l17_source_inventory", """
   SELECT 'order_filled_v2' AS source, count(*) AS rows, max(timestamp) AS latest_timestamp
-  FROM fills_v2 WHERE ingest_seq = 0 UNION ALL
+  FROM fills_v2 UNION ALL
   SELECT 'market_assets', count(*), max(timestamp) FROM assets UNION ALL SELECT 'trades', 0, -1""",
        ("fills_v2", "assets"))
 def _(spark, sf):
@@ -326,7 +337,7 @@ def _(spark, sf):
     return lake.scan("trades").drop("year", "month")
 
 
-@query("l20_export_snapshot", _monthly_sql("fills_v2", "amount_usdc", "WHERE ingest_seq = 0"), ("fills_v2",))
+@query("l20_export_snapshot", _monthly_sql("fills_v2", "amount_usdc"), ("fills_v2",))
 def _(spark, sf):
     lake = _metadata_lake(spark, sf)
     target = shared_folder(spark, "export")

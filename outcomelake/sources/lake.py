@@ -5,8 +5,8 @@ from __future__ import annotations
 import json
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.errors.exceptions.captured import CapturedException as SparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,10 +158,10 @@ class Lake:
         part = "".join(f"/{n}={v}" for n, v in (("year", year), ("month", month)) if v is not None)
         try:
             return self.spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path + part).schema
-        except (AnalysisException, SparkException) as problem:
+        except (AnalysisException, Py4JJavaError) as problem:
             if any(code in str(problem) for code in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
                 return T.StructType([])
-            if "MERGE" in str(problem).upper():
+            if "CANNOT_MERGE_SCHEMAS" in str(problem):
                 return None
             raise
 

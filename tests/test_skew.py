@@ -6,12 +6,12 @@ import random
 
 import pytest
 
-from outcomelake.functions.skew import SkewPolicy, hot_keys, running_sum
+from outcomelake.functions.skew import SLICE, SkewPolicy, hot_keys, running_sum, slice_rows
 from outcomelake.operators.asof import asof_forward
 from outcomelake.operators.backtest import _slots, admit_by_capital
 
-LOW = SkewPolicy(share=0.01, min_rows=5, slices_per_limit=4)
-SLICED = SkewPolicy(share=0.01, min_rows=120, slices_per_limit=3)
+LOW = SkewPolicy(limit=5, bucket=1)
+SLICED = SkewPolicy(limit=40, bucket=5)
 
 
 def _rows(n, seed):
@@ -41,6 +41,16 @@ def test_plain_window_without_hot_keys(spark):
     assert "BroadcastHashJoin" not in plan
 
 
+def test_slices_of_rows_that_cluster_in_time(spark):
+    day = 86_400
+    df = spark.range(100_000).selectExpr(
+        "'m' AS k", f"IF(id % 10 = 0, id * {99 * day} DIV 100000, {99 * day} + id * 3600 DIV 100000) AS ts", "id")
+    policy = SkewPolicy(limit=1000)
+    hot = hot_keys(df, ["k"], "ts", policy)
+    sizes = [r["count"] for r in slice_rows(df, hot, ["k"], "ts").groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 100_000 and max(sizes) <= 2 * policy.limit
+
+
 @pytest.mark.parametrize("strict", [True, False])
 @pytest.mark.parametrize("policy", [LOW, SkewPolicy()])
 def test_asof_forward_matches_brute_force(spark, strict, policy):
