@@ -188,13 +188,15 @@ def repeats(docs: DataFrame, length: int = 200, keep_text: bool = False) -> Data
         raise ValueError("length takes 1 to 65535 bytes")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", "text", *_text_keys())
     long_rows = rows.where(F.octet_length("text") >= length)
-    made = _rows(long_rows, length).withColumn("row", F.xxhash64("t1", "t2", "place"))
-    shared = made.groupBy("gram").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b").select("gram")
-    left = materialize(made.join(shared, "gram"), "shared-anchors")
+    made = _rows(long_rows, length)
+    shared = made.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    left = materialize(made.join(shared, "gram").withColumn("row", F.xxhash64("t1", "t2", "place")), "shared-anchors")
+    # Rows of equal texts are one; a region is repeated when two rows differ.
     regions = materialize(left.groupBy("gram", "region").agg(F.min("row").alias("a"), F.max("row").alias("b")), "regions")
     several = regions.groupBy("gram").agg(F.min("region").alias("x"), F.max("region").alias("y")).where("x <> y").select("gram", F.lit(True).alias("more"))
+    known = regions.join(several, "gram", "left").where("a <> b or more")
     judged = (
-        left.join(regions, ["gram", "region"]).join(several, "gram", "left")
+        left.join(known, ["gram", "region"])
         .select("t1", "t2", "place", (F.col("a") != F.col("b")).alias("decided"),
                 (F.col("more").isNotNull() & ((F.col("a") == F.col("b")) | (F.col("row") == F.col("a")))).alias("open"))
         .where("decided or open").groupBy("t1", "t2").agg(  # at most the rows of one text
@@ -207,7 +209,11 @@ def repeats(docs: DataFrame, length: int = 200, keep_text: bool = False) -> Data
     windows = materialize(_windows(texts.where(F.size("open") > 0), length), "windows")
     twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
     starts = windows.join(twice, "window").groupBy("t1", "t2").agg(F.collect_list("start").alias("starts"))
-    cut = _removed(texts.select("t1", "t2", "text", "decided").join(starts, ["t1", "t2"], "left"), length, keep_text)
+    # Texts without open rows have all their spans; only the others move again.
+    own = ["t1", "t2", "text", "decided"]
+    closed = texts.where(F.size("open") == 0).select(*own, F.lit(None).cast("array<bigint>").alias("starts"))
+    opened = texts.where(F.size("open") > 0).select(*own).join(starts, ["t1", "t2"], "left").select(*own, "starts")
+    cut = _removed(closed.union(opened), length, keep_text)
     copied = long_rows.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("t1", "t2", F.lit(True).alias("copied"))
     marked = cut.join(copied, ["t1", "t2"], "full")
     n = F.octet_length("text").cast("long")
