@@ -101,7 +101,11 @@ class Lake:
             raise ValueError(f"{source}: a timestamp column is required")
         written = Observation()
         self._write(df.observe(written, F.count(F.lit(1)).alias("rows")), self.path(source))
-        if not written.get["rows"]:
+        try:
+            rows = written.get["rows"]
+        except Py4JJavaError:  # a plan that Spark folds to nothing reports no metrics
+            rows = 0
+        if not rows:
             raise ValueError(f"{source}: refusing to write an empty frame")
 
     def _write(self, df: DataFrame, path: str, mode: str = "append", order: list[str] | None = None) -> None:

@@ -231,3 +231,31 @@ def test_appends_after_a_snapshot_are_read(lake, v2):
     lake.publish_snapshot("fills", v2(("a", JAN)))
     lake.write_partitioned("fills", v2(("b", FEB)))
     assert {r.id for r in lake.scan("fills").collect()} == {"a", "b"}
+
+
+def _fills(spark, rows):
+    return spark.createDataFrame(rows, "id string, timestamp long, v int, ingest_seq int")
+
+
+def test_compaction_keeps_columns_and_settles(spark, tmp_path):
+    """Columns beyond any contract survive, the last landed version stays, a second run writes nothing."""
+    lake = Lake(spark, str(tmp_path))
+    january, march = 1704067200, 1709251200
+    lake.write_partitioned("x", _fills(spark, [("a", january, 1, 0), ("b", january + 5, 1, 0), ("c", march, 1, 0)]))
+    lake.write_partitioned("x", _fills(spark, [("a", january, 2, 1)]))
+    first = {(r.year, r.month): r.rows for r in lake.compact_all("x").collect()}
+    assert first == {(2024, 1): 2, (2024, 3): 1}
+    rows = {r.id: (r.v, r.ingest_seq) for r in lake.scan("x").collect()}
+    assert rows == {"a": (2, 1), "b": (1, 0), "c": (1, 0)}
+    before = {r.path: r.modified for r in lake._files("x").collect()}
+    assert {(r.year, r.month): r.rows for r in lake.compact_all("x").collect()} == first
+    assert {r.path: r.modified for r in lake._files("x").collect()} == before
+
+
+def test_scan_shows_columns_that_only_some_files_have(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.write_partitioned("x", spark.createDataFrame([(1704067200, 1)], "timestamp long, a int"))
+    lake.write_partitioned("x", spark.createDataFrame([(1704067200, "y")], "timestamp long, b string"))
+    assert {(r.a, r.b) for r in lake.scan("x").collect()} == {(1, None), (None, "y")}
+    with pytest.raises(ValueError, match="empty"):
+        lake.write_partitioned("x", spark.createDataFrame([], "timestamp long, a int"))

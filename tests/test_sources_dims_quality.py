@@ -225,3 +225,13 @@ def test_references_status_and_fingerprint(spark):
     right = spark.createDataFrame([("y", 2), ("x", 1)], "b string, a int")
     assert Q.fingerprint(left).first() == Q.fingerprint(right).first()
     assert Q.fingerprint(left).first() != Q.fingerprint(left.limit(1)).first()
+
+
+def test_versions_of_a_fill_have_a_total_order(spark):
+    """Spelling does not decide the role, and equal versions come out alike in any input order."""
+    schema = "id string, side string, order_type string, price double, amount_usdc double, amount_shares double"
+    corrected = [("a", "BUY", "maker", 0.5, 1.0, 2.0), ("a", "BUY", "TAKER", 0.5, 1.0, 2.0)]
+    assert valid_maker_fills(spark.createDataFrame(corrected, schema)).count() == 0
+    twice = [("a", "BUY", "maker", 0.5, 1.0, 2.0), ("a", "buy", "Maker", 0.9, 1.0, 2.0)]
+    found = [valid_maker_fills(spark.createDataFrame(rows, schema)).first().price for rows in (twice, twice[::-1])]
+    assert found[0] == found[1]
