@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: Words a worker remembers before it starts anew; bounds its memory, never its results.
-WORD_CACHE = 300_000
+WORD_CACHE = 100_000
 #: Bytes of input that a task holds at once beside Spark's batch; a longer row is a chunk of its own.
 CHUNK_BYTES = 2 << 20
 

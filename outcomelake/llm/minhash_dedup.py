@@ -85,10 +85,21 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold.  Texts of documents in no pair are left behind first."""
-    ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    texts = materialize(docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id"), "pair-texts")
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Id and text of the documents among ``ids``.
+
+    The ids grow with the input, so this is a join by shuffle at every size.
+    """
+    wanted = ids.distinct().hint("merge")
+    return materialize(docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id"), "wanted-texts")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("id")).union(pairs.select("v"))
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
     joined = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("t_u")), "u") \
         .join(texts.select(F.col("id").alias("v"), F.col("text").alias("t_v")), "v")
 
@@ -153,22 +164,27 @@ def _second_links(classes: DataFrame, tied: DataFrame, docs: DataFrame, width: i
     b = short.select("key", F.col("rep").alias("v"), F.col("n").alias("n_v"), F.col("comp").alias("c_v"))
     sized = (100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
     pairs = a.join(b, "key").where((F.col("u") < F.col("v")) & (F.col("c_u") != F.col("c_v")) & sized).select("u", "v").distinct()
-    found = _confirmed(materialize(_near(pairs, classes, percent), "pairs"), docs, width, percent)
-    return found.union(_block_links(rows.where(F.col("members") > SHORT), placed, docs, width, percent))
+    pairs = materialize(_near(pairs, classes, percent), "pairs")
+    long_rows = rows.where(F.col("members") > SHORT)
+    blocks = _family_blocks(long_rows)
+    texts = _texts(docs, _ends(pairs).union(blocks.select("rep")))
+    return _confirmed(pairs, texts, width, percent).union(_block_links(long_rows, blocks, placed, texts, width, percent))
+
+
+def _family_blocks(rows: DataFrame) -> DataFrame:
+    """The members of long lists with their blocks of at most ``BLOCK``, in the order of their least values."""
+    members = numbered(rows.groupBy("rep").agg(F.min("least").alias("least")), ["least", "rep"], "family-order")
+    return materialize(members.select("rep", F.floor(F.col("number") / BLOCK).alias("block")), "family-blocks")
 
 
-def _block_links(rows: DataFrame, placed: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links among the members of long lists: a task compares two blocks of at most ``BLOCK`` documents."""
-    members = rows.groupBy("rep").agg(F.min("least").alias("least"))
-    blocks = materialize(
-        numbered(members, ["least", "rep"], "family-order").select("rep", F.floor(F.col("number") / BLOCK).alias("block")), "family-blocks")
+def _block_links(rows: DataFrame, blocks: DataFrame, placed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links among the members of long lists: a task compares two blocks."""
     # Lists of one family mostly meet in the same blocks: distinct sets of blocks come first, then their pairs.
     sets = rows.join(blocks, "rep").groupBy("key").agg(F.array_sort(F.collect_set("block")).alias("met")).select("met").distinct()
     meeting = sets.select(F.explode("met").alias("x"), "met").select("x", F.explode("met").alias("y")).where("x <= y").distinct()
     sides = meeting.select("x", "y", F.col("x").alias("block")).union(meeting.where("x < y").select("x", "y", "y"))
     own = blocks.join(placed.select("rep", "comp", "n", "sketch"), "rep")
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(blocks.select("rep"), "rep")
-    full = materialize(own.join(texts, "rep"), "family-texts")
+    full = materialize(own.join(texts.withColumnRenamed("id", "rep"), "rep"), "family-texts")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         return _links_of_blocks(group, width, percent)
@@ -239,7 +255,8 @@ def _marked(docs: DataFrame, width: int, percent: int) -> DataFrame:
         all_rows.where("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2")
         .agg(F.min_by(F.struct("n_shingles", "sketch"), "doc_id").alias("s"), F.min("doc_id").alias("rep"))
         .select("h1", "h2", "rep", F.col("s.n_shingles").alias("n"), F.col("s.sketch").alias("sketch")), "classes")
-    first = _confirmed(materialize(_near(_first_pairs(classes), classes, percent), "pairs"), docs, width, percent)
+    pairs = materialize(_near(_first_pairs(classes), classes, percent), "pairs")
+    first = _confirmed(pairs, _texts(docs, _ends(pairs)), width, percent)
     second = _second_links(classes, components(first), docs, width, percent)
     found = components(first.union(second))
     groups = classes.select("h1", "h2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \

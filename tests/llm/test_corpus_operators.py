@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from outcomelake.llm import embedding_dedup, html_text, minhash_dedup, mixing, suffix_dedup
 from outcomelake.llm.components import components
-from tests.llm.conftest import prose, row
+from llm_fixtures import make_docs, no_docs, odd_docs, prose, row  # noqa: F401
 
 
 def find_components(nodes, edges):

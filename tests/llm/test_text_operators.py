@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from outcomelake.llm import bpe, compression_quality, language_id, quality_rules, secret_scan
-from tests.llm.conftest import prose
+from llm_fixtures import make_docs, no_docs, odd_docs, prose  # noqa: F401
 
 
 @pytest.fixture(scope="module")
