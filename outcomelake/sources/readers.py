@@ -110,7 +110,7 @@ def parse_fill_events(lines: DataFrame, order: list[str]) -> DataFrame:
             "_list",
             # Blank lines hold no event; tested here because filters may be reordered.
             F.when(F.length(text) == 0, F.array().cast("array<string>"))
-            .when(~known, F.raise_error(F.lit("payload must be an object or array")))
+            .when(~known, F.raise_error(F.lit("neither a JSON object nor a list of objects")))
             .when(array_text.isNotNull(), F.from_json(array_text, "array<string>"))
             .otherwise(F.array(text)),
         )

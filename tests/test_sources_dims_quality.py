@@ -38,7 +38,7 @@ def test_jsonl_envelopes_and_last_row_wins(spark, tmp_path):
 
 @pytest.mark.parametrize("line,message", [
     ('{"id": "1"}', "missing fields: block_number"),
-    ('"text"', "object or array"),
+    ('"text"', "neither a JSON object"),
     (json.dumps({**EVENT, "block_number": "x"}), "CAST_INVALID_INPUT"),
 ])
 def test_jsonl_errors(spark, tmp_path, line, message):
