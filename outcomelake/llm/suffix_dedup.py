@@ -11,7 +11,9 @@ Equal groups of the last pass are exactly the repeated windows.
 2. The second digit is the whole region that a row's windows cover.  Equal regions decide
    all their windows at once; each goes on as one row, and only where other regions have
    the same anchor.
-3. The last digit is the window itself, for the rows that are left.
+3. Of the rows that are left, windows that start at most ``STEP`` bytes apart share most of
+   their bytes; these are the third digit.
+4. The last digit is the window itself.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from outcomelake.llm.common import append_columns, chunks, materialize, mix
 GRAM = 40
 #: Window starts that are worked on together; a longer text is done in parts.
 PART = 1 << 21
+#: Window starts that the third digit stands for.
+STEP = 16
 
 _RNG = np.random.default_rng(20240229)
 _BYTES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,8 +82,18 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(to_right[:n - width + 1], from_left[width - 1:n])
 
 
-def anchors(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window start of every run of windows with one anchor, and hashes of anchor and region."""
+def _place(first: np.ndarray, anchor: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """First window start of a run, how far behind it anchor and last start lie, in one number."""
+    return first << 32 | (anchor - first) << 16 | (last - first)
+
+
+def _unplace(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window start, anchor and last window start."""
+    return place >> 32, (place >> 32) + (place >> 16 & 0xFFFF), (place >> 32) + (place & 0xFFFF)
+
+
+def anchors(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every run of windows with one anchor: its place, and hashes of anchor and region."""
     gram = min(GRAM, length)
     out = []
     for at in range(0, len(raw) - length + 1, PART):
@@ -94,7 +108,7 @@ def anchors(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.nd
         last = np.append(first[1:], len(place)) - 1
         p = place[first]
         region = mix(_spans(sums, down, first, last + length) + (p - first).astype(np.uint64))
-        out.append((first + at, last + at, grams[p], region))
+        out.append((_place(first + at, p + at, last + at), grams[p], region))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -112,8 +126,8 @@ def _rows(texts: DataFrame, length: int) -> DataFrame:
             for k, value in enumerate(batch.column(2)):
                 raw = np.frombuffer(value.as_buffer() or b"", np.uint8) if value.is_valid else np.zeros(0, np.uint8)
                 if len(raw) >= length:
-                    first, last, gram, region = anchors(raw, length)
-                    parts.append((np.full(len(first), k), first << 16 | (last - first), gram, region))
+                    place, gram, region = anchors(raw, length)
+                    parts.append((np.full(len(place), k), place, gram, region))
             if parts:
                 row, place, gram, region = (np.concatenate(x) for x in zip(*parts))
                 yield pa.RecordBatch.from_arrays(
@@ -123,28 +137,46 @@ def _rows(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("t1", "t2", "text").mapInArrow(make, "t1 bigint, t2 bigint, place bigint, gram bigint, region bigint")
 
 
-def _windows(texts: DataFrame, length: int) -> DataFrame:
-    """The last digit: every window of the rows listed in ``open``."""
+def _digits(texts: DataFrame, length: int, last: bool) -> DataFrame:
+    """Third digit, or the last one, of the runs listed in ``open``: text key, place and hash.
+
+    The third digit of up to ``STEP`` windows, counted from the anchor, is the bytes that all of them share.
+    """
+    step = 1 if last else min(STEP, length)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (c for whole in batches for c in chunks(whole, [2])):
             for t1, t2, value, places in zip(*[batch.column(k) for k in range(4)]):
                 raw = np.frombuffer(value.as_buffer(), np.uint8)
                 found = np.array(places.as_py(), np.int64)
-                for at in range(0, len(raw), PART):  # whole texts, in parts that overlap by a window
-                    here = found[(found >> 16 >= at) & (found >> 16 < at + PART)]
+                for at in range(0, len(raw), PART):  # whole texts, in parts that overlap
+                    here = found[(found >> 32 >= at) & (found >> 32 < at + PART)]
                     if not len(here):
                         continue
                     sums, down = _prefix(raw[at:at + PART + length + (1 << 16)])
-                    first, more = (here >> 16) - at, (here & 0xFFFF) + 1
-                    start = np.repeat(first - np.append(0, np.cumsum(more)[:-1]), more) + np.arange(more.sum())
-                    n = len(start)
+                    first, anchor, final = (x - at for x in _unplace(here))
+                    low, high = (anchor - final) // step, (anchor - first) // step
+                    more = high - low + 1
+                    k = np.repeat(np.arange(len(here)), more)
+                    group = low[k] + np.arange(len(k)) - np.repeat(np.append(0, np.cumsum(more)[:-1]), more)
+                    start = np.maximum(first[k], anchor[k] - group * step - step + 1)
+                    end = np.minimum(final[k], anchor[k] - group * step)
+                    core = anchor[k] - group * step
+                    digit = mix(_spans(sums, down, core, core - step + 1 + length) + (_U(0) if last else group.astype(np.uint64)))
+                    n = len(k)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(n, t1.as_py())), pa.array(np.full(n, t2.as_py())), pa.array(start + at),
-                        pa.array(_spans(sums, down, start, start + length).astype(np.int64)),
-                    ], names=["t1", "t2", "start", "window"])
+                        pa.array(np.full(n, t1.as_py())), pa.array(np.full(n, t2.as_py())),
+                        pa.array(_place(start + at, anchor[k] + at, end + at)), pa.array(digit.astype(np.int64)),
+                    ], names=["t1", "t2", "place", "digit"])
+
+    return texts.select("t1", "t2", "text", "open").mapInArrow(make, "t1 bigint, t2 bigint, place bigint, digit bigint")
+
 
-    return texts.select("t1", "t2", "text", "open").mapInArrow(make, "t1 bigint, t2 bigint, start bigint, window bigint")
+def _repeated(rows: DataFrame, label: str, out: str) -> DataFrame:
+    """Per text the places whose digit occurs twice."""
+    rows = materialize(rows, label)
+    twice = rows.groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digit")
+    return rows.join(twice, "digit").groupBy("t1", "t2").agg(F.collect_list("place").alias(out))
 
 
 def _removed(texts: DataFrame, length: int, keep_text: bool) -> DataFrame:
@@ -161,8 +193,9 @@ def _removed(texts: DataFrame, length: int, keep_text: bool) -> DataFrame:
             rows = np.array(whole.as_py() or [], np.int64)
             single = np.array(starts.as_py() or [], np.int64)
             change = np.zeros(len(raw) + 1, np.int64)
-            np.add.at(change, np.concatenate([rows >> 16, single]), 1)
-            np.subtract.at(change, np.concatenate([(rows >> 16) + (rows & 0xFFFF), single]) + length, 1)
+            first, _, last = _unplace(np.concatenate([rows, single]))
+            np.add.at(change, first, 1)
+            np.subtract.at(change, last + length, 1)
             gone = np.cumsum(change[:-1]) > 0
             edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
             spans.append([{"start": a, "end": b} for a, b in edge.tolist()])
@@ -206,13 +239,13 @@ def repeats(docs: DataFrame, length: int = 200, keep_text: bool = False) -> Data
     texts = materialize(
         long_rows.select("t1", "t2", "text").join(judged, ["t1", "t2"]).groupBy("t1", "t2")
         .agg(*[F.first(c).alias(c) for c in ("text", "decided", "open")]), "texts-with-rows")
-    windows = materialize(_windows(texts.where(F.size("open") > 0), length), "windows")
-    twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
-    starts = windows.join(twice, "window").groupBy("t1", "t2").agg(F.collect_list("start").alias("starts"))
+    opening = texts.where(F.size("open") > 0)
+    third = _repeated(_digits(opening, length, last=False), "third-digits", "open")
+    starts = _repeated(_digits(opening.drop("open").join(third, ["t1", "t2"]), length, last=True), "windows", "starts")
     # Texts without open rows have all their spans; only the others move again.
     own = ["t1", "t2", "text", "decided"]
     closed = texts.where(F.size("open") == 0).select(*own, F.lit(None).cast("array<bigint>").alias("starts"))
-    opened = texts.where(F.size("open") > 0).select(*own).join(starts, ["t1", "t2"], "left").select(*own, "starts")
+    opened = opening.select(*own).join(starts, ["t1", "t2"], "left").select(*own, "starts")
     cut = _removed(closed.union(opened), length, keep_text)
     copied = long_rows.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("t1", "t2", F.lit(True).alias("copied"))
     marked = cut.join(copied, ["t1", "t2"], "full")
