@@ -70,6 +70,17 @@ def test_near_duplicates(make_docs, monkeypatch, width, percent, short):
         assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), want[r.doc_id], want[r.doc_id] == r.doc_id)
 
 
+@pytest.mark.parametrize("seed", [237, 733, 759])
+def test_near_duplicates_of_texts_that_are_mostly_a_shared_passage(make_docs, seed):
+    words = lambda rng, n: " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(n))
+    passage, rng = words(random.Random(12), 584), random.Random(seed)
+    text = f"{passage} {words(rng, 220)}"
+    longer = f"{text} {words(rng, 200)}"  # 800 of 1000 shingles, 580 of them the passage's
+    docs = [(k, f"{passage} {words(rng, 300)}") for k in range(30)] + [(100, text), (101, longer)]
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(make_docs(docs), 5, 80).collect()}
+    assert got == {k: k for k in range(30)} | {100: 100, 101: 100}
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     rows = minhash_dedup.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
