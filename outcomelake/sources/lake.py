@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from functools import reduce
 
@@ -274,12 +275,31 @@ class Lake:
         return rows.select(*kinds, *facts).groupBy(*PARTITION, "path", "bytes", "modified").agg(
             F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("min_timestamp"), F.max("timestamp").alias("max_timestamp"))
 
+    def _schema_hashes(self, source: str) -> DataFrame:
+        """Per month a hash of its stored columns by name; of the files' distinct columns where those disagree in types."""
+        found = self._files(source).select(*PARTITION).distinct().where("year IS NOT NULL AND month IS NOT NULL").collect()
+        stored = {(r.year, r.month): self._stored(source, r.year, r.month) for r in found}
+        columns = lambda s: sorted(f"{f.name} {f.dataType.json()}" for f in s if f.name not in PARTITION)
+        kinds = {month: [columns(s)] for month, s in stored.items() if s is not None}
+        if len(kinds) < len(stored):
+            part = lambda c: F.regexp_extract("path", rf"/{c}=(\d+)/", 1).cast("int").alias(c)
+            distinct = file_schemas(self.spark, self.path(source)).select(part("year"), part("month"), "schema_json").distinct()
+            for r in distinct.collect():
+                if stored.get((r.year, r.month), ()) is None:
+                    kinds.setdefault((r.year, r.month), []).append(columns(T.StructType.fromJson(json.loads(r.schema_json))))
+        rows = [(*month, hashlib.sha256(json.dumps(sorted(k)).encode()).hexdigest()) for month, k in kinds.items()]
+        return self.spark.createDataFrame(rows, "year int, month int, schema_sha256 string")
+
     def partition_inventory(self, source: str) -> DataFrame:
         """L16 — per month: files, run files, rows, bytes, time range, schema fingerprint, compacted.
 
-        Only the ``timestamp`` column is read.  The fingerprint is that of the source's
-        merged columns, or null where its files disagree in types.
+        Of rows only the ``timestamp`` column is read.  The fingerprint is that of the month's
+        own columns and types, so a month that drifted differs from the others.
         """
+        return self._inventory(source).join(self._schema_hashes(source), PARTITION, "left")
+
+    def _inventory(self, source: str) -> DataFrame:
+        """L16 without the fingerprint, which costs a look at the footers of each month."""
         marks = (
             self._state("compactions", _COMPACTED)
             .where(F.col("source") == source)
@@ -287,7 +307,6 @@ class Lake:
             .agg(F.max("modified").alias("_done"))
         )
         run = F.col("_done").isNull() | (F.col("modified") > F.col("_done"))
-        stored = self._stored(source)
         return (
             self._files(source)
             .join(marks, PARTITION, "left")
@@ -301,7 +320,6 @@ class Lake:
                 F.max("max_timestamp").alias("max_timestamp"),
                 F.max("modified").alias("modified"),
             )
-            .withColumn("schema_sha256", F.sha2(F.lit(None if stored is None else stored.json()).cast("binary"), 256))
             .withColumn("compacted", F.col("run_files") == 0)
         )
 
@@ -309,7 +327,7 @@ class Lake:
         """L17 — rows, files, bytes and latest timestamp per source; zeros where absent."""
         totals = []
         for source in sources:
-            per_month = self.partition_inventory(source)
+            per_month = self._inventory(source)
             totals.append(
                 per_month.agg(
                     F.lit(source).alias("source"),
@@ -373,7 +391,7 @@ class Lake:
         path = self.path(source)
         self._write(rows.drop(*PARTITION, "_landed"), path, mode="overwrite", order=["timestamp"])
         self.spark.catalog.refreshByPath(path)
-        done = self.partition_inventory(source).where(picked).select(*PARTITION, "rows", "modified").collect()
+        done = self._inventory(source).where(picked).select(*PARTITION, "rows", "modified").collect()
         seq = self._next_seq("compactions", _COMPACTED)
         self._append_state(
             "compactions", _COMPACTED, [(source, r.year, r.month, r.modified, seq) for r in done]
@@ -385,7 +403,7 @@ class Lake:
     def compact(self, source: str, year: int, month: int, keys: list[str] | None = None,
                 order: list[str] | None = None) -> int:
         """L13 — merge a month's files, de-duplicated and time-sorted; 0 with one file or none, or nothing new."""
-        due = self.partition_inventory(source).where(
+        due = self._inventory(source).where(
             (F.col("year") == year) & (F.col("month") == month) & (F.col("files") > 1) & (F.col("run_files") > 0)
         )
         first = self._compact(source, due, keys, order).first()
@@ -393,7 +411,7 @@ class Lake:
 
     def compact_all(self, source: str, keys: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
         """L14 — all months with their rows; those with several files, some of them new, are merged in one job."""
-        months = materialize(self.partition_inventory(source).select(*PARTITION, "rows", "files", "run_files"), "months")
+        months = materialize(self._inventory(source).select(*PARTITION, "rows", "files", "run_files"), "months")
         due = months.where("files > 1 AND run_files > 0")
         merged = self._compact(source, due, keys, order)
         rest = months.join(merged, PARTITION, "left_anti").select(*PARTITION, "rows")
@@ -403,7 +421,7 @@ class Lake:
         self, source: str, max_run_files: int = MAX_RUN_FILES, max_bytes: int = MAX_PARTITION_BYTES
     ) -> DataFrame:
         """L15 — months with too many new files, or new files on top of a large month."""
-        return self.partition_inventory(source).where(
+        return self._inventory(source).where(
             (F.col("run_files") > max_run_files)
             | ((F.col("run_files") > 0) & (F.col("bytes") > max_bytes))
         )

@@ -187,6 +187,17 @@ def test_inventory_and_marks(lake, v2):
     assert lake.max_timestamp("trades") is None
 
 
+def test_inventory_tells_months_whose_columns_drifted(lake, v2):
+    lake.write_partitioned("fills", v2(("a", JAN), ("b", FEB)))
+    lake.write_partitioned("fills", v2(("c", MAR)).withColumn("extra", F.lit(1)))
+    hashes = lambda: {r.month: r.schema_sha256 for r in lake.partition_inventory("fills").collect()}
+    before = hashes()
+    assert before[1] == before[2] != before[3] and None not in before.values()
+    lake.write_partitioned("fills", v2(("d", FEB)).withColumn("asset", F.lit(7)))
+    after = hashes()
+    assert (after[1], after[3]) == (before[1], before[3]) and after[2] not in (None, after[1], after[3])
+
+
 def test_stream_equals_batch_in_any_file_order(spark, lake, v2, markets, tmp_path):
     assets = asset_dimension(markets)
     lake.publish_snapshot("market_assets", assets)
