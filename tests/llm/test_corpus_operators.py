@@ -152,6 +152,16 @@ def test_pages_lose_what_their_neighbours_share(spark, monkeypatch):
     assert html_text.extract(spark.createDataFrame([], PAGES)).collect() == []
 
 
+def test_copies_under_neighbouring_urls_keep_their_text(spark):
+    page = lambda *own: "".join(f"<div>{t}</div>" for t in ("Welcome to us", *own, "All rights, whoever reads"))
+    story = ("A heading", "Short words of a story", "and a few more of them at its end", "told by nobody to anyone at all")
+    rows = [(1, "http://h.org/a/1", page("Other things")), (2, "http://h.org/a/2", page(*story)), (3, "http://h.org/a/3", page(*story)),
+            (4, "http://copies.org/1", page(*story)), (5, "http://copies.org/2", page(*story))]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[1] == "Other things" and got[2] == got[3] == "\n".join(story)
+    assert got[4] == got[5] == "\n".join(("Welcome to us", *story, "All rights, whoever reads"))
+
+
 VECTORS = "vec_id bigint, embedding array<float>, label int"
 
 
