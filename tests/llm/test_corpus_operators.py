@@ -130,6 +130,12 @@ def test_html_blocks():
     assert html_text.main_text(html_text.lines("<b>" * 3000 + "x"), set()) == "x"
 
 
+@pytest.mark.parametrize("end", ["", "</head>", "</head><body>", "<body class=promo>"])
+def test_html_head_without_end(end):
+    page = f'<!doctype html><html><head class="header"><meta charset=utf-8><title>T</title><style>p {{}}</style><script>"</p>"</script>{end}<p>text</p><div>more'
+    assert html_text.main_text(html_text.lines(page), set()) == "text\nmore"
+
+
 def test_common_lines():
     rng = random.Random(2)
     for _ in range(300):
