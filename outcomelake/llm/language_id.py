@@ -121,12 +121,18 @@ class Network:
 
 def fit(
     docs: DataFrame, per_language: int = 250, max_chars: int = 800, width: int = 16, epochs: int = 3, seed: int = 1,
+    max_languages: int = 200,
 ) -> Network:
     """Train on at most ``per_language`` texts of every non-null ``lang``, of each at most ``max_chars`` characters.
 
-    Without any such text the network knows no language.
+    Without any such text the network knows no language.  More than ``max_languages`` of
+    them raise ValueError: the sample at the driver is bounded by that number, and a language left
+    out would never be found.
     """
-    sample = labelled_sample(docs, docs, "lang", per_language, max_chars, seed)
+    known = docs.where("doc_id is not null and lang is not null").select("lang").distinct().limit(max_languages + 1).count()
+    if known > max_languages:
+        raise ValueError(f"lang has more than max_languages={max_languages} values")
+    sample = labelled_sample(docs, docs, "lang", per_language, max_chars, seed, max_languages)
     languages = sorted({lang for _, _, lang in sample})
     rng = np.random.default_rng(seed)
     rows: dict[int, list[tuple[bytes, int]]] = {}

@@ -126,6 +126,13 @@ def test_language_network_gradients():
         assert found[k][at] == pytest.approx((loss(up) - loss(down)) / (2 * step), rel=0.05, abs=2e-4)
 
 
+def test_languages_beyond_the_bound_raise(make_docs):
+    docs = make_docs([(k, "some words", f"l{k:03d}") for k in range(201)] + [(999, "other words", None)])
+    with pytest.raises(ValueError, match="max_languages"):
+        language_id.fit(docs, epochs=1)
+    assert len(language_id.fit(docs, epochs=1, max_languages=201).languages) == 201
+
+
 def test_language_identification(make_docs, odd_docs, no_docs):
     rng = random.Random(4)
     stems = {"aa": "the of ing tion er", "bb": "que aux ment ère é", "cc": "ung sch über ß ein"}
