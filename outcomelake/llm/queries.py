@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcomelake.llm import bpe, compression_quality, embedding_dedup, html_text, language_id, minhash_dedup, mixing, quality_rules, secret_scan, suffix_dedup
+from outcomelake.llm import (
+    bpe, compression_quality, embedding_dedup, html_text, language_id, minhash_dedup, mixing, packing, quality_rules, secret_scan,
+    suffix_dedup,
+)
 from outcomelake.llm.common import hash_mod, table
 
 
@@ -62,6 +65,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_compression_quality": op1_compression_quality,
@@ -74,6 +82,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_secrets": op10_secrets,
+        "op13_packing": op13_packing,
     }
 
 
