@@ -43,6 +43,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that no result reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def numbered(df: DataFrame, order: list[str], label: str) -> DataFrame:
     """``df`` with ``number``, its rows' place (from 0) in the order of columns that tell all rows apart.
 

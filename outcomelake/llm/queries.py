@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outcomelake.llm import (
-    bpe, compression_quality, embedding_dedup, html_text, language_id, minhash_dedup, mixing, packing, quality_rules, secret_scan,
-    suffix_dedup,
+    bpe, compression_quality, embedding_dedup, html_text, language_id, lexical_search, minhash_dedup, mixing, packing, quality_rules, secret_scan,
+    suffix_dedup, vector_codes,
 )
 from outcomelake.llm.common import hash_mod, table
 
@@ -65,6 +65,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digests(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -82,9 +90,16 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_secrets": op10_secrets,
+        "op11_vector_codes": op11_vector_codes,
+        "op12_lexical_search": op12_lexical_search,
         "op13_packing": op13_packing,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_mixing": mixing.ORACLE_SQL, "op6_embedding_dedup": embedding_dedup.ORACLE_SQL}
+    return {
+        "op4_mixing": mixing.ORACLE_SQL,
+        "op6_embedding_dedup": embedding_dedup.ORACLE_SQL,
+        "op11_vector_codes": vector_codes.ORACLE_SQL,
+        "op12_lexical_search": lexical_search.ORACLE_SQL,
+    }
