@@ -193,21 +193,42 @@ def _(spark, sf):
     return admitted.select("leader", "orderfilled_id")
 
 
-@query("w10_cash_ledger", f"""
+def _one_bankroll_sql(slots: int, tail: str) -> str:
+    """The walk with all leaders on one bankroll of so many reservations."""
+    whole = _admitted_sql(tail).replace("PARTITION BY leader ORDER BY", "ORDER BY").replace(
+        "n.leader = w.leader AND n.i = w.i + 1", "n.i = w.i + 1")
+    return whole.replace("< 2", f"< {slots}")
+
+
+@query("w09_single_bankroll", _one_bankroll_sql(50, " SELECT leader, orderfilled_id FROM walk WHERE fits"))
+def _(spark, sf):
+    admitted = B.admit_by_capital(materialize(_copy_candidates(spark, sf), "candidates"))
+    return admitted.select("leader", "orderfilled_id")
+
+
+def _admitted(spark, sf):
+    """Bets of 200 that a bankroll of 1000 can fund, all leaders on one account."""
+    return B.admit_by_capital(materialize(_copy_candidates(spark, sf), "candidates"), bankroll=1_000.0, per_bet_frac=0.2)
+
+
+_BET = "c JOIN walk w ON w.orderfilled_id = c.orderfilled_id AND w.fits"
+
+
+@query("w10_cash_ledger", _one_bankroll_sql(5, f"""
   SELECT orderfilled_id, timestamp, round(amount_usd, 6) AS amount_usd FROM (
-    SELECT orderfilled_id, fill_ts AS timestamp,
+    SELECT c.orderfilled_id, fill_ts AS timestamp,
            -200.0::DOUBLE - CASE WHEN direction = 'BUY' THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END AS amount_usd
-    FROM ({_COPY}) UNION ALL SELECT orderfilled_id, settled_ts, payoff_usd FROM ({_COPY}))""", _COPY_VIEWS)
+    FROM {_BET} UNION ALL SELECT c.orderfilled_id, settled_ts, payoff_usd FROM {_BET})"""))
 def _(spark, sf):
-    return rounded(B.cash_ledger(_copy_candidates(spark, sf)), "amount_usd")
+    return rounded(B.cash_ledger(materialize(_admitted(spark, sf), "bets")), "amount_usd")
 
 
-@query("w10_copy_summary", f"""
+@query("w10_copy_summary", _one_bankroll_sql(5, f"""
   SELECT count(*) AS n_bets, usd_(coalesce(sum(micro_(CASE WHEN direction = 'BUY'
     THEN payoff_usd - 200.0::DOUBLE - 0.2::DOUBLE ELSE payoff_usd - 200.0::DOUBLE END)), 0)) AS total_pnl_usd
-  FROM ({_COPY})""", _COPY_VIEWS)
+  FROM {_BET}"""))
 def _(spark, sf):
-    return B.copy_summary(_copy_candidates(spark, sf))
+    return B.copy_summary(_admitted(spark, sf))
 
 
 def _bars(spark, sf):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from outcomelake.functions import sum_micros
 from outcomelake.operators.dims import asset_dimension
-from outcomelake.operators.fills import dedupe
+from outcomelake.operators.fills import UnresolvedAssetsError
 from outcomelake.plans.fill_queries import RAW_SQL, V1_SQL, V2_SQL
 from outcomelake.plans.fixtures import (
     fills_v1,
@@ -22,7 +22,7 @@ from outcomelake.plans.registry import query
 from outcomelake.session import materialize, shared_folder
 from outcomelake.sources import readers as R
 from outcomelake.sources.lake import Lake
-from outcomelake.streaming.incremental import bar_stream, fills_to_trades, read_fill_stream
+from outcomelake.streaming.incremental import current_bars, fills_to_trades, read_fill_stream, trades_to_bars
 
 _MONTH = """CAST(year(make_timestamp(timestamp * 1000000)) AS INTEGER) AS year,
   CAST(month(make_timestamp(timestamp * 1000000)) AS INTEGER) AS month"""
@@ -71,9 +71,7 @@ def _(spark, sf):
     "fills_v2", "amount_usdc", f"WHERE year(make_timestamp(timestamp * 1000000)) = 1998"), ("fills_v2",))
 def _(spark, sf):
     lake = _lake(spark)
-    fills = fills_v2(spark, sf)
-    for month in range(1, 13):
-        lake.write_partition("order_filled_v2", 1998, month, fills)
+    lake.write_months("order_filled_v2", [(1998, month) for month in range(1, 13)], fills_v2(spark, sf))
     return _monthly(lake.scan("order_filled_v2"), "amount_usdc")
 
 
@@ -268,12 +266,20 @@ def _(spark, sf):
     return lake.due_partitions("fills", max_run_files=1).select("year", "month", "rows")
 
 
+_FILL_COLUMNS = """amount_shares double, amount_usdc double, asset string, block_number bigint, block_timestamp bigint,
+  builder string, counterparty_id string, exchange string, fee double, id string, ingest_seq int, log_index bigint,
+  order_hash string, order_type string, price double, side string, timestamp bigint, transaction_hash string,
+  user_id string, version bigint"""
+
+
 @query("l16_partition_inventory", f"""
   SELECT {_MONTH}, count(*) AS rows, count(DISTINCT ingest_seq) AS files, min(timestamp) AS min_timestamp,
-         max(timestamp) AS max_timestamp, FALSE AS compacted FROM fills_v2 GROUP BY 1, 2""", ("fills_v2",))
+         max(timestamp) AS max_timestamp, FALSE AS compacted,
+         sha256(regexp_replace('{_FILL_COLUMNS}', ', *\n? *', chr(10), 'g')) AS schema_sha256
+  FROM fills_v2 GROUP BY 1, 2""", ("fills_v2",))
 def _(spark, sf):
     return _compactable(spark, sf).partition_inventory("fills").select(
-        "year", "month", "rows", "files", "min_timestamp", "max_timestamp", "compacted"
+        "year", "month", "rows", "files", "min_timestamp", "max_timestamp", "compacted", "schema_sha256"
     )
 
 
@@ -295,26 +301,48 @@ def _(spark, sf):
     return spark.createDataFrame([marks], "max_timestamp long, next_block long")
 
 
-def _resolvable(df, assets):
-    return df.join(assets.select("asset"), "asset", "left_semi")
-
-
-@query("l19_process_incremental_v2", V2_SQL.replace("maker_fills f", """(
-    SELECT * REPLACE (upper(side) AS side) FROM fills_v2 WHERE ingest_seq = 0 AND order_type = 'maker'
-      AND price BETWEEN 0 AND 1 AND amount_usdc > 0 AND amount_shares > 0) f"""), ("fills_v2", "assets"))
+@query("l19_process_incremental_v2", V2_SQL, ("maker_fills", "assets"))
 def _(spark, sf):
+    """Both deliveries, whole, each landing history after newer fills; metadata that comes in two parts.
+
+    The first run stops at unknown assets and leaves no trade; the next holds their fills back.  The second
+    delivery corrects maker fills to taker fills, stored trades among them.
+    """
     lake = _lake(spark)
-    assets = asset_dimension(part_markets(spark, sf))
-    lake.publish_snapshot("market_assets", assets)
-    fills = materialize(_resolvable(fills_v2(spark, sf).where("ingest_seq = 0"), assets), "fills")
-    # 883612800 is 1998-01-01: history first, the rest in a second run from the mark.
-    for part in (fills.where("timestamp < 883612800"), fills.where("timestamp >= 883612800")):
-        lake.write_partitioned("order_filled_v2", part)
+    assets = materialize(asset_dimension(part_markets(spark, sf)), "assets")
+    lake.publish_snapshot("market_assets", assets.where("token_side = 'token1'"))
+    fills = materialize(fills_v2(spark, sf), "fills")
+    # 883612800 is 1998-01-01: what is older lands last and is late.
+    lake.write_partitioned("order_filled_v2", fills.where("ingest_seq = 0 AND timestamp >= 883612800"))
+    try:
         lake.process_v2()
-    assert lake.process_v2() == 0
+        raise AssertionError("unknown assets did not stop the run")
+    except UnresolvedAssetsError:
+        assert lake.cursor("trades_v2") is None and lake.scan("trades").isEmpty()
+    lake.process_v2(hold_unknown=True)
+    lake.write_partitioned("order_filled_v2", fills.where("ingest_seq = 0 AND timestamp < 883612800"))
+    lake.process_v2(hold_unknown=True)
+    lake.publish_snapshot("market_assets", assets)
+    lake.release_held()
+    lake.write_partitioned("order_filled_v2", fills.where("ingest_seq = 1"))
+    lake.process_v2(hold_unknown=True)
+    assert lake.process_v2(hold_unknown=True) == 0
     return lake.scan("trades").drop("year", "month")
 
 
+@query("l19_held_fills", """
+  SELECT asset, count(*) AS rows, min(block_timestamp) AS first_timestamp FROM maker_fills
+  WHERE asset NOT IN (SELECT asset FROM assets) GROUP BY 1""", ("maker_fills", "assets"))
+def _(spark, sf):
+    lake = _lake(spark)
+    lake.publish_snapshot("market_assets", asset_dimension(part_markets(spark, sf)))
+    fills = fills_v2(spark, sf)
+    for seq in (0, 1):
+        lake.write_partitioned("order_filled_v2", fills.where(F.col("ingest_seq") == seq))
+        lake.process_v2(hold_unknown=True)
+    return lake.held_assets()
+
+
 @query("l19_process_incremental_v1", V1_SQL, ("fills_v1", "assets"))
 def _(spark, sf):
     lake = _metadata_lake(spark, sf)
@@ -323,17 +351,23 @@ def _(spark, sf):
     return lake.scan("trades").drop("year", "month")
 
 
-@query("l19_stream_twin", V2_SQL.replace("maker_fills f", """(
-    SELECT * REPLACE (upper(side) AS side) FROM fills_v2 WHERE ingest_seq = 0 AND order_type = 'maker'
-      AND price BETWEEN 0 AND 1 AND amount_usdc > 0 AND amount_shares > 0) f"""), ("fills_v2", "assets"))
+@query("l19_stream_twin", V2_SQL, ("maker_fills", "assets"))
 def _(spark, sf):
+    """Both deliveries in three landings and two runs of the stream: late fills, repeated ones, corrections."""
     lake = _lake(spark)
     assets = materialize(asset_dimension(part_markets(spark, sf)), "assets")
-    lake.write_partitioned("order_filled_v2", _resolvable(fills_v2(spark, sf).where("ingest_seq = 0"), assets))
-    run = fills_to_trades(
-        read_fill_stream(spark, lake.path("order_filled_v2")), assets, lake, shared_folder(spark, "checkpoint")
-    )
-    run.awaitTermination()
+    fills, state = materialize(fills_v2(spark, sf), "fills"), shared_folder(spark, "checkpoint")
+    first = fills.where("ingest_seq = 0")
+
+    def run(**options) -> None:
+        stream = read_fill_stream(spark, lake.path("order_filled_v2"), files_per_batch=40)
+        fills_to_trades(stream, assets, lake, state, hold_unknown=True, **options).awaitTermination()
+
+    lake.write_partitioned("order_filled_v2", first.where("log_index % 3 <> 0"))
+    lake.write_partitioned("order_filled_v2", first.where("log_index % 3 <> 1"))  # a third comes again, a third late
+    run()
+    lake.write_partitioned("order_filled_v2", fills.where("ingest_seq = 1"))
+    run()
     return lake.scan("trades").drop("year", "month")
 
 
@@ -350,20 +384,15 @@ def _(spark, sf):
          arg_max(price, (timestamp, orderfilled_id)) AS close, usd_(sum(micro_(usd_amount))) AS usd_volume,
          count(*) AS n_trades FROM trades GROUP BY 1, 2, 3""", ("trades",))
 def _(spark, sf):
+    """Trades in four files; of every tenth the row comes late, by one file and also by two, and so twice."""
     stored = materialize(trades(spark, sf), "trades")
-    source = shared_folder(spark, "stream")
-    stored.repartitionByRange(4, "timestamp").write.parquet(source)
-    bars = bar_stream(spark.readStream.schema(stored.schema).parquet(source), 3600)
-    out, state = shared_folder(spark, "bars"), shared_folder(spark, "checkpoint")
-
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    run = (
-        bars.writeStream.outputMode("complete").foreachBatch(keep)
-        .option("checkpointLocation", state).trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
-    written = spark.read.parquet(out)
-    last = written.agg(F.max("batch")).first()[0]
-    return written.where(F.col("batch") == last).drop("batch")
+    lo, hi = stored.agg(F.min("timestamp"), F.max("timestamp")).first()
+    part = F.least(F.floor((F.col("timestamp") - lo) * 4 / F.lit(hi - lo + 1)), F.lit(3))
+    files = F.when(F.col("orderfilled_id") % 10 == 0, F.array(F.least(part + 1, F.lit(3)), F.least(part + 2, F.lit(3)))).otherwise(F.array(part))
+    dealt = stored.withColumn("_file", F.explode(F.array_distinct(files)))
+    source, folder, state = (shared_folder(spark, name) for name in ("stream", "bars", "checkpoint"))
+    for k in range(4):
+        dealt.where(F.col("_file") == k).drop("_file").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        trades_to_bars(stream, 3600, folder, state)
+    return current_bars(spark, stored.schema, 3600, folder)

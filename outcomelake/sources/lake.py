@@ -1,14 +1,16 @@
-"""L01–L05, L11–L20 — a month-partitioned Parquet lake of named sources."""
+"""L01–L05, L11–L20 — a month-partitioned Parquet lake of named sources.
+
+What a source holds is told by its manifest (``manifest.py``): scans take their columns, and inventories
+and marks all they report, from there without opening a data file.
+"""
 
 from __future__ import annotations
 
-import hashlib
 import json
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,15 +35,16 @@ from outcomelake.operators.fills import (
 from outcomelake.operators.quality import assert_valid
 from outcomelake.schemas import contract, has_contract
 from outcomelake.session import materialize
-from outcomelake.sources.footers import file_schemas
+from outcomelake.sources import storage
+from outcomelake.sources.manifest import COMMIT, PARTITION, Manifest, fingerprint
 
-PARTITION = ["year", "month"]
 MAX_RUN_FILES = 16
 MAX_PARTITION_BYTES = 512 * 1024 * 1024
 
-_CURSOR = "source string, year int, month int, last_timestamp long, last_id string, seq long"
+HELD = "held_fills_v2"
+
+_CURSOR = "source string, year int, month int, last_timestamp long, last_id string, seq long, landed long"
 _VERSION = "source string, path string, seq long"
-_COMPACTED = "source string, year int, month int, modified timestamp, seq long"
 
 
 def _month_columns(ts: str = "timestamp") -> dict[str, Column]:
@@ -59,12 +62,10 @@ class Lake:
     # -- state ---------------------------------------------------------------
 
     def _state(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).json(f"{self.root}/_state/{name}")
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
+        path = f"{self.root}/_state/{name}"
+        if not storage.children(self.spark, path):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).json(path)
 
     def _append_state(self, name: str, schema: str, rows: list[tuple]) -> None:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(
@@ -80,9 +81,11 @@ class Lake:
         last = rows.agg(F.max_by(F.struct(*rows.columns), "seq").alias("c")).first().c
         return None if last is None else last.asDict()
 
-    def save_cursor(self, source: str, year: int, month: int, ts: int | None, last_id: str) -> None:
+    def save_cursor(
+        self, source: str, year: int, month: int, ts: int | None, last_id: str, landed: int | None = None
+    ) -> None:
         seq = self._next_seq("cursors", _CURSOR)
-        self._append_state("cursors", _CURSOR, [(source, year, month, ts, last_id, seq)])
+        self._append_state("cursors", _CURSOR, [(source, year, month, ts, last_id, seq, landed)])
 
     def path(self, source: str) -> str:
         """Where a source lives: its published snapshot if there is one."""
@@ -90,6 +93,17 @@ class Lake:
         published = rows.agg(F.max_by("path", "seq")).first()[0]
         return published or f"{self.root}/{source}"
 
+    def manifest(self, source: str) -> Manifest:
+        return Manifest(self.spark, self.root, self.path(source))
+
+    def vacuum(self, source: str, older_than_hours: float = 24.0) -> list[str]:
+        """Delete the files that replaced versions and stopped runs left behind."""
+        return self.manifest(source).vacuum(older_than_hours)
+
+    def repair(self, source: str) -> int:
+        """Record files that stand in the source's folders without its manifest knowing them."""
+        return self.manifest(source).repair()
+
     # -- sinks ---------------------------------------------------------------
 
     def write_partitioned(self, source: str, df: DataFrame) -> None:
@@ -109,8 +123,10 @@ class Lake:
         if not rows:
             raise ValueError(f"{source}: refusing to write an empty frame")
 
-    def _write(self, df: DataFrame, path: str, mode: str = "append", order: list[str] | None = None) -> None:
-        """Rebalancing lets AQE merge small months into one file and split large ones over many tasks.
+    def _store(self, df: DataFrame, folder: str, order: list[str] | None = None) -> None:
+        """All months of a folder that nobody reads yet, in place of what a run that stopped left there.
+
+        Rebalancing lets AQE merge small months into one file and split large ones over many tasks.
 
         With ``order`` rows are dealt out by ranges of it, so the files of a month
         hold disjoint ranges and readers skip by them.
@@ -121,13 +137,33 @@ class Lake:
         else:
             placed = placed.hint("rebalance", *[F.col(c) for c in PARTITION])
         (
-            placed.write.mode(mode)
-            .partitionBy(*PARTITION)
-            .option("compression", "zstd")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(path)
+            placed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy(*PARTITION).option("compression", "zstd").parquet(folder)
         )
 
+    def _write(
+        self, df: DataFrame, path: str, order: list[str] | None = None, replaces: list[Row] = (), compacted: bool = False,
+    ) -> None:
+        """A commit: new files first, then one append to the manifest that shows them and hides ``replaces``.
+
+        ``replaces`` are units (months of earlier commits).  A month that replaces others keeps the greatest
+        of their landing numbers where it is ``compacted``, since it holds nothing new.
+        """
+        manifest = Manifest(self.spark, self.root, path)
+        commit = manifest.begin()
+        self._store(df, commit.folder, order)
+        landed = None
+        if compacted:
+            kept: dict[tuple[int, int], int] = {}
+            for u in replaces:
+                kept[u.year, u.month] = max(kept.get((u.year, u.month), 0), u.landed)
+            landed = self.spark.createDataFrame([(*m, n) for m, n in kept.items()], "year int, month int, landed long")
+        self._switch(manifest, manifest.facts(commit, df.schema, compacted, landed), replaces)
+
+    @staticmethod
+    def _switch(manifest: Manifest, facts: DataFrame, replaces: list[Row]) -> None:
+        manifest.switch(facts, [(u[COMMIT], u.year, u.month) for u in replaces])
+
     def publish_snapshot(self, source: str, df: DataFrame) -> int:
         """L02 — replace a derived source as a whole; readers switch once the new copy is complete.
 
@@ -136,89 +172,102 @@ class Lake:
         """
         seq = self._next_seq("versions", _VERSION)
         target = f"{self.root}/_snapshots/{source}/{seq}"
-        self._write(df, target, mode="overwrite")
-        try:
-            written = self.spark.read.parquet(target)
-        except AnalysisException as nothing_written:
-            raise ValueError(f"{source}: refusing to publish an empty frame") from nothing_written
-        rows = written.count()
+        self._write(df, target)
+        units = self._units(target)
+        rows = sum(u.rows for u in units)
         if rows == 0:
             raise ValueError(f"{source}: refusing to publish an empty frame")
         if has_contract(source):
-            assert_valid(written.drop(*PARTITION), source)
+            assert_valid(self._read(target, units).drop(*PARTITION), source)
         self._append_state("versions", _VERSION, [(source, target, seq)])
         return rows
 
     def write_partition(self, source: str, year: int, month: int, df: DataFrame, replace: bool = False) -> None:
-        """L03 — publish the rows of one month; with ``replace`` only that month is rewritten."""
-        cols = _month_columns()
-        own = df.where((cols["year"] == year) & (cols["month"] == month))
-        self._write(own, self.path(source), mode="overwrite" if replace else "append")
+        """L03 — publish the rows of one month; with ``replace`` they take the place of that month."""
+        self.write_months(source, [(year, month)], df, replace)
+
+    def write_months(self, source: str, months: list[tuple[int, int]], df: DataFrame, replace: bool = False) -> None:
+        """L03 — publish several months out of one frame, read once and dealt out by month."""
+        at = F.timestamp_seconds("timestamp")
+        own = df.where(reduce(lambda a, b: a | b, [(F.year(at) == y) & (F.month(at) == m) for y, m in months]))
+        path = self.path(source)
+        old = [u for u in self._units(path) if (u.year, u.month) in set(months)] if replace else []
+        self._write(own, path, replaces=old)
 
     # -- scans ---------------------------------------------------------------
 
-    def _stored(self, source: str, year: int | None = None, month: int | None = None) -> T.StructType | None:
-        """The merged columns of the files of a source, a year or a month; None if they cannot be merged."""
-        path = self.path(source)
-        part = "".join(f"/{n}={v}" for n, v in (("year", year), ("month", month)) if v is not None)
-        try:
-            return self.spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path + part).schema
-        except (AnalysisException, Py4JJavaError) as problem:
-            if any(code in str(problem) for code in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
-                return T.StructType([])
-            if "CANNOT_MERGE_SCHEMAS" in str(problem):
-                return None
-            raise
+    def _units(self, path: str, year: int | None = None, month: int | None = None, after: int | None = None) -> list[Row]:
+        """The live months of commits of a location, with their columns; those landed after a number."""
+        units = Manifest(self.spark, self.root, path).units()
+        for name, value in (("year", year), ("month", month)):
+            units = units if value is None else units.where(F.col(name) == value)
+        if after is not None:
+            units = units.where(F.col("landed") > after)
+        return sorted(units.collect(), key=lambda u: (u[COMMIT], u.year, u.month))
+
+    def _read(self, path: str, units: list[Row], declared: dict[str, T.DataType] | None = None, commits: bool = False) -> DataFrame:
+        """The rows of some units, columns in declared types, else in those stored, else as text where these differ.
+
+        Units are named by a filter on partition columns, which prunes folders.  Where stored types agree it is one
+        scan, and columns that a file lacks are null; otherwise one scan per set of columns, cast and stacked.
+        """
+        declared = declared or {}
+        schemas = {u.schema_json: T.StructType.fromJson(json.loads(u.schema_json)) for u in units}
+        types: dict[str, T.DataType] = {}
+        for f in (f for s in schemas.values() for f in s):
+            same = types.get(f.name, f.dataType) == f.dataType
+            types[f.name] = declared.get(f.name, f.dataType if same else T.StringType())
+        drifted = any(types[f.name] != f.dataType for s in schemas.values() for f in s)
+        names = [c for c in declared if c in types] + [c for c in types if c not in declared]
+        folders = [T.StructField(COMMIT, T.StringType()), *[T.StructField(c, T.IntegerType()) for c in PARTITION]]
+        parts = []
+        for stored in [k for k in schemas] if drifted else [None]:
+            chosen = [u for u in units if stored in (None, u.schema_json)]
+            fields = list(schemas[stored]) if drifted else [T.StructField(c, types[c]) for c in names]
+            rows = self.spark.read.schema(T.StructType([*fields, *folders])).parquet(path)
+            unit = F.concat_ws("/", COMMIT, *PARTITION)
+            rows = rows.where(F.col("year").isin(sorted({u.year for u in chosen})) & unit.isin([f"{u[COMMIT]}/{u.year}/{u.month}" for u in chosen]))
+            own = {f.name for f in fields}
+            parts.append(rows.select(*[F.col(c).cast(types[c]).alias(c) for c in names if c in own], *PARTITION, COMMIT))
+        out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return out if commits else out.drop(COMMIT)
 
     def scan(self, source: str, year: int | None = None, month: int | None = None) -> DataFrame:
-        """L04 — a source, pruned to a year or month by its directories; empty if absent.
+        """L04 — a source, pruned to a year or month by its folders; empty if absent.
 
-        All stored columns, those of the contract in its types; contract columns that no
-        file has are null.  Where files disagree in the type of a column, L05 reads them.
+        All stored columns, those of the contract in its types; contract columns that no file has are null.
+        Columns come from the manifest, so no file is opened before the scan itself.
         """
         wanted = list(contract(source).struct()) if has_contract(source) else []
-        stored = self._stored(source, year if year is not None else None, month if year is not None else None)
-        if stored is None:
-            df = self.scan_evolving(source)
-        else:
+        path = self.path(source)
+        units = self._units(path, year, month)
+        if not units:
+            everywhere = [] if year is None and month is None else self._units(path)
             known = {f.name for f in wanted}
-            fields = [f for f in wanted if f.name not in PARTITION]
-            fields += [f for f in stored if f.name not in known and f.name not in PARTITION]
-            if not len(stored):
-                schema = T.StructType([*fields, *[T.StructField(c, T.IntegerType()) for c in PARTITION]] if wanted else [])
-                return self.spark.createDataFrame([], schema)
-            schema = T.StructType([*fields, *[T.StructField(c, T.IntegerType()) for c in PARTITION]])
-            df = self.spark.read.schema(schema).parquet(self.path(source))
+            for f in (f for u in everywhere for f in T.StructType.fromJson(json.loads(u.schema_json))):
+                if f.name not in known:
+                    known.add(f.name)
+                    wanted.append(f)
+            folders = [T.StructField(c, T.IntegerType()) for c in PARTITION] if wanted else []
+            return self.spark.createDataFrame([], T.StructType([*wanted, *folders]))
+        df = self._read(path, units, {f.name: f.dataType for f in wanted})
+        lacking = {f.name: F.lit(None).cast(f.dataType) for f in wanted if f.name not in df.columns}
+        order = [f.name for f in wanted] + [c for c in df.columns if c not in {f.name for f in wanted}]
+        df = df.withColumns(lacking).select(*order) if lacking else df
         if year is not None:
             df = df.where(F.col("year") == year)
         return df if month is None else df.where(F.col("month") == month)
 
     def scan_evolving(self, source: str) -> DataFrame:
-        """L05 — a source whose files disagree: new columns read as null, changed types are cast.
+        """L05 — only the stored columns: new ones read as null in older files, changed types are cast.
 
-        Footers are read by tasks; the driver sees the few distinct schemas.  A
-        column takes its contract's type, else text where the types differ.
+        A column takes its contract's type, else text where the types differ.  The manifest tells the columns
+        of every commit, so there is one scan per distinct set of columns and no footer is opened to find them.
         """
-        files = file_schemas(self.spark, self.path(source))
-        groups = files.groupBy("schema_json").agg(F.collect_list("path").alias("paths")).collect()
-        if not groups:
-            return self.scan(source)
-        schemas = [T.StructType.fromJson(json.loads(g.schema_json)) for g in groups]
-        types: dict[str, T.DataType] = {}
-        for s in schemas:
-            for f in s:
-                same = types.get(f.name, f.dataType) == f.dataType
-                types[f.name] = f.dataType if same else T.StringType()
-        if has_contract(source):
-            for rule in contract(source).columns:
-                types[rule.name] = rule.spark_type
-        parts = []
-        for g, s in zip(groups, schemas):
-            part = self.spark.read.schema(
-                T.StructType([*s, *[T.StructField(c, T.IntegerType()) for c in PARTITION]])
-            ).option("basePath", self.path(source)).parquet(*g.paths)
-            parts.append(part.withColumns({f.name: F.col(f.name).cast(types[f.name]) for f in s}))
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        path = self.path(source)
+        units = self._units(path)
+        declared = {f.name: f.dataType for f in contract(source).struct()} if has_contract(source) else {}
+        return self._read(path, units, declared) if units else self.scan(source)
 
     def scan_trades(self) -> DataFrame:
         """L11"""
@@ -260,60 +309,33 @@ class Lake:
     # -- inventory -----------------------------------------------------------
 
     def _files(self, source: str) -> DataFrame:
-        """Per file with rows: month, size, modification, number of rows and range of ``timestamp``."""
-        kinds = {"timestamp": T.LongType(), "year": T.IntegerType(), "month": T.IntegerType()}
-        schema = T.StructType([T.StructField(c, t) for c, t in kinds.items()])
-        try:
-            rows = self.spark.read.schema(schema).parquet(self.path(source))
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return self.spark.createDataFrame(
-                [], "year int, month int, path string, bytes long, modified timestamp, rows long, min_timestamp long, max_timestamp long")
-        facts = [F.col(f"_metadata.{c}").alias(a) for c, a in (
-            ("file_path", "path"), ("file_size", "bytes"), ("file_modification_time", "modified"))]
-        return rows.select(*kinds, *facts).groupBy(*PARTITION, "path", "bytes", "modified").agg(
-            F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("min_timestamp"), F.max("timestamp").alias("max_timestamp"))
-
-    def _schema_hashes(self, source: str) -> DataFrame:
-        """Per month a hash of its stored columns by name; of the files' distinct columns where those disagree in types."""
-        found = self._files(source).select(*PARTITION).distinct().where("year IS NOT NULL AND month IS NOT NULL").collect()
-        stored = {(r.year, r.month): self._stored(source, r.year, r.month) for r in found}
-        columns = lambda s: sorted(f"{f.name} {f.dataType.json()}" for f in s if f.name not in PARTITION)
-        kinds = {month: [columns(s)] for month, s in stored.items() if s is not None}
-        if len(kinds) < len(stored):
-            part = lambda c: F.regexp_extract("path", rf"/{c}=(\d+)/", 1).cast("int").alias(c)
-            distinct = file_schemas(self.spark, self.path(source)).select(part("year"), part("month"), "schema_json").distinct()
-            for r in distinct.collect():
-                if stored.get((r.year, r.month), ()) is None:
-                    kinds.setdefault((r.year, r.month), []).append(columns(T.StructType.fromJson(json.loads(r.schema_json))))
-        rows = [(*month, hashlib.sha256(json.dumps(sorted(k)).encode()).hexdigest()) for month, k in kinds.items()]
-        return self.spark.createDataFrame(rows, "year int, month int, schema_sha256 string")
+        """L15–L18 — the manifest's row of every live file of a source."""
+        return self.manifest(source).files()
 
     def partition_inventory(self, source: str) -> DataFrame:
         """L16 — per month: files, run files, rows, bytes, time range, schema fingerprint, compacted.
 
-        Of rows only the ``timestamp`` column is read.  The fingerprint is that of the month's
-        own columns and types, so a month that drifted differs from the others.
+        The fingerprint is that of the month's own columns and types, so a month that drifted differs from the
+        others.  Distinct sets of columns are few; they alone meet the driver.
         """
-        return self._inventory(source).join(self._schema_hashes(source), PARTITION, "left")
+        files = self._files(source)
+        kinds = files.groupBy(*PARTITION).agg(F.array_sort(F.collect_set("schema_json")).alias("_kinds"))
+        distinct = [r[0] for r in kinds.select("_kinds").distinct().collect()]
+        hashes = [
+            ("\n".join(k), fingerprint([T.StructType.fromJson(json.loads(j)) for j in k])) for k in distinct
+        ]
+        named = self.spark.createDataFrame(hashes, "_text string, schema_sha256 string")
+        told = kinds.select(*PARTITION, F.array_join("_kinds", "\n").alias("_text")).join(F.broadcast(named), "_text").drop("_text")
+        return self._inventory(source).join(told, PARTITION, "left")
 
     def _inventory(self, source: str) -> DataFrame:
-        """L16 without the fingerprint, which costs a look at the footers of each month."""
-        marks = (
-            self._state("compactions", _COMPACTED)
-            .where(F.col("source") == source)
-            .groupBy(*PARTITION)
-            .agg(F.max("modified").alias("_done"))
-        )
-        run = F.col("_done").isNull() | (F.col("modified") > F.col("_done"))
+        """L16 without the fingerprint."""
         return (
             self._files(source)
-            .join(marks, PARTITION, "left")
             .groupBy(*PARTITION)
             .agg(
                 F.count(F.lit(1)).alias("files"),
-                F.count_if(run).alias("run_files"),
+                F.count_if(~F.col("compacted")).alias("run_files"),
                 F.sum("rows").alias("rows"),
                 F.sum("bytes").alias("bytes"),
                 F.min("min_timestamp").alias("min_timestamp"),
@@ -340,13 +362,18 @@ class Lake:
         return reduce(DataFrame.unionByName, totals)
 
     def max_timestamp(self, source: str) -> int | None:
-        """L18 — of the rows of the last month that has any, found by its directory."""
-        rows = self._files(source)
-        return rows.agg(F.max("max_timestamp")).first()[0]
+        """L18 — told by the manifest."""
+        return self._files(source).agg(F.max("max_timestamp")).first()[0]
 
     def next_block(self, source: str = "order_filled_v2") -> int | None:
-        """L18 — the block after the last one landed."""
-        last = self.scan(source).agg(F.max("block_number")).first()[0]
+        """L18 — the block after the last one landed.
+
+        Blocks follow time, so only the last month that has rows is read.
+        """
+        last = self._files(source).agg(F.max(F.struct(*PARTITION))).first()[0]
+        if last is None:
+            return None
+        last = self.scan(source, last.year, last.month).agg(F.max("block_number")).first()[0]
         return None if last is None else last + 1
 
     # -- compaction ----------------------------------------------------------
@@ -363,21 +390,22 @@ class Lake:
         """Rewrite the months listed in ``due`` in one job, every column kept, and return their row counts.
 
         The survivor of a key is the last by ``order``: by default ``ingest_seq`` if
-        stored, then when its file landed, then ``timestamp``; content breaks ties.
-        Dynamic overwrite stages the new files and swaps months at commit.
+        stored, then the commit that landed it, then ``timestamp``; content breaks ties.
+        The months are a commit of their own: readers see the old files until the manifest switches,
+        and a run that stops before leaves only a folder that nobody reads.
         """
         keys = self._unique_keys(source) if keys is None else keys
-        months = [(r.year, r.month) for r in due.select(*PARTITION).collect()]
-        if not months:
+        months = {(r.year, r.month) for r in due.select(*PARTITION).collect()}
+        path = self.path(source)
+        units = [u for u in self._units(path) if (u.year, u.month) in months]
+        if not units:
             return self.spark.createDataFrame([], "year int, month int, rows long")
-        picked = self._months(months)
-        scanned = self.scan(source)
-        columns = scanned.columns
-        rows = scanned.select("*", F.col("_metadata.file_modification_time").alias("_landed")).where(picked) \
-            if self._stored(source) is not None else scanned.where(picked).withColumn("_landed", F.lit(None).cast("timestamp"))
+        declared = {f.name: f.dataType for f in contract(source).struct()} if has_contract(source) else {}
+        rows = self._read(path, units, declared, commits=True)
+        columns = [c for c in rows.columns if c not in (*PARTITION, COMMIT)]
         if all(k in columns for k in keys):
-            order = order or [c for c in ("ingest_seq", "_landed", "timestamp") if c in rows.columns]
-            content = F.xxhash64(*sorted(c for c in columns if c not in PARTITION))
+            order = order or [c for c in ("ingest_seq", COMMIT, "timestamp") if c in rows.columns]
+            content = F.xxhash64(*sorted(columns))
             by_key = [*PARTITION, *keys]
             lacking = rows.where(" OR ".join(f"`{k}` IS NULL" for k in keys))
             mixed = [(r.year, r.month) for r in lacking.select(*PARTITION).distinct().collect()]
@@ -388,17 +416,9 @@ class Lake:
                 rows = dedupe(rows.where(~whole), by_key, [*order, content], keep="last").unionByName(kept)
             else:
                 rows = dedupe(rows, by_key, [*order, content], keep="last")
-        path = self.path(source)
-        self._write(rows.drop(*PARTITION, "_landed"), path, mode="overwrite", order=["timestamp"])
-        self.spark.catalog.refreshByPath(path)
-        done = self._inventory(source).where(picked).select(*PARTITION, "rows", "modified").collect()
-        seq = self._next_seq("compactions", _COMPACTED)
-        self._append_state(
-            "compactions", _COMPACTED, [(source, r.year, r.month, r.modified, seq) for r in done]
-        )
-        return self.spark.createDataFrame(
-            [(r.year, r.month, r.rows) for r in done], "year int, month int, rows long"
-        )
+        self._write(rows.select(*columns), path, order=["timestamp"], replaces=units, compacted=True)
+        done = self._inventory(source).where(self._months(sorted(months)))
+        return done.select(*PARTITION, "rows")
 
     def compact(self, source: str, year: int, month: int, keys: list[str] | None = None,
                 order: list[str] | None = None) -> int:
@@ -450,68 +470,165 @@ class Lake:
         """The last input row by month, then (timestamp, id)."""
         return df.agg(F.max(F.struct(*PARTITION, F.col(ts).alias("ts"), "id")).alias("t")).first().t
 
-    def _advance(self, cursor_name: str, tail) -> None:
-        self.save_cursor(cursor_name, tail.year, tail.month, tail.ts, str(tail.id))
+    def _advance(self, cursor_name: str, tail, landed: int) -> None:
+        self.save_cursor(cursor_name, tail.year, tail.month, tail.ts, str(tail.id), landed)
 
-    def process_v2(self) -> int:
-        """L19 — new second-generation fills to ``trades``; returns rows written.
+    def _new_fills(self, source: str, cursor_name: str, ts: str) -> tuple[DataFrame | None, int]:
+        """What landed since the mark, whatever its time, with the commit it came by; the new mark.
 
-        All new months run as one job.  Unknown assets or exchange parties stop
-        the run before anything is written and the mark stays where it was.  Rows that land late, before the
-        mark, are not picked up.
+        A mark of an older kind has no landing number: it counts rows past its month, time and id.  Months
+        compacted since the mark come whole; what they hold already processed changes nothing.
         """
-        fills = self._after_cursor(
-            self.scan("order_filled_v2"), self.cursor("trades_v2"), "block_timestamp"
-        )
+        cursor = self.cursor(cursor_name)
+        landed = None if cursor is None else cursor["landed"]
+        path = self.path(source)
+        units = self._units(path, after=landed)
+        if not units:
+            return None, 0
+        declared = {f.name: f.dataType for f in contract(source).struct()}
+        fills = self._read(path, units, declared, commits=True)
+        fills = fills.withColumns({c: F.lit(None).cast(t) for c, t in declared.items() if c not in fills.columns})
+        if cursor is not None and landed is None:
+            fills = self._after_cursor(fills, cursor, ts)
+        return fills, max(u.landed for u in units)
+
+    def process_v2(self, hold_unknown: bool = False) -> int:
+        """L19 — second-generation fills that landed since the last run to ``trades``; returns trades changed.
+
+        All new months run as one job, late rows among them.  A fill landed again in another version corrects
+        the trade of the earlier one, or takes it away where it is a maker's fill no more.  Exchange
+        parties stop the run before anything is written, and so do unknown assets, unless they are held:
+        then their fills wait in ``held_fills_v2`` until an asset dimension knows them.  Marks move last, and a run
+        repeated after a crash changes nothing that is done.
+        """
+        assets = self._assets()
+        if assets is None:
+            return 0
+        fills, landed = self._new_fills("order_filled_v2", "trades_v2", "block_timestamp")
+        tail = None if fills is None else self._tail(fills, "block_timestamp")
+        written = self.apply_fills(None if tail is None else fills, assets, hold_unknown)
+        if tail is not None:
+            self._advance("trades_v2", tail, landed)
+        return written
+
+    def _assets(self) -> DataFrame | None:
         assets = self.scan("market_assets")
         if assets.isEmpty():
             assets = asset_dimension(self.scan_markets())
-            if assets.isEmpty():
-                return 0
-        tail = self._tail(fills, "block_timestamp")
-        if tail is None:
+        return None if assets.isEmpty() else assets
+
+    def apply_fills(self, fills: DataFrame | None, assets: DataFrame, hold_unknown: bool = False) -> int:
+        """The trades of some fills made those of their latest versions, with the held fills that ``assets`` knows now.
+
+        Of several versions of a fill the last by ``ingest_seq``, then by landing, counts.
+        """
+        held_path = self.path(HELD)
+        held_units = self._units(held_path)
+        versions = [] if fills is None else [fills.withColumn("_new", F.lit(True))]
+        if held_units:
+            versions.append(self._read(held_path, held_units).withColumns({COMMIT: F.lit(""), "_new": F.lit(False)}))
+        if not versions:
             return 0
-        joined = materialize(with_markets(valid_maker_fills(fills), assets), "joined-fills")
+        seen = materialize(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), versions), "new-fills")
+        order = [c for c in ("ingest_seq", "_new", COMMIT, "block_timestamp") if c in seen.columns]
+        joined = materialize(with_markets(valid_maker_fills(seen, order), assets), "joined-fills")
         gate = joined.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col("market_id").isNull()).alias("unresolved"),
+            F.count_if(F.col("market_id").isNull() & F.col("_new")).alias("unresolved"),
+            F.count_if(F.col("market_id").isNull()).alias("waiting"),
             F.count_if(is_exchange("user_id", "counterparty_id")).alias("exchange"),
         ).first()
-        if gate.unresolved:
-            lost = joined.where("market_id IS NULL").groupBy("asset").agg(
+        unknown = joined.where("market_id IS NULL")
+        if gate.unresolved and not hold_unknown:
+            lost = unknown.where("_new").groupBy("asset").agg(
                 F.count(F.lit(1)).alias("rows"), F.min("block_timestamp").alias("first_timestamp")
             )
             sample = [r.asDict() for r in lost.orderBy("asset").limit(10).collect()]
             raise UnresolvedAssetsError(f"{gate.unresolved} fills without market metadata: {sample}")
         if gate.exchange:
             raise TradeModelError(f"{gate.exchange} trades with an exchange contract as a party")
-        written = self._append_trades(_as_trades(joined)) if gate.rows else 0
-        self._advance("trades_v2", tail)
+        touched = seen.select(
+            F.concat(F.lit("v2:"), F.col("id").cast("string")).alias("orderfilled_id"), F.col("block_timestamp").cast("long").alias("timestamp")
+        )
+        written = self._merge_trades(_as_trades(joined.where("market_id IS NOT NULL")), touched)
+        if gate.waiting or held_units:
+            columns = [c for c in seen.columns if c not in (*PARTITION, COMMIT, "_new")]
+            self._write(unknown.select(*columns), held_path, replaces=held_units)
         return written
 
-    def _append_trades(self, trades: DataFrame) -> int:
-        """Append what the months concerned do not hold yet, so a run repeated after a crash adds nothing twice."""
+    def release_held(self) -> int:
+        """Trades of the held fills whose assets are known by now; the others stay held."""
+        assets = self._assets()
+        return 0 if assets is None else self.apply_fills(None, assets, hold_unknown=True)
+
+    def held_assets(self) -> DataFrame:
+        """Assets whose fills wait for metadata: rows and first time seen."""
+        held = self.scan(HELD)
+        if "asset" not in held.columns:
+            return self.spark.createDataFrame([], "asset string, rows long, first_timestamp long")
+        return held.groupBy("asset").agg(F.count(F.lit(1)).alias("rows"), F.min("block_timestamp").alias("first_timestamp"))
+
+    def _merge_trades(self, trades: DataFrame, touched: DataFrame) -> int:
+        """Make the stored trades of the ``touched`` ids equal to ``trades``; how many of them changed.
+
+        Stored trades are read only within the months and the time range of the touched fills, whose times do
+        not change between versions.  New trades are appended; a month is rewritten only where a stored trade
+        differs or goes.  Both are one commit.
+        """
         own = _month_columns()
-        months = [(r.year, r.month) for r in trades.select(*[c.alias(n) for n, c in own.items()]).distinct().collect()]
-        stored = self.scan("trades").where(self._months(months)).select("orderfilled_id") if months else None
-        new = trades if stored is None else trades.join(stored, "orderfilled_id", "left_anti").select(*trades.columns)
-        new = materialize(new, "appended-trades")
-        rows = new.count()
-        if rows:
-            self._write(new, self.path("trades"))
-        return rows
+        touched = materialize(touched.groupBy("orderfilled_id").agg(F.max("timestamp").alias("timestamp")), "touched")
+        spans = touched.groupBy(*[c.alias(n) for n, c in own.items()]).agg(
+            F.min("timestamp").alias("first"), F.max("timestamp").alias("last")).collect()
+        path = self.path("trades")
+        months = {(r.year, r.month) for r in spans}
+        units = [u for u in self._units(path) if (u.year, u.month) in months]
+        trades = materialize(trades, "merged-trades")
+        if not units:
+            if trades.isEmpty():
+                return 0
+            self._write(trades, path)
+            return trades.count()
+        declared = {f.name: f.dataType for f in contract("trades").struct()}
+        stored = self._read(path, units, declared)
+        # Per month the range of the touched times, which readers of sorted files skip by.
+        ranges = reduce(lambda a, b: a | b, [
+            (F.col("year") == r.year) & (F.col("month") == r.month) & F.col("timestamp").between(r.first, r.last) for r in spans])
+        near = stored.where(ranges).join(touched.select("orderfilled_id"), "orderfilled_id", "left_semi")
+        columns = [c for c in trades.columns if c != "orderfilled_id"]
+        same = reduce(lambda a, b: a & b, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}").cast(declared[c])) for c in columns])
+        compared = materialize(
+            near.alias("o").join(trades.alias("n"), F.col("o.orderfilled_id") == F.col("n.orderfilled_id").cast("string"), "left").select(
+                F.col("o.orderfilled_id").alias("orderfilled_id"), F.col("o.year").alias("year"), F.col("o.month").alias("month"),
+                F.coalesce(same, F.lit(False)).alias("same"),
+            ), "compared-trades")
+        changed = compared.where("NOT same")
+        rewrite = [(r.year, r.month) for r in changed.select(*PARTITION).distinct().collect()]
+        fresh = trades.join(compared.select("orderfilled_id"), "orderfilled_id", "left_anti").select(*trades.columns)
+        if not rewrite:
+            fresh = materialize(fresh, "appended-trades")
+            rows = fresh.count()
+            if rows:
+                self._write(fresh, path)
+            return rows
+        whole = self._months(rewrite)
+        kept = stored.where(whole).join(touched.select("orderfilled_id"), "orderfilled_id", "left_anti")
+        inside = trades.withColumns(own).where(whole).select(*trades.columns)
+        outside = fresh.withColumns(own).where(~whole).select(*trades.columns)
+        new = inside.unionByName(outside).unionByName(kept.select(*trades.columns))
+        self._write(new, path, replaces=[u for u in units if (u.year, u.month) in set(rewrite)])
+        return fresh.count() + changed.count()
 
     def process_v1(self) -> int:
-        """L19 — new first-generation fills to ``trades``, under a mark on the input rows."""
-        fills = self._after_cursor(self.scan_evolving("orderFilled"), self.cursor("trades"), "timestamp")
+        """L19 — first-generation fills that landed since the last run to ``trades``, under a mark on the input."""
         markets = self.scan_markets()
-        if markets.isEmpty() or not fills.columns:
+        if markets.isEmpty():
             return 0
-        tail = self._tail(fills, "timestamp")
+        fills, landed = self._new_fills("orderFilled", "trades", "timestamp")
+        tail = None if fills is None else self._tail(fills, "timestamp")
         if tail is None:
             return 0
-        rows = self._append_trades(materialize(normalize_fills_v1(fills, asset_dimension(markets)), "new-trades"))
-        self._advance("trades", tail)
+        rows = self._merge_trades(
+            normalize_fills_v1(fills, asset_dimension(markets)), fills.select(F.col("id").alias("orderfilled_id"), "timestamp"))
+        self._advance("trades", tail, landed)
         return rows
 
     def process(self, source: str = "all") -> int:
@@ -524,6 +641,6 @@ class Lake:
     def export_snapshot(self, sources: list[str], tag: str, destination: str) -> None:
         """L20 — a dated copy of the chosen sources below ``destination``."""
         for source in sources:
-            self._write(
-                self.scan(source).drop(*PARTITION), f"{destination.rstrip('/')}/{tag}/{source}", "overwrite"
+            self._store(
+                self.scan(source).drop(*PARTITION), f"{destination.rstrip('/')}/{tag}/{source}"
             )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,10 +150,30 @@ def import_fill_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return parse_fill_events(lines, ["_file", "_start", "_line"])
 
 
-@F.pandas_udf(T.StringType())
-def uint256_text(words: pd.Series) -> pd.Series:
-    """64 hex digits to decimal text; no Spark type holds 256 bits."""
-    return words.map(lambda w: None if w is None else str(int(w, 16)))
+def uint256_text(word: Column) -> Column:
+    """64 hex digits to decimal text, in column expressions; no Spark type holds 256 bits.
+
+    The word is eight digits to base 2^32.  Each stands for that digit times a power of 2^32, whose digits
+    to base 10^8 are constants; the sums per decimal place fit 64 bits and are carried upwards.
+    Other than 64 hex digits fail the job.
+    """
+    parts = [F.conv(F.substring(word, 57 - 8 * i, 8), 16, 10).cast("long") for i in range(8)]
+    base, places = 10 ** 8, 10
+    sums = [
+        reduce(lambda a, b: a + b, [part * F.lit(2 ** (32 * i) // base ** j % base) for i, part in enumerate(parts)])
+        for j in range(places)
+    ]
+    # One step per place, each reading the step before once.
+    digits = F.aggregate(
+        F.array(*sums), F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("carry")),
+        lambda acc, s: F.struct(
+            F.concat(F.lpad(((s + acc["carry"]) % base).cast("string"), 8, "0"), acc["text"]).alias("text"),
+            F.call_function("div", s + acc["carry"], F.lit(base)).alias("carry"),
+        ),
+        lambda acc: acc["text"],
+    )
+    return F.when(F.regexp_like(word, F.lit("^[0-9a-fA-F]{64}$")), F.regexp_replace(digits, "^0+(?=[0-9])", "")).when(
+        word.isNotNull(), F.raise_error(F.concat(F.lit("no 256-bit word: "), word)))
 
 
 def _bare(text: Column) -> Column:

@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from outcomelake.operators import backtest
 from outcomelake.functions.skew import SLICE, SkewPolicy, hot_keys, running_sum, slice_rows
 from outcomelake.operators.asof import asof_forward
 from outcomelake.operators.backtest import _slots, admit_by_capital
@@ -99,6 +100,30 @@ def test_admission_in_slices_matches_the_single_walk(spark):
         assert {r.orderfilled_id for r in got.collect()} == want_one
 
 
+def _count_rounds(monkeypatch):
+    rounds, walk = [], backtest._walk_blocks
+
+    def counted(hot, keys, slots, blocks, opening, known):
+        rounds.append(len(blocks))
+        return walk(hot, keys, slots, blocks, opening, known)
+
+    monkeypatch.setattr(backtest, "_walk_blocks", counted)
+    return rounds
+
+
+@pytest.mark.parametrize("kind", ["tied", "mixed"])
+def test_a_hundred_slices_settle_in_eight_rounds(spark, monkeypatch, kind):
+    """Reservations that outlast many slices, so no slice starts as it would alone."""
+    rounds, rng = _count_rounds(monkeypatch), random.Random(9)
+    hold = {"tied": lambda: rng.choice([7, 95, 310]), "mixed": lambda: rng.choice([1, 2, 40])}[kind]
+    rows = [("x", k, k + hold(), k) for k in range(1000)]
+    df = spark.createDataFrame(rows, "leader string, signal_ts long, settled_ts long, orderfilled_id long")
+    policy = SkewPolicy(limit=10, bucket=10, most_slices=1000)
+    got = admit_by_capital(df, 300.0, 1 / 3, policy=policy)
+    assert {r.orderfilled_id for r in got.collect()} == _admit_reference(rows, 3)
+    assert rounds[0] == 100 and len(rounds) <= 8
+
+
 def test_slots_follow_the_ledger():
     assert _slots(10_000.0, 200.0) == 50
     assert _slots(100.0, 150.0) == 0

@@ -235,3 +235,15 @@ def test_versions_of_a_fill_have_a_total_order(spark):
     twice = [("a", "BUY", "maker", 0.5, 1.0, 2.0), ("a", "buy", "Maker", 0.9, 1.0, 2.0)]
     found = [valid_maker_fills(spark.createDataFrame(rows, schema)).first().price for rows in (twice, twice[::-1])]
     assert found[0] == found[1]
+
+
+def test_words_of_256_bits_without_python(spark):
+    values = [0, 1, 10**8, 10**8 - 1, 2**32, 2**64 - 1, 2**255, 2**256 - 1, 10**77, 3**160, 2**96 + 12345]
+    df = spark.createDataFrame([(f"{v:064x}", str(v)) for v in values] + [(None, None), (f"{2**200:064X}", str(2**200))], "w string, want string")
+    got = df.select("want", R.uint256_text(F.col("w")).alias("text"))
+    assert all(r.text == r.want for r in got.collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    for bad in ("12", "g" * 64):
+        with pytest.raises(Exception, match="256-bit"):
+            spark.createDataFrame([(bad,)], "w string").select(R.uint256_text(F.col("w"))).collect()
