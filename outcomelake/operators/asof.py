@@ -25,7 +25,8 @@ def asof_forward(
     follows.  Signals and prints are stacked and walked backwards in time, so
     the lookup is one shuffle and linear per group instead of a range join.
     Groups holding a large share of the rows are cut into time slices; a slice
-    inherits the first print of the slices after it.
+    inherits the first print of the slices after it.  To find such groups the keys and times are read once
+    beforehand, so pass stored tables.
     """
     # Walking back, a print must come before the signals it serves.
     print_tag, signal_tag = (0, 1) if strict else (1, 0)

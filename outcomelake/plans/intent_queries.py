@@ -18,9 +18,16 @@ def _timeline(spark, sf):
     return I.position_timeline(I.punter_view(trades(spark, sf)))
 
 
-def _entries(spark, sf):
+def _entries(spark, sf, prints=None):
     """Stored once: the cutoff, the cohort and the signals all read them."""
-    return materialize(I.entries_only(_timeline(spark, sf)), "entries")
+    timeline = _timeline(spark, sf) if prints is None else I.position_timeline(prints)
+    return materialize(I.entries_only(timeline), "entries")
+
+
+def _stored_prints(spark, sf):
+    """Trades and the taker's view of them, as a lake stores them; timelines and as-of joins read them twice."""
+    stored = materialize(trades(spark, sf), "trades")
+    return stored, I.punter_view(stored)
 
 
 @query("w01_punter_view", "SELECT * FROM punter", ("punter",))
@@ -92,10 +99,10 @@ _W07_VIEWS = ("entries", "punter", "cutoff", "resolutions")
 
 
 def _next_prints(spark, sf):
-    t = trades(spark, sf)
-    entries = _entries(spark, sf)
+    t, prints = _stored_prints(spark, sf)
+    entries = _entries(spark, sf, prints)
     test = entries.where(F.col("timestamp") >= I.entry_cutoff(entries))
-    return B.next_print_asof(test, I.punter_view(t), market_resolution(t), tolerance_secs=7200)
+    return B.next_print_asof(test, prints, market_resolution(t), tolerance_secs=7200)
 
 
 @query("w07_next_print", f"""
@@ -119,13 +126,13 @@ def _(spark, sf):
 
 
 def _copy_candidates(spark, sf, fee_bps=10.0):
-    t = trades(spark, sf)
-    entries = _entries(spark, sf)
+    t, prints = _stored_prints(spark, sf)
+    entries = _entries(spark, sf, prints)
     cutoff = I.entry_cutoff(entries)
     end = t.agg(F.max("timestamp")).first()[0] + 1
     signals = B.leader_signals(entries, I.leader_cohort(entries, cutoff), cutoff, end)
     return B.copy_fill_asof(
-        signals, I.punter_view(t), market_outcomes(spark, sf), end, latency_secs=60, fee_bps=fee_bps
+        signals, prints, market_outcomes(spark, sf), end, latency_secs=60, fee_bps=fee_bps
     )
 
 

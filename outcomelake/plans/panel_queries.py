@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcomelake.operators import panel as M
@@ -318,13 +321,37 @@ def _(spark, sf):
     return rounded(_scored(spark, sf), "p", digits=9).withColumn("fold", F.col("fold").cast("long"))
 
 
+def _logistic_sql(steps: int = 12) -> str:
+    """Newton's steps one after the other, each an aggregate over all folds."""
+    out = f"""
+  WITH counts AS MATERIALIZED (
+    SELECT fold, s.market_price AS x, s.target AS y, count(*) AS n FROM ({_FOLDS}) f JOIN ({_SNAPSHOTS}) s ON s.resolved_at < f.train_end_ts
+    WHERE fold IN (SELECT fold FROM ({_SCORED})) GROUP BY 1, 2, 3),
+  fit0 AS (SELECT DISTINCT fold, 0.0::DOUBLE AS b, 0.0::DOUBLE AS w FROM counts)"""
+    for k in range(steps):
+        out += f""",
+  fit{k + 1} AS MATERIALIZED (
+    SELECT fold, b - (hww * gb - hbw * gw) / (hbb * hww - hbw * hbw) AS b, w - (hbb * gw - hbw * gb) / (hbb * hww - hbw * hbw) AS w
+    FROM (SELECT fold, b, w, sum(n * (p - y)) AS gb, sum(n * (p - y) * x) + w AS gw, sum(n * p * (1 - p)) AS hbb,
+                 sum(n * p * (1 - p) * x) AS hbw, sum(n * p * (1 - p) * x * x) + 1 AS hww
+          FROM (SELECT *, 1 / (1 + exp(-(b + w * x))) AS p FROM counts JOIN fit{k} USING (fold)) GROUP BY 1, 2, 3))"""
+    return out + f"""
+  SELECT CAST(fold AS BIGINT) AS fold, market_id, market_price, y, round(1 / (1 + exp(-(b + w * market_price))), 6) AS p
+  FROM ({_SCORED}) JOIN fit{steps} USING (fold) WHERE model = 'majority'"""
+
+
+@query("m15_logistic", f"SELECT * FROM ({_logistic_sql()})", _SNAP_VIEWS)
+def _(spark, sf):
+    snaps, folds = _snapshots_and_folds(spark, sf)
+    out = M.logistic_baseline(materialize(M.fold_members(snaps, folds), "members")).drop("model")
+    return rounded(out, "p", digits=6).withColumn("fold", F.col("fold").cast("long"))
+
+
 @query("m15_model_baselines")
 def _(spark, sf):
     snaps, folds = _snapshots_and_folds(spark, sf)
     members = materialize(M.fold_members(snaps, folds), "members")
     fitted = [M.model_baselines(members, r.fold) for r in folds.select("fold").orderBy("fold").collect()]
     scored = [f for f in fitted if f is not None]
-    out = scored[0]
-    for more in scored[1:]:
-        out = out.unionByName(more)
+    out = reduce(DataFrame.unionByName, scored)
     return M.probability_metrics(out, by=["fold", "model"])
