@@ -45,6 +45,15 @@ def dedupe(df: DataFrame, keys: list[str], order: list[str | Column], keep: str
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def dedupe_guarded(df: DataFrame, keys: list[str], order: list[str | Column], keep: str = "last") -> DataFrame:
+    """D13 — ``dedupe``, or all rows as they are where any row lacks a key, since those would collapse into one.
+
+    Looks at once, and only until the first row without a key.
+    """
+    lacking = df.where(" OR ".join(f"`{k}` IS NULL" for k in keys))
+    return dedupe(df, keys, order, keep) if lacking.isEmpty() else df
+
+
 def normalize_fills_v1(orders: DataFrame, assets: DataFrame) -> DataFrame:
     """D01 — first-generation fills to trades.
 

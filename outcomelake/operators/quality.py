@@ -199,6 +199,54 @@ def validate_store(
     )
 
 
+def validate_lake(lake, sources: list[str] | None = None, full: bool = False) -> DataFrame:
+    """Q03 — the report of a lake's sources, by default of all that have files.
+
+    Beside the checks of ``validate_source`` it tells rows, files and the range of times from the manifest, how
+    many files have columns other than the contract's, and how many tasks could not read, or hold another number
+    of rows than was written; values are those of the files that can be read.  ``full`` reads every column
+    of every file, and adds unique keys and references; without it these are reported as skipped.
+    """
+    spark, parts = lake.spark, []
+    markets = lake.scan_markets() if full else None
+    for source in sources if sources is not None else lake.sources():
+        kinds = lake.file_columns(source)
+        if not kinds:
+            parts.append(missing_source(spark, source))
+            continue
+        parts.append(_statistics(lake, source))
+        outcomes = lake.read_outcomes(source, every_column=full).groupBy("problem").agg(F.count(F.lit(1)).alias("count"))
+        codes = spark.createDataFrame([("unreadable",), ("row_count",)], "problem string")
+        counts = codes.join(outcomes, "problem", "left").select("problem", F.coalesce("count", F.lit(0)).alias("count"))
+        parts.append(_counted(counts, source, "file_read", F.lit(None).cast("string"), F.col("problem")))
+        if has_contract(source):
+            drifted = [
+                (source, "file_schema", "warning", "warning", v.column, v.code, n)
+                for columns, n in kinds for v in schema_violations(spark.createDataFrame([], columns), contract(source))
+            ]
+            if drifted:
+                parts.append(spark.createDataFrame(drifted, REPORT_SCHEMA).groupBy(
+                    "source", "check", "status", "severity", "column", "code").agg(F.sum("count").alias("count")))
+        known = markets if markets is not None and not markets.isEmpty() else None
+        parts.append(validate_source(source, lake.scan_readable(source), full, known))
+        if not full:
+            parts.append(spark.createDataFrame([(source, "full_checks", "skipped", "info", None, None, None)], REPORT_SCHEMA))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], REPORT_SCHEMA)
+
+
+def _statistics(lake, source: str) -> DataFrame:
+    """Rows, files and the range of times of a source, one row each, from the manifest."""
+    told = lake.month_totals(source).agg(
+        F.sum("rows").alias("rows"), F.sum("files").alias("files"), F.min("min_timestamp").alias("min_timestamp"),
+        F.max("max_timestamp").alias("max_timestamp"),
+    )
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("count")) for c in ("rows", "files", "min_timestamp", "max_timestamp")])
+    return told.select(F.inline(cells)).select(
+        F.lit(source).alias("source"), F.lit("source_stats").alias("check"), F.lit("ok").alias("status"), F.lit("info").alias("severity"),
+        "column", F.lit(None).cast("string").alias("code"), "count",
+    )
+
+
 def report_status(report: DataFrame) -> DataFrame:
     """Q03 — one status per source: error over warning over ok."""
     worst = F.when(F.bool_or(F.col("severity") == "error"), "error").when(

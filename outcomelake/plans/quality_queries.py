@@ -12,6 +12,9 @@ from outcomelake.plans.fill_queries import V2_SQL
 from outcomelake.plans.fixtures import fills_v2, part_markets, trades
 from outcomelake.plans.positions_queries import rounded
 from outcomelake.plans.registry import query
+from outcomelake.session import materialize, shared_folder
+from outcomelake.sources import storage
+from outcomelake.sources.lake import Lake
 from outcomelake.schemas import contract
 from outcomelake.session import materialize
 
@@ -79,6 +82,44 @@ def _(spark, sf):
     return Q.report_status(Q.validate_store(frames, spark))
 
 
+_BAD_MONTH = "year(make_timestamp(timestamp * 1000000)) = 1998 AND month(make_timestamp(timestamp * 1000000)) = 5"
+
+
+@query("q03_validate_lake", f"""
+  SELECT * FROM (WITH good AS (SELECT * FROM fills_v2 WHERE NOT ({_BAD_MONTH})),
+  files AS (SELECT year(make_timestamp(timestamp * 1000000)) AS y, month(make_timestamp(timestamp * 1000000)) AS m FROM fills_v2 GROUP BY 1, 2)
+  SELECT 'order_filled_v2' AS source, "check", "column", code, count FROM (
+    SELECT 'source_stats' AS "check", 'rows' AS "column", '' AS code, count(*) AS count FROM fills_v2 UNION ALL
+    SELECT 'source_stats', 'files', '', count(*) FROM files UNION ALL
+    SELECT 'source_stats', 'min_timestamp', '', min(timestamp) FROM fills_v2 UNION ALL
+    SELECT 'source_stats', 'max_timestamp', '', max(timestamp) FROM fills_v2 UNION ALL
+    SELECT 'file_read', '', 'unreadable', 1 UNION ALL SELECT 'file_read', '', 'row_count', 0 UNION ALL
+    SELECT 'contract_values', 'amount_usdc', 'exclusive_min', count(*) FILTER (amount_usdc <= 0) FROM good UNION ALL
+    SELECT 'contract_values', 'side', 'allowed', count(*) FILTER (side NOT IN ('BUY', 'SELL')) FROM good UNION ALL
+    SELECT 'contract_values', 'order_type', 'allowed', count(*) FILTER (order_type NOT IN ('maker', 'taker')) FROM good UNION ALL
+    SELECT 'unique_keys', 'id', 'duplicate', (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM good GROUP BY id) WHERE n > 1) UNION ALL
+    SELECT 'references', 'asset', 'unknown', (SELECT count(DISTINCT asset) FROM good WHERE asset NOT IN (SELECT asset FROM assets))
+  ) UNION ALL SELECT 'trades', 'source_presence', '', 'no_files', 1)""", ("fills_v2", "assets"))
+def _(spark, sf):
+    """A lake of which one file, that of May 1998, is damaged."""
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    at = F.timestamp_seconds("timestamp")
+    fills = materialize(fills_v2(spark, sf), "fills")
+    bad = (F.year(at) == 1998) & (F.month(at) == 5)
+    lake.write_partitioned("markets", part_markets(spark, sf).drop("p_size", "p_partkey"))
+    # One file a month: the months are small and each is dealt to one task.
+    for part in (fills.where(~bad), fills.where(bad)):
+        lake.write_partitioned("order_filled_v2", part.repartition(1))
+    for r in lake.read_outcomes("order_filled_v2").where("year = 1998 AND month = 5").collect():
+        storage.write_text(spark, r.path, "damaged")
+    report = Q.validate_lake(lake, ["order_filled_v2", "trades"], full=True)
+    told = F.col("check").isin("source_stats", "file_read", "unique_keys", "references", "source_presence") | F.concat_ws(".", "column", "code").isin(
+        "amount_usdc.exclusive_min", "side.allowed", "order_type.allowed")
+    gone = F.when(F.col("check") == "source_presence", 1).otherwise(F.col("count"))
+    return report.where(told).select(
+        "source", "check", F.coalesce("column", F.lit("")).alias("column"), F.coalesce("code", F.lit("")).alias("code"), gone.cast("long").alias("count"))
+
+
 @query("q04_duplicate_count", """
   SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS count FROM (SELECT count(*) AS n FROM fills_v2 GROUP BY id)
   WHERE n > 1""", ("fills_v2",))

@@ -33,7 +33,7 @@ from outcomelake.operators.fills import (
     with_markets,
 )
 from outcomelake.operators.quality import assert_valid
-from outcomelake.schemas import contract, has_contract
+from outcomelake.schemas import CONTRACTS, contract, has_contract
 from outcomelake.session import materialize
 from outcomelake.sources import storage
 from outcomelake.sources.manifest import COMMIT, PARTITION, Manifest, fingerprint
@@ -205,7 +205,10 @@ class Lake:
             units = units.where(F.col("landed") > after)
         return sorted(units.collect(), key=lambda u: (u[COMMIT], u.year, u.month))
 
-    def _read(self, path: str, units: list[Row], declared: dict[str, T.DataType] | None = None, commits: bool = False) -> DataFrame:
+    def _read(
+        self, path: str, units: list[Row], declared: dict[str, T.DataType] | None = None, commits: bool = False, paths: bool = False,
+        **options: str,
+    ) -> DataFrame:
         """The rows of some units, columns in declared types, else in those stored, else as text where these differ.
 
         Units are named by a filter on partition columns, which prunes folders.  Where stored types agree it is one
@@ -224,11 +227,12 @@ class Lake:
         for stored in [k for k in schemas] if drifted else [None]:
             chosen = [u for u in units if stored in (None, u.schema_json)]
             fields = list(schemas[stored]) if drifted else [T.StructField(c, types[c]) for c in names]
-            rows = self.spark.read.schema(T.StructType([*fields, *folders])).parquet(path)
+            rows = self.spark.read.options(**options).schema(T.StructType([*fields, *folders])).parquet(path)
             unit = F.concat_ws("/", COMMIT, *PARTITION)
             rows = rows.where(F.col("year").isin(sorted({u.year for u in chosen})) & unit.isin([f"{u[COMMIT]}/{u.year}/{u.month}" for u in chosen]))
             own = {f.name for f in fields}
-            parts.append(rows.select(*[F.col(c).cast(types[c]).alias(c) for c in names if c in own], *PARTITION, COMMIT))
+            told = [F.col("_metadata.file_path").alias("_path")] if paths else []
+            parts.append(rows.select(*[F.col(c).cast(types[c]).alias(c) for c in names if c in own], *PARTITION, COMMIT, *told))
         out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         return out if commits else out.drop(COMMIT)
 
@@ -269,6 +273,39 @@ class Lake:
         declared = {f.name: f.dataType for f in contract(source).struct()} if has_contract(source) else {}
         return self._read(path, units, declared) if units else self.scan(source)
 
+    def sources(self) -> list[str]:
+        """The sources that have a contract and files, by their manifests."""
+        return [s for s in (c.source for c in CONTRACTS.values()) if self._units(self.path(s))]
+
+    def read_outcomes(self, source: str, every_column: bool = False) -> DataFrame:
+        """Q03 — per live file the rows the manifest tells and those that tasks could read.
+
+        ``problem`` is ``unreadable`` where a file is gone or corrupt, ``row_count`` where it holds another
+        number of rows, else null.  Without ``every_column`` only the times are read.
+        """
+        path = self.path(source)
+        units = self._units(path)
+        files = self._files(source).select("path", *PARTITION, "rows")
+        if not units:
+            return files.select("*", F.lit(None).cast("long").alias("found"), F.lit(None).cast("string").alias("problem"))
+        rows = self._read(path, units, paths=True, ignoreCorruptFiles="true", ignoreMissingFiles="true")
+        columns = [c for c in rows.columns if c not in (*PARTITION, "_path")] if every_column else ["timestamp"]
+        seen = rows.select(F.col("_path").alias("path"), F.xxhash64(*columns).alias("_read")).groupBy("path").agg(F.count("_read").alias("found"))
+        problem = F.when(F.col("found").isNull(), "unreadable").when(F.col("found") != F.col("rows"), "row_count")
+        return files.join(seen, "path", "left").withColumn("problem", problem)
+
+    def file_columns(self, source: str) -> list[tuple[T.StructType, int]]:
+        """The distinct sets of stored columns of a source, and how many files have each."""
+        kinds = self._files(source).groupBy("schema_json").agg(F.count(F.lit(1)).alias("n")).collect()
+        return [(T.StructType.fromJson(json.loads(r.schema_json)), r.n) for r in kinds]
+
+    def scan_readable(self, source: str) -> DataFrame:
+        """L05 over the files that can be read; for reports on a damaged lake."""
+        path = self.path(source)
+        units = self._units(path)
+        declared = {f.name: f.dataType for f in contract(source).struct()} if has_contract(source) else {}
+        return self._read(path, units, declared, ignoreCorruptFiles="true", ignoreMissingFiles="true") if units else self.scan(source)
+
     def scan_trades(self) -> DataFrame:
         """L11"""
         return self.scan("trades")
@@ -326,9 +363,9 @@ class Lake:
         ]
         named = self.spark.createDataFrame(hashes, "_text string, schema_sha256 string")
         told = kinds.select(*PARTITION, F.array_join("_kinds", "\n").alias("_text")).join(F.broadcast(named), "_text").drop("_text")
-        return self._inventory(source).join(told, PARTITION, "left")
+        return self.month_totals(source).join(told, PARTITION, "left")
 
-    def _inventory(self, source: str) -> DataFrame:
+    def month_totals(self, source: str) -> DataFrame:
         """L16 without the fingerprint."""
         return (
             self._files(source)
@@ -349,7 +386,7 @@ class Lake:
         """L17 — rows, files, bytes and latest timestamp per source; zeros where absent."""
         totals = []
         for source in sources:
-            per_month = self._inventory(source)
+            per_month = self.month_totals(source)
             totals.append(
                 per_month.agg(
                     F.lit(source).alias("source"),
@@ -417,13 +454,13 @@ class Lake:
             else:
                 rows = dedupe(rows, by_key, [*order, content], keep="last")
         self._write(rows.select(*columns), path, order=["timestamp"], replaces=units, compacted=True)
-        done = self._inventory(source).where(self._months(sorted(months)))
+        done = self.month_totals(source).where(self._months(sorted(months)))
         return done.select(*PARTITION, "rows")
 
     def compact(self, source: str, year: int, month: int, keys: list[str] | None = None,
                 order: list[str] | None = None) -> int:
         """L13 — merge a month's files, de-duplicated and time-sorted; 0 with one file or none, or nothing new."""
-        due = self._inventory(source).where(
+        due = self.month_totals(source).where(
             (F.col("year") == year) & (F.col("month") == month) & (F.col("files") > 1) & (F.col("run_files") > 0)
         )
         first = self._compact(source, due, keys, order).first()
@@ -431,7 +468,7 @@ class Lake:
 
     def compact_all(self, source: str, keys: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
         """L14 — all months with their rows; those with several files, some of them new, are merged in one job."""
-        months = materialize(self._inventory(source).select(*PARTITION, "rows", "files", "run_files"), "months")
+        months = materialize(self.month_totals(source).select(*PARTITION, "rows", "files", "run_files"), "months")
         due = months.where("files > 1 AND run_files > 0")
         merged = self._compact(source, due, keys, order)
         rest = months.join(merged, PARTITION, "left_anti").select(*PARTITION, "rows")
@@ -441,7 +478,7 @@ class Lake:
         self, source: str, max_run_files: int = MAX_RUN_FILES, max_bytes: int = MAX_PARTITION_BYTES
     ) -> DataFrame:
         """L15 — months with too many new files, or new files on top of a large month."""
-        return self._inventory(source).where(
+        return self.month_totals(source).where(
             (F.col("run_files") > max_run_files)
             | ((F.col("run_files") > 0) & (F.col("bytes") > max_bytes))
         )

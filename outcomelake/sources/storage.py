@@ -29,3 +29,13 @@ def move(spark: SparkSession, path: str, target: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     system, folder = _open(spark, path)
     system.delete(folder, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text in a file, in place of what it held."""
+    system, file = _open(spark, path)
+    out = system.create(file, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()

@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from outcomelake.operators.dims import asset_dimension
-from outcomelake.operators.fills import UnresolvedAssetsError
+from outcomelake.operators import quality as Q
+from outcomelake.operators.fills import UnresolvedAssetsError, dedupe_guarded
+from outcomelake.sources import storage
 from outcomelake.sources.lake import Lake
 from outcomelake.sources.manifest import Manifest
 from test_lake import FEB, JAN, MAR, lake, markets, v2  # noqa: F401
@@ -126,3 +128,35 @@ def test_marks_of_an_older_kind(lake, v2, markets):  # noqa: F811
     lake.save_cursor("trades_v2", 2024, 2, None, "b")  # by id alone
     assert lake.process_v2() == 2
     assert {r.orderfilled_id for r in lake.scan("trades").collect()} == {"v2:c", "v2:d"}
+
+
+def test_report_on_a_lake_with_bad_files(spark, lake, v2):  # noqa: F811
+    """One file corrupt, one gone, one with another number of rows, one with other types; the rest is checked."""
+    for k in range(5):
+        df = v2((f"a{k}", JAN + k), (f"b{k}", JAN + k)).coalesce(1)
+        lake.write_partitioned("order_filled_v2", df.withColumn("fee", F.lit("0")) if k == 4 else df)
+    files = sorted(r.path for r in lake._files("order_filled_v2").collect())
+    local = [p.removeprefix("file://").removeprefix("file:") for p in files]
+    storage.write_text(spark, files[0], "damaged")
+    os.remove(local[1])
+    v2(("only", JAN)).coalesce(1).write.parquet(f"{lake.root}/other")
+    storage.delete(spark, files[2])
+    storage.move(spark, glob(f"{lake.root}/other/*.parquet")[0], files[2])
+    outcome = {r.path: r.problem for r in lake.read_outcomes("order_filled_v2", every_column=True).collect()}
+    assert [outcome[p] for p in files] == ["unreadable", "unreadable", "row_count", None, None]
+    report = {(r.check, r.column, r.code): r for r in Q.validate_lake(lake, ["order_filled_v2", "trades"]).collect()}
+    assert report["file_read", None, "unreadable"]["count"] == 2 and report["file_read", None, "row_count"]["count"] == 1
+    assert report["file_schema", "fee", "wrong_type"]["count"] == 1
+    assert (report["source_stats", "rows", None]["count"], report["source_stats", "min_timestamp", None]["count"]) == (10, JAN)
+    assert report["source_presence", None, "no_files"].status == "warning"
+    assert report["full_checks", None, None].status == "skipped"
+    assert report["contract_values", "side", "allowed"].status == "ok"
+    whole = Q.report_status(Q.validate_lake(lake, full=True)).collect()
+    assert [(r.source, r.status) for r in whole] == [("order_filled_v2", "error")]
+
+
+def test_guarded_dedupe(spark):
+    rows = [("a", 1), ("a", 2), (None, 3), (None, 4)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    assert dedupe_guarded(df, ["k"], ["v"]).count() == 4
+    assert {(r.k, r.v) for r in dedupe_guarded(df.where("k IS NOT NULL"), ["k"], ["v"], keep="first").collect()} == {("a", 1)}
