@@ -13,10 +13,12 @@ from the largest, which fills sequences exactly; the last ones are powers of two
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import public_tokenizers
@@ -33,14 +35,24 @@ from outcomelake.llm.common import chunks
 CAPACITY, FINEST, END_ID = 1024, 64, 0
 #: Slices a worker remembers before it starts anew, and the longest that it remembers.
 SLICE_CACHE, SLICE_LENGTH = 500_000, 48
-#: Code points sliced at once; unknown words tokenised as one text; bytes of ids in one batch of output.
-WINDOW, JOINED, OUT_BYTES = 1 << 18, 1 << 15, 4 << 20
+#: Code points sliced at once; bytes of ids in one batch of output.
+WINDOW, OUT_BYTES = 1 << 18, 4 << 20
 #: Up to here all Unicode versions know the same characters; later ones are compared with the library's.
 COMMON = "\u0557"
 #: Slices at the end of a window that its end may have changed: a contraction comes apart into two.
 UNSURE = 4
 
 
+def _letters() -> dict[int, int]:
+    """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves, others from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
+
+
+_LETTERS = _letters()
+
+
 class SliceTokens:
     """The ids of texts as little-endian unsigned 32-bit bytes; those of a slice are remembered."""
 
@@ -54,6 +66,9 @@ class SliceTokens:
         self.common_slices = _common_slices()
         self.later = re.compile(f"[^\0-{COMMON}]")
         self.agreed: dict[str, bool] = {}
+        kind = json.loads(tokenizer_json)
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.sliceable = kind["normalizer"] is None and plain.items() <= (kind["pre_tokenizer"] or {}).items()
 
     def _agrees(self, c: str) -> bool:
         """Whether a character is of the same kind here as in the library, whose Unicode version is another."""
@@ -66,7 +81,7 @@ class SliceTokens:
     def ids(self, text: str) -> bytes:
         """The ids of a whole text; it is sliced window by window, so memory stays bounded."""
         later = () if text.isascii() else set(self.later.findall(text))
-        if not all(map(self._agrees, later)):
+        if not self.sliceable or not all(map(self._agrees, later)):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         findall = (self.slices if later else self.common_slices).findall
         out, at, width = [], 0, WINDOW
@@ -82,28 +97,18 @@ class SliceTokens:
         return b"".join(out)
 
     def _learnt(self, found: list[str]) -> dict[str, bytes]:
-        """Ids of slices, these among them; new words are tokenised together."""
+        """Ids of slices, these among them; the library's model merges the new ones."""
         if len(self.known) > SLICE_CACHE:
             self.known = {}
         known = self.known
         new = set(found).difference(known)
         if any(len(w) > SLICE_LENGTH for w in new):  # not remembered, so that memory stays bounded
             known = {w: known[w] for w in set(found).difference(new)}
-        words = [w for w in new if w[0] == " " and len(w) <= SLICE_LENGTH and w[1:].isalpha()]
-        for words in _blocks(words):
-            # Words that a blank leads stay slices of their own when they stand in a row.
-            encoding = self.tokenizer.encode("".join(words), add_special_tokens=False)
-            of_word = np.array(encoding.word_ids, np.int64)
-            ends = np.searchsorted(of_word, np.arange(len(words)), "right").tolist()
-            if not len(of_word) or of_word[-1] + 1 != len(words):
-                continue
-            raw, start = np.array(encoding.ids, "<u4").tobytes(), 0
-            for w, end in zip(words, ends):
-                known[w] = raw[4 * start:4 * end]
-                start = end
-        rest = [w for w in new if w not in known]
-        for w, encoding in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[w] = np.array(encoding.ids, "<u4").tobytes()
+        merge = self.tokenizer.model.tokenize
+        for w in new:
+            letters = w.encode("utf-8").decode("latin-1").translate(_LETTERS)
+            ids = [t.id for t in merge(letters)]
+            known[w] = pack_ids(f"<{len(ids)}I", *ids)
         return known
 
 
@@ -123,18 +128,6 @@ def _common_slices() -> re.Pattern:
     return re.compile(pattern)
 
 
-def _blocks(words: list[str]) -> Iterator[list[str]]:
-    block, size = [], 0
-    for w in words:
-        block.append(w)
-        size += len(w)
-        if size >= JOINED:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
-
-
 @lru_cache(2)
 def _tokens(tokenizer_json: bytes) -> SliceTokens:
     return SliceTokens(tokenizer_json)

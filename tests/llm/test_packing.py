@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -70,7 +71,6 @@ def test_pieces_of_odd_texts(odd_docs, capacity, finest):
 
 def test_slices_as_the_library_makes_them(make_docs, monkeypatch):
     monkeypatch.setattr(packing, "WINDOW", 40)
-    monkeypatch.setattr(packing, "JOINED", 30)
     rng = random.Random(5)
     marks = ["'ll", "'l", "'", "''s", " ", "  ", "\n", "\t\n ", "é", "ñandú", "漢字", "٣4", "!", " ?!", "<|endoftext|>", "՘", "\U00010940", "A1b2", "\x85", "　x", "\x1c"]
     texts = ["".join(rng.choice(marks + [prose(rng, 3)]) for _ in range(rng.randint(1, 60))) for _ in range(300)]
@@ -78,6 +78,15 @@ def test_slices_as_the_library_makes_them(make_docs, monkeypatch):
     assert check(rows, {i: [t] for i, t in enumerate(texts)}) < 0.03
 
 
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    """A tokenizer that does not slice byte-level text is left to the library."""
+    raw = json.loads(open(public_tokenizers.path("byte_bpe_50k.json")).read())
+    raw["pre_tokenizer"]["add_prefix_space"] = True
+    tokens, library = packing.SliceTokens(json.dumps(raw).encode()), Tokenizer.from_str(json.dumps(raw))
+    for text in ("one two", "'ll é\n"):
+        assert np.frombuffer(tokens.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_every_common_character_is_sliced_alike():
     tokens = packing.SliceTokens(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
     for c in map(chr, range(ord(packing.COMMON) + 1)):
