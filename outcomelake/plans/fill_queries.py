@@ -83,10 +83,13 @@ _LATEST = """
                  FROM market_versions) WHERE rn = 1"""
 
 
-@query("d07_markets_current", f"""
+CURRENT_SQL = f"""
   SELECT id, token1, token2, question, coalesce(category, '') AS category,
          coalesce(CASE WHEN observed_at > 10000000000 THEN observed_at // 1000000000 ELSE observed_at END,
-                  timestamp) AS timestamp FROM ({_LATEST})""", ("market_versions",))
+                  timestamp) AS timestamp FROM ({_LATEST})"""
+
+
+@query("d07_markets_current", CURRENT_SQL, ("market_versions",))
 def _(spark, sf):
     return M.markets_current(market_versions(spark, sf))
 

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from outcomelake.functions import sum_micros
 from outcomelake.operators.dims import asset_dimension
 from outcomelake.operators.fills import UnresolvedAssetsError
-from outcomelake.plans.fill_queries import RAW_SQL, V1_SQL, V2_SQL
+from outcomelake.plans.fill_queries import CURRENT_SQL, RAW_SQL, V1_SQL, V2_SQL
 from outcomelake.plans.fixtures import (
     fills_v1,
     fills_v2,
+    market_versions,
     part_markets,
     raw_logs,
     raw_markets,
@@ -67,6 +68,23 @@ def _(spark, sf):
     return lake.scan("market_assets").drop("year", "month")
 
 
+_CURRENT_ASSETS = " UNION ALL ".join(
+    f"SELECT {t} AS asset, id AS market_id, '{t}' AS token_side, timestamp FROM ({CURRENT_SQL}) WHERE {t} <> ''" for t in ("token1", "token2"))
+
+
+@query("l02_refresh_dimensions", _CURRENT_ASSETS, ("market_versions",))
+def _(spark, sf):
+    """Canonical, discovered and refreshed markets in a lake, and the asset dimension published from them."""
+    lake = _lake(spark)
+    # Columns of the contract that the fixture does not fill.
+    text = {c: F.lit("-") for c in ("createdAt", "answer1", "answer2", "market_slug", "condition_id", "volume", "ticker", "closedTime",
+                                    "outcomePrices", "resolutionSource", "umaResolutionStatus")}
+    for source, rows in market_versions(spark, sf).items():
+        lake.write_partitioned(source, rows.withColumns({**text, "neg_risk": F.lit(False), "closed": F.lit(False)}))
+    lake.refresh_dimensions()
+    return lake.scan("market_assets").drop("year", "month")
+
+
 @query("l03_write_partition", _monthly_sql(
     "fills_v2", "amount_usdc", f"WHERE year(make_timestamp(timestamp * 1000000)) = 1998"), ("fills_v2",))
 def _(spark, sf):
@@ -272,6 +290,15 @@ _FILL_COLUMNS = """amount_shares double, amount_usdc double, asset string, block
   user_id string, version bigint"""
 
 
+@query("l15_compact_due", f"""
+  SELECT year, month, count(*) AS rows FROM (SELECT {_MONTH} FROM latest_fills_v2)
+  WHERE (year, month) IN (SELECT (year, month) FROM (SELECT {_MONTH}, ingest_seq FROM fills_v2)
+                          GROUP BY year, month HAVING count(DISTINCT ingest_seq) > 1)
+  GROUP BY 1, 2""", ("fills_v2", "latest_fills_v2"))
+def _(spark, sf):
+    return _compactable(spark, sf).compact_due("fills", keys=["id"], max_run_files=1)
+
+
 @query("l16_partition_inventory", f"""
   SELECT {_MONTH}, count(*) AS rows, count(DISTINCT ingest_seq) AS files, min(timestamp) AS min_timestamp,
          max(timestamp) AS max_timestamp, FALSE AS compacted,

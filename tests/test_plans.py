@@ -48,3 +48,12 @@ def test_scratch_folder_needs_the_checkpoint_setting(spark):
         session.shared_folder(Unset, "x")
     one, two = (session.shared_folder(spark, "x") for _ in range(2))
     assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]
+
+
+def test_copy_fills_read_stored_tables_only(spark):
+    """Counting hot keys and walking the rows both read what is stored: no plan derives the prints again."""
+    from __spark_entry__ import queries
+
+    for name in ("w07_next_print", "w08_copy_fills"):
+        text = plan(queries()[name](spark, SF_DIR))
+        assert text.count("Scan parquet") >= 2 and "signup" not in text  # a word of the prints' derivation alone
