@@ -14,6 +14,7 @@ import heapq
 import unicodedata
 from functools import lru_cache
 from itertools import chain
+from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +28,7 @@ from outcomelake.llm.common import append_columns
 #: Code points scanned together; whole texts only, so a longer text is a block of its own.
 BLOCK = 1 << 19
 #: Slices a worker remembers before it starts anew, and the longest that it remembers.
-SLICE_CACHE, SLICE_LENGTH = 150_000, 64
+SLICE_CACHE, SLICE_LENGTH = 300_000, 64
 #: Above every rank.
 NO_RANK = (1 << 31) - 1
 
@@ -156,8 +157,8 @@ class Vocabulary:
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.top = top
         self.slots = 0
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
+        self.older: dict[str, bytes] = {}
 
     def _store_pairs(self) -> None:
         """A hash table of all pairs of tokens that make a token."""
@@ -282,9 +283,9 @@ class Vocabulary:
         again = fresh.intersection(self.older)
         self.known.update(zip(again, map(self.older.__getitem__, again)))
         new = list(fresh.difference(again))
-        ids = dict(zip(new, self.merge([p.encode("utf-8") for p in new])))
-        self.known.update(ids)
-        out = [np.fromiter(chain.from_iterable(map(self.known.__getitem__, s)), np.int32) for s in slices]
+        for piece, ids in zip(new, self.merge([p.encode("utf-8") for p in new])):
+            self.known[piece] = pack(f"={len(ids)}i", *ids)
+        out = [np.frombuffer(b"".join(map(self.known.__getitem__, s)), np.int32) for s in slices]
         for p in new:
             if len(p) > SLICE_LENGTH:
                 del self.known[p]
@@ -346,7 +347,7 @@ def decode(tokens: DataFrame, rank_path: str | None = None, keep: list[str] | No
     def fill(columns: dict[str, pa.Array]) -> list[pa.Array]:
         vocabulary = _vocabulary(ranks.value)
         lists = columns["ids"]
-        values, out = lists.flatten().to_pylist(), []
+        values, out = lists.flatten().to_numpy(zero_copy_only=False).tolist(), []
         at = 0
         for n in lists.value_lengths().fill_null(0).to_pylist():
             out.append(vocabulary.decode(values[at:at + n]))
