@@ -159,19 +159,24 @@ def uint256_text(word: Column) -> Column:
     """
     parts = [F.conv(F.substring(word, 57 - 8 * i, 8), 16, 10).cast("long") for i in range(8)]
     base, places = 10 ** 8, 10
-    sums = [
-        reduce(lambda a, b: a + b, [part * F.lit(2 ** (32 * i) // base ** j % base) for i, part in enumerate(parts)])
-        for j in range(places)
-    ]
-    # One step per place, each reading the step before once.
-    digits = F.aggregate(
-        F.array(*sums), F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("carry")),
-        lambda acc, s: F.struct(
-            F.concat(F.lpad(((s + acc["carry"]) % base).cast("string"), 8, "0"), acc["text"]).alias("text"),
-            F.call_function("div", s + acc["carry"], F.lit(base)).alias("carry"),
-        ),
-        lambda acc: acc["text"],
-    )
+
+    def text(p: Column) -> Column:
+        sums = [
+            reduce(lambda a, b: a + b, [p[i] * F.lit(2 ** (32 * i) // base ** j % base) for i in range(8) if 2 ** (32 * i) >= base ** j], F.lit(0).cast("long"))
+            for j in range(places)
+        ]
+        # One step per place, each reading the step before once.
+        return F.aggregate(
+            F.array(*sums), F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("carry")),
+            lambda acc, s: F.struct(
+                F.concat(F.lpad(((s + acc["carry"]) % base).cast("string"), 8, "0"), acc["text"]).alias("text"),
+                F.call_function("div", s + acc["carry"], F.lit(base)).alias("carry"),
+            ),
+            lambda acc: acc["text"],
+        )
+
+    # Bound by a lambda, so that the parts are read from the word once.
+    digits = F.transform(F.array(F.array(*parts)), text)[0]
     return F.when(F.regexp_like(word, F.lit("^[0-9a-fA-F]{64}$")), F.regexp_replace(digits, "^0+(?=[0-9])", "")).when(
         word.isNotNull(), F.raise_error(F.concat(F.lit("no 256-bit word: "), word)))
 
@@ -226,7 +231,7 @@ def decode_order_events(logs: DataFrame, matches: DataFrame, blocks: DataFrame)
             hex_long(F.col("blockNumber")).alias("block_number"),
             F.lower("address").alias("exchange"),
             _address(F.get("topics", F.lit(2))).alias("user_id"),
-            uint256_text(word[1]).alias("asset"),
+            word[1].alias("_asset_word"),
             F.when(buys, F.col("_maker")).otherwise(F.col("_taker")).alias("amount_usdc"),
             F.when(buys, F.col("_taker")).otherwise(F.col("_maker")).alias("amount_shares"),
             F.when(buys, "BUY").otherwise("SELL").alias("side"),
@@ -237,6 +242,9 @@ def decode_order_events(logs: DataFrame, matches: DataFrame, blocks: DataFrame)
             F.concat(F.lit("0x"), F.lower(word[6])).alias("metadata"),
         )
     )
+    # Assets are few beside fills: each distinct word is converted once.
+    assets = decoded.select("_asset_word").where("_asset_word IS NOT NULL").distinct().withColumn("asset", uint256_text(F.col("_asset_word")))
+    decoded = decoded.join(assets, "_asset_word", "left").drop("_asset_word")
     matched = matches.select(
         F.lower("transactionHash").alias("transaction_hash"),
         F.lower(F.get("topics", F.lit(1))).alias("order_hash"),
