@@ -193,7 +193,9 @@ def _(spark, sf):
                          epoch_us(l_shipdate) // 86400000000) AS tx
         FROM lineitem)""")
 def _(spark, sf):
-    return R.decode_order_events(*raw_logs(spark, sf)).select(
+    logs, matches, blocks = raw_logs(spark, sf)
+    # Logs are decoded from where they landed, not made anew for each use.
+    return R.decode_order_events(materialize(logs, "raw-logs"), matches, blocks).select(
         "id", "exchange", "log_index", "block_number", "block_timestamp", "user_id", "asset", "side",
         "amount_usdc", "amount_shares", "price", "order_hash", "fee", "order_type", "builder",
     )

@@ -183,7 +183,8 @@ def uint256_text(word: Column) -> Column:
 
 def _bare(text: Column) -> Column:
     """Hex digits without their 0x."""
-    return F.when(F.lower(F.substring(text, 1, 2)) == "0x", F.substr(text, F.lit(3))).otherwise(text)
+    marked = F.startswith(text, F.lit("0x")) | F.startswith(text, F.lit("0X"))
+    return F.when(marked, F.substr(text, F.lit(3))).otherwise(text)
 
 
 def hex_long(text: Column) -> Column:
@@ -191,16 +192,23 @@ def hex_long(text: Column) -> Column:
     return F.conv(_bare(text), 16, 10).cast("long")
 
 
-def _word_amount(word: Column) -> Column:
-    """A 32-byte amount in 1e-6 units as a double.
+def _word(number: int) -> Column:
+    """A 32-byte word of ``_body``; of bytes a slice is a copy, of text it counts all characters before."""
+    return F.substring("_body", 32 * number + 1, 32)
 
-    Real amounts fit the last 64 bits; wider ones are summed from four parts.
+
+def _word_amount(number: int) -> Column:
+    """A word that holds an amount in 1e-6 units, as a double.
+
+    Real amounts fit the last 64 bits; wider ones are summed from four parts.  A lambda does that, so it
+    adds little to the generated code, which the JVM compiles only while its methods are short.
     """
-    parts = [F.conv(F.substring(word, 16 * i + 1, 16), 16, 10).cast("double") for i in range(4)]
-    wide: Column = F.lit(0.0)
-    for i, part in enumerate(parts):
-        wide = wide + part * F.lit(float(2 ** (64 * (3 - i))))
-    return F.when(F.startswith(word, F.lit("0" * 48)), parts[3]).otherwise(wide) / 1e6
+    at = 32 * number + 1
+    part = lambda start: F.conv(F.hex(F.substr(F.col("_body"), start, F.lit(8))), 16, 10).cast("double")
+    wide = F.aggregate(
+        F.array(*[F.lit(at + 8 * i) for i in range(4)]), F.lit(0.0), lambda total, start: total * F.lit(float(2 ** 64)) + part(start))
+    small = F.substring("_body", at, 24) == F.unhex(F.lit("0" * 48))
+    return F.when(small, part(F.lit(at + 24))).otherwise(wide) / 1e6
 
 
 def _address(topic: Column) -> Column:
@@ -213,37 +221,37 @@ def decode_order_events(logs: DataFrame, matches: DataFrame, blocks: DataFrame)
     ``logs`` carry address, blockNumber, transactionHash, logIndex, topics and
     data (seven 32-byte words); ``matches`` transactionHash and topics;
     ``blocks`` block_number and block_timestamp.  A log with too few topics or
-    words fails the job.
+    words, or with other than hex digits in them, fails the job.
     """
     body = _bare(F.col("data"))
-    broken = (F.size("topics") < 4) | (F.length(body) < 7 * 64)
-    data = F.when(broken, F.raise_error(F.lit("event log lacks topics or data words"))).otherwise(body)
-    word = [F.substring("_body", 64 * i + 1, 64) for i in range(7)]
-    buys = F.col("_side") == F.repeat(F.lit("0"), F.lit(64))
+    words = F.unhex(F.substring(body, 1, 7 * 64))
+    broken = (F.size("topics") < 4) | (F.octet_length(words) < 7 * 32) | (words.isNull() & F.col("data").isNotNull())
+    data = F.when(broken, F.raise_error(F.lit("event log lacks topics or data words"))).otherwise(words)
+    buys = F.col("_side") == F.unhex(F.lit("0" * 64))
     decoded = (
         logs.withColumn("_body", data)
-        .withColumn("_side", word[0])
-        .withColumn("_maker", _word_amount(word[2]))
-        .withColumn("_taker", _word_amount(word[3]))
+        .withColumn("_side", _word(0))
+        .withColumn("_maker", _word_amount(2))
+        .withColumn("_taker", _word_amount(3))
         .select(
             F.lower("transactionHash").alias("transaction_hash"),
             hex_long(F.col("logIndex")).alias("log_index"),
             hex_long(F.col("blockNumber")).alias("block_number"),
             F.lower("address").alias("exchange"),
             _address(F.get("topics", F.lit(2))).alias("user_id"),
-            word[1].alias("_asset_word"),
+            _word(1).alias("_asset_word"),
             F.when(buys, F.col("_maker")).otherwise(F.col("_taker")).alias("amount_usdc"),
             F.when(buys, F.col("_taker")).otherwise(F.col("_maker")).alias("amount_shares"),
             F.when(buys, "BUY").otherwise("SELL").alias("side"),
             F.lower(F.get("topics", F.lit(1))).alias("order_hash"),
             _address(F.get("topics", F.lit(3))).alias("counterparty_id"),
-            _word_amount(word[4]).alias("fee"),
-            F.concat(F.lit("0x"), F.lower(word[5])).alias("builder"),
-            F.concat(F.lit("0x"), F.lower(word[6])).alias("metadata"),
+            _word_amount(4).alias("fee"),
+            F.concat(F.lit("0x"), F.lower(F.hex(_word(5)))).alias("builder"),
+            F.concat(F.lit("0x"), F.lower(F.hex(_word(6)))).alias("metadata"),
         )
     )
     # Assets are few beside fills: each distinct word is converted once.
-    assets = decoded.select("_asset_word").where("_asset_word IS NOT NULL").distinct().withColumn("asset", uint256_text(F.col("_asset_word")))
+    assets = decoded.select("_asset_word").where("_asset_word IS NOT NULL").distinct().withColumn("asset", uint256_text(F.hex("_asset_word")))
     decoded = decoded.join(assets, "_asset_word", "left").drop("_asset_word")
     matched = matches.select(
         F.lower("transactionHash").alias("transaction_hash"),
