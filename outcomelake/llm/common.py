@@ -36,11 +36,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, and its path for ``discard``: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder that stays."""
+    return stored(df, label)[0]
 
 
 def discard(spark: SparkSession, path: str) -> None:

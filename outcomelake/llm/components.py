@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outcomelake.llm.common import materialize
+from outcomelake.llm.common import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,11 +27,12 @@ def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``component``) for every node of the edges ``u``, ``v``; the component is its least node.
 
     Every round at least halves the height of the trees; rounds end when the edges,
-    compared by count and sums of hashes, stay as they are.  Each round is a written table.
+    compared by count and sums of hashes, stay as they are.  Each round is a written table and
+    deletes the one before.
     Loops (u = v) and repeated edges change nothing; an edge with a null end is left out.
     """
     loops = edges.where("u = v").select(F.col("u").alias("node"))
-    stars = materialize(edges.where("u <> v").select("u", "v").distinct(), "edges")
+    stars, path = stored(edges.where("u <> v").select("u", "v").distinct(), "edges")
     before = None
     while True:
         shape = stars.agg(
@@ -40,7 +41,9 @@ def components(edges: DataFrame) -> DataFrame:
         if shape[0] == 0 or shape == before:
             break
         before = shape
-        stars = materialize(_small_star(_large_star(stars)), "edges")
+        old = path
+        stars, path = stored(_small_star(_large_star(stars)), "edges")
+        discard(edges.sparkSession, old)
     roots = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     found = stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
     return found.union(loops.distinct().join(found, "node", "left_anti").select("node", F.col("node").alias("component")))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from outcomelake.llm.common import append_columns, materialize, mix, numbered, windows, word_ids
+from outcomelake.llm.common import append_columns, discard, materialize, mix, numbered, stored, windows, word_ids
 from outcomelake.llm.components import components
 
 #: Values of a sketch, those that propose pairs, and those of the first round.
@@ -80,13 +80,13 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Id and text of the documents among ``ids``.
+def _texts(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, str]:
+    """Id and text of the documents among ``ids``, and the path of that table.
 
     The ids grow with the input, so this is a join by shuffle at every size.
     """
     wanted = ids.distinct().hint("merge")
-    return materialize(docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id"), "wanted-texts")
+    return stored(docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id"), "wanted-texts")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -139,11 +139,12 @@ def _second_links(classes: DataFrame, tied: DataFrame, docs: DataFrame, width: i
         .select("rep", "n", "sketch", F.coalesce("component", "rep").alias("comp")), "placed")
     # All documents propose by the same rule: a key that one side leaves out meets nothing on the other.
     keys = _keys(F.slice("sketch", 1, PROPOSING))
-    rows = materialize(placed.select(
+    proposing, all_keys = stored(placed.select(
         "rep", "n", "comp", F.element_at("sketch", 1).alias("least"), F.explode(F.array_distinct(keys)).alias("key")), "proposing")
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count(F.lit(1)).alias("members")) \
+    mixed = proposing.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count(F.lit(1)).alias("members")) \
         .where("a < b").select("key", "members")
-    rows = materialize(rows.join(mixed, "key"), "proposing-mixed")
+    rows, mixed_keys = stored(proposing.join(mixed, "key"), "proposing-mixed")
+    discard(docs.sparkSession, all_keys)
     short = rows.where(F.col("members") <= SHORT)
     a = short.select("key", F.col("rep").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("c_u"))
     b = short.select("key", F.col("rep").alias("v"), F.col("n").alias("n_v"), F.col("comp").alias("c_v"))
@@ -152,30 +153,54 @@ def _second_links(classes: DataFrame, tied: DataFrame, docs: DataFrame, width: i
     pairs = materialize(_near(pairs, classes, percent), "pairs")
     long_rows = rows.where(F.col("members") > SHORT)
     blocks = _family_blocks(long_rows)
-    texts = _texts(docs, _ends(pairs).union(blocks.select("rep")))
-    return _confirmed(pairs, texts, width, percent).union(_block_links(long_rows, blocks, placed, texts, width, percent))
+    near, members, scratch = _near_members(long_rows, blocks, placed, percent)
+    discard(docs.sparkSession, mixed_keys)
+    texts, path = _texts(docs, _ends(pairs).union(near.select("rep")))
+    links = _confirmed(pairs, texts, width, percent).union(_block_links(near, members, texts, width, percent))
+    for old in (path, *scratch):
+        discard(docs.sparkSession, old)
+    return links
 
 
 def _family_blocks(rows: DataFrame) -> DataFrame:
-    """The members of long lists with their blocks of at most ``BLOCK``, in the order of their least values."""
-    members = numbered(rows.groupBy("rep").agg(F.min("least").alias("least")), ["least", "rep"], "family-order")
+    """The members of long lists with their blocks of at most ``BLOCK``, in the order of their least values and sizes."""
+    members = numbered(rows.groupBy("rep").agg(F.min("least").alias("least"), F.min("n").alias("n")), ["least", "n", "rep"], "family-order")
     return materialize(members.select("rep", F.floor(F.col("number") / BLOCK).alias("block")), "family-blocks")
 
 
-def _block_links(rows: DataFrame, blocks: DataFrame, placed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links among the members of long lists: a task compares two blocks."""
+def _near_members(rows: DataFrame, blocks: DataFrame, placed: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The members of two blocks, or of one, whose sketches come near another's there; all members; paths of both tables.
+
+    Only sketches travel to the tasks that compare blocks, so that texts are fetched where they decide.
+    """
+    members, own = stored(blocks.join(placed.select("rep", "comp", "n", "sketch"), "rep"), "family-sketches")
     # Lists of one family mostly meet in the same blocks: distinct sets of blocks come first, then their pairs.
     sets = rows.join(blocks, "rep").groupBy("key").agg(F.array_sort(F.collect_set("block")).alias("met")).select("met").distinct()
     meeting = sets.select(F.explode("met").alias("x"), "met").select("x", F.explode("met").alias("y")).where("x <= y").distinct()
+    ranges = members.groupBy("block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    side = lambda name: ranges.select(F.col("block").alias(name), F.col("low").alias(f"low_{name}"), F.col("high").alias(f"high_{name}"))
+    reach = (100 * F.col("high_x") >= percent * F.col("low_y")) & (100 * F.col("high_y") >= percent * F.col("low_x"))
+    meeting = meeting.join(side("x"), "x").join(side("y"), "y").where(reach).select("x", "y")
     sides = meeting.select("x", "y", F.col("x").alias("block")).union(meeting.where("x < y").select("x", "y", "y"))
-    own = blocks.join(placed.select("rep", "comp", "n", "sketch"), "rep")
-    full = materialize(own.join(texts.withColumnRenamed("id", "rep"), "rep"), "family-texts")
+
+    def find(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("rep").reset_index(drop=True)
+        return group.loc[_near_matrix(group, percent).any(axis=1), ["x", "y", "rep"]]
+
+    kind = dict(blocks.dtypes)["rep"]
+    near, found = stored(sides.join(members, "block").groupBy("x", "y").applyInPandas(find, f"x long, y long, rep {kind}"), "family-near")
+    return near, members, [own, found]
+
+
+def _block_links(near: DataFrame, members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links among the members of long lists: a task compares the texts of what is near in two blocks."""
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         return _links_of_blocks(group, width, percent)
 
-    kind = dict(blocks.dtypes)["rep"]
-    return materialize(sides.join(full, "block").groupBy("x", "y").applyInPandas(compare, f"u {kind}, v {kind}"), "family-links")
+    full = near.join(members, "rep").join(texts.withColumnRenamed("id", "rep"), "rep")
+    kind = dict(members.dtypes)["rep"]
+    return materialize(full.groupBy("x", "y").applyInPandas(compare, f"u {kind}, v {kind}"), "family-links")
 
 
 def _shared(sets: list[np.ndarray]) -> np.ndarray:
@@ -199,23 +224,29 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _links_of_blocks(group: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
-    """A forest of the links between two blocks, or within one; pairs far off by their sketches stay out."""
-    group = group.drop_duplicates(["rep", "text"]).reset_index(drop=True)
+def _near_matrix(group: pd.DataFrame, percent: int) -> np.ndarray:
+    """Which two members of different components, and of both blocks where there are two, may link by size and sketch."""
     sketches = [np.asarray(s, np.int64) for s in group["sketch"]]
     size = group["n"].to_numpy()
     stored = np.array([len(s) for s in sketches])
-    block, comp, rep = (group[c].to_numpy() for c in ("block", "comp", "rep"))
+    block, comp = (group[c].to_numpy() for c in ("block", "comp"))
     near = 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
     near &= comp[:, None] != comp[None, :]
     if (block != block[0]).any():
         near &= block[:, None] != block[None, :]
-    near &= 100 * _shared(sketches) >= FAR_OFF * percent * np.maximum.outer(stored, stored)
-    used = np.flatnonzero(near.any(1))
-    parent = {int(r): int(r) for r in rep[used]}
+    return near & (100 * _shared(sketches) >= FAR_OFF * percent * np.maximum.outer(stored, stored))
+
+
+def _links_of_blocks(group: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
+    """A forest of the links between two blocks, or within one; ids are of any type."""
+    group = group.drop_duplicates(["rep", "text"]).reset_index(drop=True)
+    near = _near_matrix(group, percent)
+    used = np.flatnonzero(near.any(axis=1))
+    rep = group["rep"].tolist()
+    parent = {rep[k]: rep[k] for k in used}
     out = []
 
-    def root(k: int) -> int:
+    def root(k: object) -> object:
         while parent[k] != k:
             parent[k] = k = parent[parent[k]]
         return k
@@ -225,10 +256,11 @@ def _links_of_blocks(group: pd.DataFrame, width: int, percent: int) -> pd.DataFr
         shared, length = _shared(sets), np.array([len(s) for s in sets])
         linked = near[np.ix_(used, used)] & (shared > 0) & (100 * shared >= percent * (length[:, None] + length[None, :] - shared))
         for i, j in zip(*np.nonzero(np.triu(linked))):
-            a, b = root(int(rep[used[i]])), root(int(rep[used[j]]))
+            u, v = rep[used[i]], rep[used[j]]
+            a, b = root(u), root(v)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-                out.append((int(rep[used[i]]), int(rep[used[j]])))
+                out.append((u, v))
     return pd.DataFrame(out, columns=["u", "v"])
 
 
@@ -241,7 +273,9 @@ def _marked(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .agg(F.min_by(F.struct("n_shingles", "sketch"), "doc_id").alias("s"), F.min("doc_id").alias("rep"))
         .select("h1", "h2", "rep", F.col("s.n_shingles").alias("n"), F.col("s.sketch").alias("sketch")), "classes")
     pairs = materialize(_near(_first_pairs(classes), classes, percent), "pairs")
-    first = _confirmed(pairs, _texts(docs, _ends(pairs)), width, percent)
+    texts, path = _texts(docs, _ends(pairs))
+    first = _confirmed(pairs, texts, width, percent)
+    discard(docs.sparkSession, path)
     second = _second_links(classes, components(first), docs, width, percent)
     found = components(first.union(second))
     groups = classes.select("h1", "h2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \

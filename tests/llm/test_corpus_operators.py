@@ -81,6 +81,17 @@ def test_near_duplicates_of_texts_that_are_mostly_a_shared_passage(make_docs, se
     assert got == {k: k for k in range(30)} | {100: 100, 101: 100}
 
 
+def test_near_duplicates_with_text_ids(spark):
+    passage = prose(random.Random(3), 60)
+    texts = [f"{passage} {prose(random.Random(k % 20), 12)}" for k in range(60)]  # twenty groups of three, all in long lists
+    docs = spark.createDataFrame([(f"d{k:02d}", t + f" end{k}") for k, t in enumerate(texts)], "doc_id string, text string")
+    sets = [{tuple(w[i:i + 3]) for i in range(len(w) - 2)} for w in ((t + f" end{k}").lower().split() for k, t in enumerate(texts))]
+    edges = [(i, j) for i in range(60) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])]
+    want = find_components(range(60), edges)
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(docs, 3, 90).collect()}
+    assert got == {f"d{k:02d}": f"d{want[k]:02d}" for k in range(60)} and len(set(got.values())) == 20
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     rows = minhash_dedup.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
