@@ -27,13 +27,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from outcomelake.llm.common import append_columns, chunks, materialize, mix
+from outcomelake.llm.common import append_columns, chunks, discard, mix, stored
 
 GRAM = 40
 #: Window starts that are worked on together; a longer text is done in parts.
 PART = 1 << 21
 #: Window starts that the third digit stands for.
 STEP = 16
+#: Texts a task remembers before it starts anew; bounds its memory, never its results.
+REMEMBERED = 200_000
 
 _RNG = np.random.default_rng(20240229)
 _BYTES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,11 +118,41 @@ def _text_keys() -> tuple[Column, Column]:
     return F.xxhash64(F.lit(1), "text").alias("t1"), F.xxhash64("text", F.lit(2)).alias("t2")
 
 
+class _Once:
+    """Keeps the first of equal texts that a task meets: copies add nothing to an order of distinct texts.
+
+    So a text in a third of all rows makes rows once a task, not once a copy, before anything is shuffled.
+    """
+
+    def __init__(self) -> None:
+        self.seen: set[tuple[int, int]] = set()
+
+    def __call__(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The rows of ``batch``, whose first two columns are the text key, that are new to the task."""
+        new = []
+        for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            new.append(key not in self.seen)
+            self.seen.add(key)
+        if len(self.seen) > REMEMBERED:
+            self.seen.clear()
+        return batch.filter(pa.array(new, pa.bool_()))
+
+
+def _distinct_in_tasks(texts: DataFrame) -> DataFrame:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = _Once()
+        for batch in batches:
+            yield once(batch)
+
+    return texts.select("t1", "t2", "text").mapInArrow(keep, "t1 bigint, t2 bigint, text string")
+
+
 def _rows(texts: DataFrame, length: int) -> DataFrame:
     """A row for each run of windows with one anchor: text key, first start, number of starts, anchor, region."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (c for whole in batches for c in chunks(whole, [2])):
+        once = _Once()
+        for batch in (c for whole in batches for c in chunks(once(whole), [2])):
             t1, t2 = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             parts = []
             for k, value in enumerate(batch.column(2)):
@@ -172,11 +204,11 @@ def _digits(texts: DataFrame, length: int, last: bool) -> DataFrame:
     return texts.select("t1", "t2", "text", "open").mapInArrow(make, "t1 bigint, t2 bigint, place bigint, digit bigint")
 
 
-def _repeated(rows: DataFrame, label: str, out: str) -> DataFrame:
-    """Per text the places whose digit occurs twice."""
-    rows = materialize(rows, label)
+def _repeated(rows: DataFrame, label: str, out: str) -> tuple[DataFrame, str]:
+    """Per text the places whose digit occurs twice, and the path of the table read for that."""
+    rows, path = stored(rows, label)
     twice = rows.groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digit")
-    return rows.join(twice, "digit").groupBy("t1", "t2").agg(F.collect_list("place").alias(out))
+    return rows.join(twice, "digit").groupBy("t1", "t2").agg(F.collect_list("place").alias(out)), path
 
 
 def _removed(texts: DataFrame, length: int, keep_text: bool) -> DataFrame:
@@ -223,9 +255,9 @@ def repeats(docs: DataFrame, length: int = 200, keep_text: bool = False) -> Data
     long_rows = rows.where(F.octet_length("text") >= length)
     made = _rows(long_rows, length)
     shared = made.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    left = materialize(made.join(shared, "gram").withColumn("row", F.xxhash64("t1", "t2", "place")), "shared-anchors")
+    left, left_path = stored(made.join(shared, "gram").withColumn("row", F.xxhash64("t1", "t2", "place")), "shared-anchors")
     # Rows of equal texts are one; a region is repeated when two rows differ.
-    regions = materialize(left.groupBy("gram", "region").agg(F.min("row").alias("a"), F.max("row").alias("b")), "regions")
+    regions, regions_path = stored(left.groupBy("gram", "region").agg(F.min("row").alias("a"), F.max("row").alias("b")), "regions")
     several = regions.groupBy("gram").agg(F.min("region").alias("x"), F.max("region").alias("y")).where("x <> y").select("gram", F.lit(True).alias("more"))
     known = regions.join(several, "gram", "left").where("a <> b or more")
     judged = (
@@ -236,12 +268,15 @@ def repeats(docs: DataFrame, length: int = 200, keep_text: bool = False) -> Data
             F.collect_set(F.when(F.col("decided"), F.col("place"))).alias("decided"),
             F.collect_set(F.when(F.col("open"), F.col("place"))).alias("open"))
     )
-    texts = materialize(
-        long_rows.select("t1", "t2", "text").join(judged, ["t1", "t2"]).groupBy("t1", "t2")
-        .agg(*[F.first(c).alias(c) for c in ("text", "decided", "open")]), "texts-with-rows")
+    texts = stored(
+        _distinct_in_tasks(long_rows).join(judged, ["t1", "t2"]).groupBy("t1", "t2")
+        .agg(*[F.first(c).alias(c) for c in ("text", "decided", "open")]), "texts-with-rows")[0]
+    for path in (left_path, regions_path):
+        discard(docs.sparkSession, path)
     opening = texts.where(F.size("open") > 0)
-    third = _repeated(_digits(opening, length, last=False), "third-digits", "open")
-    starts = _repeated(_digits(opening.drop("open").join(third, ["t1", "t2"]), length, last=True), "windows", "starts")
+    third, third_path = _repeated(_digits(opening, length, last=False), "third-digits", "open")
+    starts = _repeated(_digits(opening.drop("open").join(third, ["t1", "t2"]), length, last=True), "windows", "starts")[0]
+    discard(docs.sparkSession, third_path)
     # Texts without open rows have all their spans; only the others move again.
     own = ["t1", "t2", "text", "decided"]
     closed = texts.where(F.size("open") == 0).select(*own, F.lit(None).cast("array<bigint>").alias("starts"))

@@ -228,7 +228,7 @@ def test_repeated_bytes(make_docs, monkeypatch, length, part):
     rng = random.Random(length)
     passages = [prose(rng, 60), prose(rng, 40), "é漢" * 70, "z" * 300]
     texts = [" ".join(rng.choice([prose(rng, 30), rng.choice(passages), rng.choice(passages)[3:]]) for _ in range(rng.randint(1, 4))) for _ in range(50)]
-    texts += [texts[0], texts[0], "", "ab", passages[0]]
+    texts += [texts[0], texts[0], "", "ab", passages[0], *[texts[1]] * 20, *["ab" * 200] * 9]
     want = brute_repeats([t.encode() for t in texts], length)
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(make_docs(list(enumerate(texts))), length).collect()}
     assert [found[k] for k in range(len(texts))] == want
