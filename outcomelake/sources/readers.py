@@ -224,8 +224,9 @@ def decode_order_events(logs: DataFrame, matches: DataFrame, blocks: DataFrame)
     words, or with other than hex digits in them, fails the job.
     """
     body = _bare(F.col("data"))
-    words = F.unhex(F.substring(body, 1, 7 * 64))
-    broken = (F.size("topics") < 4) | (F.octet_length(words) < 7 * 32) | (words.isNull() & F.col("data").isNotNull())
+    digits = F.substring(body, 1, 7 * 64)
+    words = F.unhex(digits)
+    broken = (F.size("topics") < 4) | (F.octet_length(digits) < 7 * 64) | (words.isNull() & F.col("data").isNotNull())
     data = F.when(broken, F.raise_error(F.lit("event log lacks topics or data words"))).otherwise(words)
     buys = F.col("_side") == F.unhex(F.lit("0" * 64))
     decoded = (

@@ -84,8 +84,13 @@ def test_event_log_decoding(spark):
     assert (got[2].amount_usdc, got[2].amount_shares, got[2].side, got[2].price) == (0.5, 2.0, "SELL", 0.25)
     assert [got[i].order_type for i in (1, 2)] == ["maker", "taker"] and got[3].price == 0.0
     assert got[1].user_id == "0x" + f"{0xA1:040x}" and got[1].fee == 0.02 and got[1].builder == "0x" + _word(0xAB)
-    with pytest.raises(Exception, match="lacks topics"):
-        R.decode_order_events(logs.withColumn("data", F.lit("0x00")), matches, blocks).collect()
+    wide = spark.createDataFrame([log(0, 7, 2**200 + 2**70 + 5, 2**64 - 1, 1), log(0, 7, 2**64, 1, 2)], schema)
+    amounts = {r.log_index: (r.amount_usdc, r.amount_shares) for r in R.decode_order_events(wide, matches, blocks).collect()}
+    assert amounts == {1: (float(2**200 + 2**70 + 5) / 1e6, float(2**64 - 1) / 1e6), 2: (float(2**64) / 1e6, 1e-6)}
+    for bad in ("0x00", "0x" + "0" * 447 + "g", "0x" + "0" * 447):
+        with pytest.raises(Exception, match="lacks topics"):
+            R.decode_order_events(logs.withColumn("data", F.lit(bad)), matches, blocks).collect()
+    assert R.decode_order_events(logs.withColumn("data", F.upper(F.substring("data", 3, 448))), matches, blocks).count() == 3
 
 
 def test_metadata_flattening(spark):
