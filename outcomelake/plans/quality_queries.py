@@ -9,14 +9,13 @@ from outcomelake.operators.dims import asset_dimension
 from outcomelake.operators.fills import normalize_fills_v2
 from outcomelake.operators.positions import compute_player_stats
 from outcomelake.plans.fill_queries import V2_SQL
-from outcomelake.plans.fixtures import fills_v2, part_markets, trades
+from outcomelake.plans.fixtures import fills_v2, fills_v2_of, month_lines, part_markets, trades
 from outcomelake.plans.positions_queries import rounded
 from outcomelake.plans.registry import query
-from outcomelake.session import materialize, shared_folder
+from outcomelake.session import materialize, scratch, shared_folder
 from outcomelake.sources import storage
 from outcomelake.sources.lake import Lake
 from outcomelake.schemas import contract
-from outcomelake.session import materialize
 
 # Rules of the raw fill contract that the fixture can break.
 _RULES = {
@@ -103,13 +102,13 @@ _BAD_MONTH = "year(make_timestamp(timestamp * 1000000)) = 1998 AND month(make_ti
 def _(spark, sf):
     """A lake of which one file, that of May 1998, is damaged."""
     lake = Lake(spark, shared_folder(spark, "lake"))
-    at = F.timestamp_seconds("timestamp")
-    fills = materialize(fills_v2(spark, sf), "fills")
-    bad = (F.year(at) == 1998) & (F.month(at) == 5)
     lake.write_partitioned("markets", part_markets(spark, sf).drop("p_size", "p_partkey"))
-    # One file a month: the months are small and each is dealt to one task.
-    for part in (fills.where(~bad), fills.where(bad)):
-        lake.write_partitioned("order_filled_v2", part.repartition(1))
+    with scratch(spark) as keep:
+        lines = month_lines(spark, sf, keep)
+        bad = (F.col("year") == 1998) & (F.col("month") == 5)
+        lake.write_partitioned("order_filled_v2", fills_v2_of(lines.where(~bad)), dealt=True)
+        # The damaged month is one file, so that one file is unreadable: one of the calendar's months, as narrow rows, in one task.
+        lake.write_partitioned("order_filled_v2", fills_v2_of(lines.where(bad).repartition(1)), dealt=True)
     for r in lake.read_outcomes("order_filled_v2").where("year = 1998 AND month = 5").collect():
         storage.write_text(spark, r.path, "damaged")
     report = Q.validate_lake(lake, ["order_filled_v2", "trades"], full=True)
