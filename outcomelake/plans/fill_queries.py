@@ -133,17 +133,17 @@ def _(spark, sf):
     return M.official_outcomes(_metadata(spark, sf))
 
 
-def _known(spark, sf):
-    """Outcomes of the markets in one category were stored before."""
-    rows = _metadata(spark, sf)
-    return M.official_outcomes(rows.where("category = 'economy'"))
+def _current_and_known(spark, sf):
+    """Flattened metadata, parsed once and stored; outcomes of the markets in one category were stored before."""
+    rows = materialize(_metadata(spark, sf), "metadata")
+    return rows, M.official_outcomes(rows.where("category = 'economy'"))
 
 
 @query("d10_refresh_outcomes", f"""
   SELECT * FROM ({_OUTCOMES}) WHERE market_id NOT IN (
     SELECT o.market_id FROM ({_OUTCOMES}) o JOIN ({RAW_SQL}) r ON r.id = o.market_id WHERE r.category = 'economy')""")
 def _(spark, sf):
-    return M.new_outcomes(_metadata(spark, sf), _known(spark, sf))
+    return M.new_outcomes(*_current_and_known(spark, sf))
 
 
 @query("d10_outcome_counts", f"""
@@ -151,7 +151,7 @@ def _(spark, sf):
          count(*) FILTER (id NOT IN (SELECT market_id FROM ({_OUTCOMES}))) AS skipped
   FROM ({RAW_SQL}) WHERE NOT (category = 'economy' AND id IN (SELECT market_id FROM ({_OUTCOMES})))""")
 def _(spark, sf):
-    return M.outcome_counts(_metadata(spark, sf), _known(spark, sf))
+    return M.outcome_counts(*_current_and_known(spark, sf))
 
 
 @query("d11_classify_changes", f"""
