@@ -168,12 +168,10 @@ def _(spark, sf):
     fields = F.struct(*[c for c in fills.columns if c not in ("timestamp", "ingest_seq")])
     first, again = fills.where("ingest_seq = 0"), fills.where("ingest_seq = 1")
     # First run bare and enveloped; the second run wraps each order's fills in an array.
-    bare = first.where("order_type = 'maker'").select(F.to_json(fields).alias("value"))
-    wrapped = first.where("order_type <> 'maker'").select(
-        F.to_json(F.struct(F.lit(1).alias("page"), F.array(fields).alias("events"))).alias("value")
-    )
+    wrapped = F.to_json(F.struct(F.lit(1).alias("page"), F.array(fields).alias("events")))
+    bare = first.select(F.when(F.col("order_type") == "maker", F.to_json(fields)).otherwise(wrapped).alias("value"))
     arrays = again.groupBy("transaction_hash").agg(F.to_json(F.collect_list(fields)).alias("value"))
-    bare.unionByName(wrapped).write.text(f"{path}/run1")
+    bare.write.text(f"{path}/run1")
     arrays.select("value").write.text(f"{path}/run2")
     out = R.import_fill_jsonl(spark, f"{path}/*")
     return out.select(

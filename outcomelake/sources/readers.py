@@ -100,23 +100,28 @@ def parse_fill_events(lines: DataFrame, order: list[str]) -> DataFrame:
     """
     text = F.trim("value")
     # As text: nested JSON read into a string column keeps its JSON form.
-    envelope = F.from_json(text, T.StructType([T.StructField(k, T.StringType()) for k in ENVELOPE_KEYS]))
-    listed = [F.when(F.col(f"_env.{k}").startswith("["), F.col(f"_env.{k}")) for k in ENVELOPE_KEYS]
+    names = (*REQUIRED_FIELDS, *OPTIONAL_FIELDS)
+    fields = T.StructType([T.StructField(f, T.StringType()) for f in names])
+    # An object is parsed once, as an event and as an envelope alike.
+    whole = F.from_json(text, T.StructType([*fields, *[T.StructField(k, T.StringType()) for k in ENVELOPE_KEYS]]))
+    listed = [F.when(F.col(f"_whole.{k}").startswith("["), F.col(f"_whole.{k}")) for k in ENVELOPE_KEYS]
     array_text = F.when(text.startswith("["), text).otherwise(F.coalesce(*listed))
-    fields = T.StructType([T.StructField(f, T.StringType()) for f in (*REQUIRED_FIELDS, *OPTIONAL_FIELDS)])
     known = text.startswith("[") | text.startswith("{")
+    malformed = F.raise_error(F.lit("malformed list of events"))
     events = (
-        lines.withColumn("_env", F.when(text.startswith("{"), envelope))
+        lines.withColumn("_whole", F.when(text.startswith("{"), whole))
+        .withColumn("_array", F.when(known & (F.length(text) > 0), array_text))
+        .withColumn("_parsed", F.from_json("_array", T.ArrayType(fields)))
         .withColumn(
             "_list",
             # Blank lines hold no event; tested here because filters may be reordered.
-            F.when(F.length(text) == 0, F.array().cast("array<string>"))
+            F.when(F.length(text) == 0, F.array().cast(T.ArrayType(fields)))
             .when(~known, F.raise_error(F.lit("neither a JSON object nor a list of objects")))
-            .when(array_text.isNotNull(), F.from_json(array_text, "array<string>"))
-            .otherwise(F.array(text)),
+            .when(F.col("_array").isNotNull(), F.coalesce("_parsed", malformed))
+            .otherwise(F.array(F.struct(*[F.col(f"_whole.{f}").alias(f) for f in names]))),
         )
-        .select(*order, F.posexplode("_list").alias("_pos", "_text"))
-        .withColumn("e", F.from_json("_text", fields))
+        # An outer explode: for an inner one Spark filters empty lists first, and parses every line again for that.
+        .select(*order, F.posexplode_outer("_list").alias("_pos", "e")).where("_pos IS NOT NULL")
     )
     absent = [F.when(F.col(f"e.{f}").isNull(), F.lit(f)) for f in REQUIRED_FIELDS]
     lacks = F.concat_ws(", ", *absent)
