@@ -143,19 +143,23 @@ def missing_assets(
     """D12 — assets referenced by fills but unknown to the metadata, sorted.
 
     ``references`` are (frame, asset column).  Every source is reduced to its
-    distinct assets map-side before anything is shuffled.  ``known_empty`` lists
+    distinct assets map-side before anything is shuffled: known and wanted ones meet in one
+    aggregate, since the planner moves an anti-join below the distinct, to every fill.  A frame with
+    several columns is read once.  ``known_empty`` lists
     assets looked up in vain before; ``limit`` is how many to look up at once.
     """
-    used = [df.select(F.col(c).cast("string").alias("asset")) for df, c in references]
-    wanted = (
-        reduce(DataFrame.unionByName, used)
-        .where(F.col("asset").isNotNull() & ~F.col("asset").isin(CASH_ASSET, ""))
-        .distinct()
-    )
-    for m in markets:
-        tokens = m.select(F.explode(F.array("token1", "token2")).alias("asset")).distinct()
-        wanted = wanted.join(tokens, "asset", "left_anti")
+    frames: dict[int, tuple[DataFrame, list[str]]] = {}
+    for df, c in references:
+        frames.setdefault(id(df), (df, []))[1].append(c)
+
+    def assets(df: DataFrame, columns: list[str], known: bool) -> DataFrame:
+        texts = [F.col(c).cast("string") for c in columns]
+        return df.select((texts[0] if len(texts) == 1 else F.explode(F.array(*texts))).alias("asset"), F.lit(known).alias("known"))
+
+    parts = [assets(df, columns, False) for df, columns in frames.values()]
+    parts += [assets(m, ["token1", "token2"], True) for m in markets]
     if known_empty is not None:
-        wanted = wanted.join(known_empty.select("asset"), "asset", "left_anti")
-    ordered = wanted.orderBy("asset")
+        parts.append(assets(known_empty, ["asset"], True))
+    found = reduce(DataFrame.unionByName, parts).where(F.col("asset").isNotNull() & ~F.col("asset").isin(CASH_ASSET, ""))
+    ordered = found.groupBy("asset").agg(F.bool_or("known").alias("known")).where("NOT known").select("asset").orderBy("asset")
     return ordered if limit is None else ordered.limit(limit)

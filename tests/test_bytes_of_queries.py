@@ -18,6 +18,16 @@ def _stored(spark) -> set[str]:
     return set(os.listdir(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")))
 
 
+def test_missing_assets_meet_in_one_aggregate(spark):
+    fills = spark.createDataFrame([("A", "0"), ("B", "C"), ("C", None), (None, "")], "maker string, taker string")
+    known = spark.createDataFrame([("A", None), ("x", "")], "token1 string, token2 string")
+    found = D.missing_assets([(fills, "maker"), (fills, "taker")], [known], spark.createDataFrame([("B",)], "asset string"))
+    text = plan(found)
+    assert "Join" not in text
+    assert text.count("HashAggregate") == 2
+    assert [r.asset for r in found.collect()] == ["C"]
+
+
 def test_json_lines_are_parsed_once(spark, tmp_path):
     path = tmp_path / "fills.jsonl"
     path.write_text("\n".join(json.dumps(x) for x in [EVENT, [], {"rows": []}, {"data": "none", **EVENT, "id": "2"}]) + "\n  \n")
