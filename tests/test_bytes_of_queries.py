@@ -18,6 +18,12 @@ def _stored(spark) -> set[str]:
     return set(os.listdir(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")))
 
 
+def test_first_generation_fills_are_not_landed(spark):
+    before = _stored(spark)
+    queries()["d01_normalize_fills_v1"](spark, SF_DIR)
+    assert _stored(spark) == before
+
+
 def test_missing_assets_meet_in_one_aggregate(spark):
     fills = spark.createDataFrame([("A", "0"), ("B", "C"), ("C", None), (None, "")], "maker string, taker string")
     known = spark.createDataFrame([("A", None), ("x", "")], "token1 string, token2 string")
