@@ -205,7 +205,9 @@ def _(spark, sf):
                              AND m.order_hash = f.order_hash AND m.side = 'SELL' AND m.log_index > 5)
               THEN 'taker' ELSE 'maker' END AS order_type FROM latest_fills_v2 f""", ("latest_fills_v2",))
 def _(spark, sf):
-    fills = D.dedupe(fills_v2(spark, sf), ["id"], ["ingest_seq"], keep="last")
+    # Fills are read twice, so their latest versions are stored, with the columns that count.
+    versions = fills_v2(spark, sf).select("id", "ingest_seq", "transaction_hash", "order_hash", "side", "log_index")
+    fills = materialize(D.dedupe(versions, ["id"], ["ingest_seq"], keep="last").drop("ingest_seq"), "latest-fills")
     matches = fills.where("side = 'SELL' AND log_index > 5")
     return D.mark_taker_orders(fills, matches).select("id", "order_hash", "transaction_hash", "order_type")
 

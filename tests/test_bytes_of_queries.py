@@ -24,6 +24,11 @@ def test_first_generation_fills_are_not_landed(spark):
     assert _stored(spark) == before
 
 
+def test_latest_fills_are_found_once(spark):
+    text = plan(queries()["d14_mark_taker_orders"](spark, SF_DIR))
+    assert "Window" not in text and "lineitem.parquet" not in text
+
+
 def test_missing_assets_meet_in_one_aggregate(spark):
     fills = spark.createDataFrame([("A", "0"), ("B", "C"), ("C", None), (None, "")], "maker string, taker string")
     known = spark.createDataFrame([("A", None), ("x", "")], "token1 string, token2 string")
