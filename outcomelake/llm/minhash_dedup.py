@@ -7,7 +7,8 @@ off, and the full sets of both texts decide.
 Three things keep lists short.  Equal sets are one class from the start.  A first round ties
 every document only to the least of its lists; what that confirms is a component, and the
 second round compares across components only.  The second round's lists are of two
-neighbouring values, the same for every document however many others hold them.
+neighbouring values, the same for every document however many others hold them; members of
+long lists meet by their rarest shingles instead, which loses nothing.
 """
 
 from __future__ import annotations
@@ -81,7 +82,7 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, str]:
-    """Id and text of the documents among ``ids``, and the path of that table.
+    """Id and text of the documents among ``ids``, with other columns of those, and the path of that table.
 
     The ids grow with the input, so this is a join by shuffle at every size.
     """
@@ -130,41 +131,102 @@ def _keys(values: Column) -> Column:
 def _second_links(classes: DataFrame, tied: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """All links across components, of pairs that share two neighbouring proposing values and have sizes within reach.
 
-    Pairs of short lists are rows.  The members of long lists, families of texts that
-    are alike but mostly not linked, are put in order and cut into blocks instead, and
-    tasks compare two blocks at a time.
+    Pairs of short lists are rows.  The members of long lists, families of texts that are
+    alike but mostly not linked, meet again in lists of their rarest shingles; what shares
+    even those with many is cut into blocks, and tasks compare two blocks at a time.
     """
+    spark = docs.sparkSession
     placed = materialize(
         classes.join(tied.withColumnRenamed("node", "rep"), "rep", "left")
         .select("rep", "n", "sketch", F.coalesce("component", "rep").alias("comp")), "placed")
     # All documents propose by the same rule: a key that one side leaves out meets nothing on the other.
     keys = _keys(F.slice("sketch", 1, PROPOSING))
-    proposing, all_keys = stored(placed.select(
-        "rep", "n", "comp", F.element_at("sketch", 1).alias("least"), F.explode(F.array_distinct(keys)).alias("key")), "proposing")
+    proposing, all_keys = stored(placed.select("rep", "n", "comp", F.explode(F.array_distinct(keys)).alias("key")), "proposing")
+    rows, mixed_keys = _mixed(proposing, "proposing-mixed")
+    discard(spark, all_keys)
+    pairs = _short_pairs(rows, percent)
+    family = _family(rows.where(F.col("members") > SHORT), placed, percent)
+    pairs = materialize(_near(pairs, classes, percent), "pairs")
+    discard(spark, mixed_keys)
+    wanted = _ends(pairs).select("id", F.lit(None).cast(dict(family.dtypes)["comp"]).alias("comp")) \
+        .union(family.select("rep", "comp")).groupBy("id").agg(F.max("comp").alias("comp"))
+    texts, path = _texts(docs, wanted)
+    rare, rare_path = _rare_lists(texts, width, percent)
+    rare_pairs = materialize(_near(_short_pairs(rare, percent), classes, percent), "pairs")
+    long_rows = rare.where(F.col("members") > SHORT)
+    blocks = _family_blocks(long_rows)
+    near, members, scratch = _near_members(long_rows, blocks, placed, percent)
+    links = _confirmed(pairs.union(rare_pairs).distinct(), texts, width, percent).union(_block_links(near, members, texts, width, percent))
+    for old in (path, rare_path, *scratch):
+        discard(spark, old)
+    return links
+
+
+def _mixed(proposing: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The rows of lists (``key``) that hold more than one component, with their number of ``members``, and the path of that table."""
     mixed = proposing.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count(F.lit(1)).alias("members")) \
         .where("a < b").select("key", "members")
-    rows, mixed_keys = stored(proposing.join(mixed, "key"), "proposing-mixed")
-    discard(docs.sparkSession, all_keys)
+    return stored(proposing.join(mixed, "key"), label)
+
+
+def _short_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components of the lists that are not long."""
     short = rows.where(F.col("members") <= SHORT)
     a = short.select("key", F.col("rep").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("c_u"))
     b = short.select("key", F.col("rep").alias("v"), F.col("n").alias("n_v"), F.col("comp").alias("c_v"))
     sized = (100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
-    pairs = a.join(b, "key").where((F.col("u") < F.col("v")) & (F.col("c_u") != F.col("c_v")) & sized).select("u", "v").distinct()
-    pairs = materialize(_near(pairs, classes, percent), "pairs")
-    long_rows = rows.where(F.col("members") > SHORT)
-    blocks = _family_blocks(long_rows)
-    near, members, scratch = _near_members(long_rows, blocks, placed, percent)
-    discard(docs.sparkSession, mixed_keys)
-    texts, path = _texts(docs, _ends(pairs).union(near.select("rep")))
-    links = _confirmed(pairs, texts, width, percent).union(_block_links(near, members, texts, width, percent))
-    for old in (path, *scratch):
-        discard(docs.sparkSession, old)
-    return links
+    return a.join(b, "key").where((F.col("u") < F.col("v")) & (F.col("c_u") != F.col("c_v")) & sized).select("u", "v").distinct()
+
+
+def _family(rows: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """``rep`` and ``comp`` of the members of long lists that share enough of their sketch with other components to be near any."""
+    values = placed.join(rows.select("rep").distinct(), "rep").select(
+        "rep", "comp", F.size("sketch").alias("stored"), F.explode("sketch").alias("key"))
+    values, path = stored(values, "family-values")
+    mixed = values.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
+    # Texts of one id count together, which only keeps more.
+    found = values.join(mixed, "key").groupBy("rep", "comp").agg(F.count(F.lit(1)).alias("held"), F.min("stored").alias("stored")) \
+        .where(100 * F.col("held") >= FAR_OFF * percent * F.col("stored")).select("rep", "comp")
+    found = materialize(found, "family")
+    discard(rows.sparkSession, path)
+    return found
+
+
+def _rare_lists(texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, str]:
+    """Lists (``key``) of the rarest shingles of the texts that have a ``comp``, and the path of that table.
+
+    A text of n shingles links only with one that shares at least percent * n / 100 of them.
+    In one order of all shingles, first those of a single component, then by the number of
+    texts that hold them, two linked texts share one of the first n - percent * n / 100 + 1 of
+    either: nothing is lost.  Texts whose own shingles fill those places leave here, and a
+    passage that many share makes no list unless it is nearly all of a text.
+    """
+    def fill(columns: dict[str, pa.Array]) -> list[pa.Array]:
+        sets = [shingles(v.as_py(), width) for v in columns["text"]]
+        return [pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
+
+    family = texts.where("comp is not null").select(F.col("id").alias("rep"), "comp", F.xxhash64("text").alias("t"), "text")
+    fields = [T.StructField("n", T.LongType()), T.StructField("values", T.ArrayType(T.LongType()))]
+    sets, path = stored(append_columns(family, fields, fill, ["text"], ["rep", "comp", "t"]), "family-sets")
+    common = sets.select("comp", F.explode("values").alias("key")).groupBy("key") \
+        .agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count(F.lit(1)).alias("texts")).where("a < b").select("key", "texts")
+    held = sets.select("rep", "comp", "t", "n", F.explode("values").alias("key")).join(common, "key") \
+        .groupBy("rep", "comp", "t", "n").agg(F.array_sort(F.collect_set(F.struct("texts", "key"))).alias("held"))
+    needed = F.ceil(percent * F.col("n") / 100)
+    first = held.where(F.size("held") >= needed).select(
+        "rep", "comp", "n", F.explode(F.slice("held", 1, (F.size("held") - needed + 1).cast("int"))).alias("s"))
+    rare, rare_path = stored(first.select("rep", "comp", "n", F.col("s.key").alias("key")), "rare")
+    lists = _mixed(rare, "rare-mixed")
+    for old in (path, rare_path):
+        discard(texts.sparkSession, old)
+    return lists
 
 
 def _family_blocks(rows: DataFrame) -> DataFrame:
-    """The members of long lists with their blocks of at most ``BLOCK``, in the order of their least values and sizes."""
-    members = numbered(rows.groupBy("rep").agg(F.min("least").alias("least"), F.min("n").alias("n")), ["least", "n", "rep"], "family-order")
+    """The members of long lists with their blocks of at most ``BLOCK``, in the order of their least keys; components stay together."""
+    whole = rows.groupBy("comp").agg(F.min("key").alias("least"), F.min("n").alias("low"))
+    single = rows.groupBy("rep", "comp").agg(F.min("n").alias("n")).join(whole, "comp")
+    members = numbered(single, ["least", "low", "comp", "n", "rep"], "family-order")
     return materialize(members.select("rep", F.floor(F.col("number") / BLOCK).alias("block")), "family-blocks")
 
 
@@ -177,10 +239,13 @@ def _near_members(rows: DataFrame, blocks: DataFrame, placed: DataFrame, percent
     # Lists of one family mostly meet in the same blocks: distinct sets of blocks come first, then their pairs.
     sets = rows.join(blocks, "rep").groupBy("key").agg(F.array_sort(F.collect_set("block")).alias("met")).select("met").distinct()
     meeting = sets.select(F.explode("met").alias("x"), "met").select("x", F.explode("met").alias("y")).where("x <= y").distinct()
-    ranges = members.groupBy("block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    side = lambda name: ranges.select(F.col("block").alias(name), F.col("low").alias(f"low_{name}"), F.col("high").alias(f"high_{name}"))
+    ranges = members.groupBy("block").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("comp").alias("one"), F.max("comp").alias("other"))
+    side = lambda name: ranges.select(F.col("block").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("low", "high", "one", "other")])
     reach = (100 * F.col("high_x") >= percent * F.col("low_y")) & (100 * F.col("high_y") >= percent * F.col("low_x"))
-    meeting = meeting.join(side("x"), "x").join(side("y"), "y").where(reach).select("x", "y")
+    # Two blocks of one and the same component have nothing to find.
+    same = (F.col("one_x") == F.col("other_x")) & (F.col("one_y") == F.col("other_y")) & (F.col("one_x") == F.col("one_y"))
+    meeting = meeting.join(side("x"), "x").join(side("y"), "y").where(reach & ~same).select("x", "y")
     sides = meeting.select("x", "y", F.col("x").alias("block")).union(meeting.where("x < y").select("x", "y", "y"))
 
     def find(group: pd.DataFrame) -> pd.DataFrame:
@@ -198,7 +263,7 @@ def _block_links(near: DataFrame, members: DataFrame, texts: DataFrame, width: i
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         return _links_of_blocks(group, width, percent)
 
-    full = near.join(members, "rep").join(texts.withColumnRenamed("id", "rep"), "rep")
+    full = near.join(members, "rep").join(texts.select(F.col("id").alias("rep"), "text"), "rep")
     kind = dict(members.dtypes)["rep"]
     return materialize(full.groupBy("x", "y").applyInPandas(compare, f"u {kind}, v {kind}"), "family-links")
 

@@ -92,6 +92,29 @@ def test_near_duplicates_with_text_ids(spark):
     assert got == {f"d{k:02d}": f"d{want[k]:02d}" for k in range(60)} and len(set(got.values())) == 20
 
 
+def test_texts_that_share_a_passage_but_little_else_are_not_compared_in_pairs(make_docs, monkeypatch):
+    words = lambda rng, n: " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(n))
+    rng, compared = random.Random(7), []
+    passage = words(rng, 130)
+    texts = [f"{passage} {words(rng, 70)}" for _ in range(200)]  # 65 % alike, each in lists of about 200
+    texts += [f"{t} again" for t in texts[:20]]
+    blocks = minhash_dedup._family_blocks
+    monkeypatch.setattr(minhash_dedup, "FIRST", 0)  # only the second round ties the copies
+    monkeypatch.setattr(minhash_dedup, "_family_blocks", lambda rows: compared.append(rows.count()) or blocks(rows))
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(make_docs(list(enumerate(texts))), 3, 85).collect()}
+    assert got == {k: k % 200 for k in range(220)} and compared == [0]
+
+
+def test_blocks_of_one_component_are_not_compared(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 4)
+    members = [(k, 7, 50, [1, 2, 3], 11) for k in range(40)] + [(100, 100, 50, [1, 2, 4], 11)]
+    placed = spark.createDataFrame(members, "rep long, comp long, n long, sketch array<long>, key long")
+    blocks = minhash_dedup._family_blocks(placed.drop("sketch"))
+    near, _, _ = minhash_dedup._near_members(placed.select("rep", "key"), blocks, placed.drop("key"), 80)
+    pairs = {(r.x, r.y) for r in near.collect()}
+    assert len(pairs) == 10 and {b for _, b in pairs} == {10} and {r.rep for r in near.collect()} == {*range(40), 100}
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     rows = minhash_dedup.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
