@@ -19,7 +19,7 @@ from outcomelake.llm.common import append_columns, labelled_sample, mix, windows
 
 WHITE = " \t\n\r\x0b\x0c"
 SYMBOLS = "#*$%&|<>"
-#: Buckets of hashed n-grams, as a power of two.
+#: Buckets of hashed n-grams, as a power of two; at most 16, as buckets take two bytes.
 BITS = 16
 #: Fixed limits.
 LEAST_WORDS, MOST_REPEATED_PERCENT, LEAST_PROBABILITY = 10, 20, 0.2
@@ -39,12 +39,12 @@ class NgramModel:
 
 
 def _features(text: str, words: np.ndarray) -> list[np.ndarray]:
-    """Buckets of words, word pairs and runs of three characters."""
+    """Buckets of words, word pairs and runs of three characters, two bytes each."""
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
     grams = points[:-2] * np.uint64(0x9E3779B1) + points[1:-1] * np.uint64(0x85EBCA77C2B2AE63) \
         + points[2:] * np.uint64(0xC2B2AE3D27D4EB4F) if len(points) > 2 else points[:0]
     families = [words, windows(words, 2) if len(words) > 1 else words[:0], grams]
-    return [(mix(f + np.uint64(k)) >> np.uint64(64 - BITS)).astype(np.int64) for k, f in enumerate(families)]
+    return [(mix(f + np.uint64(k)) >> np.uint64(64 - BITS)).astype(np.uint16) for k, f in enumerate(families)]
 
 
 def _words(text: str) -> np.ndarray:
@@ -71,15 +71,18 @@ def fit(
     bias, squares, bias_square = 0.0, np.full(1 << BITS, 1e-8), 1e-8
 
     def flat(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Buckets, the row of each, and its share in the row's sum."""
-        at = [(f, np.full(len(f), k), np.full(len(f), 1.0 / len(f))) for k, r in enumerate(rows) for f in features[r] if len(f)]
-        return tuple(np.concatenate(x) for x in zip(*at)) if at else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        """Buckets, the row of each, and its share in the row's sum; of one batch at a time, as they take many times the sample."""
+        at = [(f, k) for k, r in enumerate(rows) for f in features[r] if len(f)]
+        if not at:
+            return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        sizes = np.array([len(f) for f, _ in at])
+        return np.concatenate([f for f, _ in at]), np.repeat([k for _, k in at], sizes), np.repeat(1.0 / sizes, sizes)
 
     fitted = np.flatnonzero(~back)
-    batches = [flat(b) + (y[b],) for b in np.array_split(rng.permutation(fitted), max(1, len(fitted) // 48))]
+    batches = np.array_split(rng.permutation(fitted), max(1, len(fitted) // 48))
     for _ in range(epochs):
         for k in rng.permutation(len(batches)):
-            bucket, row, share, truth = batches[k]
+            (bucket, row, share), truth = flat(batches[k]), y[batches[k]]
             z = bias + np.bincount(row, weights[bucket] * share, len(truth))
             wrong = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - truth) / len(truth)
             slope = np.bincount(bucket, wrong[row] * share, 1 << BITS)

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -100,6 +101,22 @@ def test_quality_rules(spark, make_docs, odd_docs, no_docs):
     assert quality_rules.accepted(docs, labels).columns == docs.columns
 
 
+def test_quality_fit_holds_one_batch_at_a_time(monkeypatch, spark, make_docs):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(500)]
+    sample = [(k, " ".join(rng.choices(words, k=1000)), k % 2) for k in range(600)]
+    monkeypatch.setattr(quality_rules, "labelled_sample", lambda *_: sample)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(600)], "doc_id bigint, quality int")
+    tracemalloc.start()
+    try:
+        quality_rules.fit(make_docs([]), labels, epochs=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # Two bytes a bucket, and what a batch of about 48 texts needs.
+    assert peak < 8 * sum(len(text) for _, text, _ in sample)
+
+
 def test_language_network_gradients():
     """Backpropagation through time against differences of the loss."""
     import numpy as np
