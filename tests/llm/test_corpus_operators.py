@@ -202,6 +202,37 @@ def test_copies_under_neighbouring_urls_keep_their_text(spark):
     assert got[4] == got[5] == "\n".join(("Welcome to us", *story, "All rights, whoever reads"))
 
 
+def test_articles_lose_what_all_their_neighbours_share(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "BLOCK", 5)  # voters in other blocks count
+    own = lambda k: [f"Own text number {k} of page {k}, said once", "A sentence that every other article has"][:1 + k % 2]
+
+    def page(k, *more):
+        body = "".join(f"<p>{t}</p>" for t in (*own(k), *more))
+        return f"<nav>menu</nav><article><h1>Story {k}</h1><p>Share this story</p><h2>Results</h2>{body}<h3>More</h3><p>Write to our editors</p></article>"
+
+    rows = [(k, f"http://h.org/{k:03d}", page(k)) for k in range(30)]
+    rows += [(100 + k, f"http://few.org/{k}", page(k)) for k in range(5)]  # too few to tell
+    # Half of them are short copies of the others, which differ by a word: these are one voice.
+    long = lambda k: [f"Copy {k}", "The same long text " * 9][:2 * (k < 12)]
+    rows += [(200 + k, f"http://copies.org/{k:03d}", page(7, *long(k))) for k in range(24)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    for k in range(30):
+        assert got[k] == "\n".join((f"Story {k}", "Results", *own(k)))
+    whole = lambda k, *more: "\n".join((f"Story {k}", "Share this story", "Results", *own(k), *more, "More", "Write to our editors"))
+    assert all(got[100 + k] == whole(k) for k in range(5))
+    assert all(got[200 + k] == whole(7, *[t.strip() for t in long(k)]) for k in range(24))
+    bare = html_text.lines("<article><h1>Same</h1><p>Same words</p></article>")
+    assert html_text.main_text(bare, {0, 1}) == "Same\nSame words"
+
+
+def test_given_articles_are_kept_whole(spark):
+    """Every given page holds a heading and one of the given documents; no line of those may go."""
+    rows = html_text.extract(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).select("text").collect()
+    tidy = lambda text: "\n".join(x for x in (" ".join(line.split()) for line in text.split("\n")) if x)
+    documents = {tidy(r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r.text}
+    assert rows and all(r.text.partition("\n")[2] in documents for r in rows)
+
+
 VECTORS = "vec_id bigint, embedding array<float>, label int"
 
 
