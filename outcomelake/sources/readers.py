@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -216,6 +217,16 @@ def _word_amount(number: int) -> Column:
     return F.when(small, part(F.lit(at + 24))).otherwise(wide) / 1e6
 
 
+def _word_text(number: int) -> Column:
+    """A word as decimal text: below 2^120 by two parts and one decimal product, else as ``uint256_text`` does."""
+    at = 32 * number + 1
+    part = lambda start: F.conv(F.hex(F.substring("_body", start, 8)), 16, 10)
+    # The upper part is below 2^56 here, so the product has at most 38 digits.
+    upper = part(at + 16).cast("decimal(17,0)") * F.lit(Decimal(2 ** 64)).cast("decimal(20,0)")
+    narrow = F.substring("_body", at, 17) == F.unhex(F.lit("0" * 34))
+    return F.when(narrow, (upper + part(at + 24).cast("decimal(20,0)")).cast("string")).otherwise(uint256_text(F.hex(_word(number))))
+
+
 def _address(topic: Column) -> Column:
     return F.concat(F.lit("0x"), F.lower(F.right(topic, F.lit(40))))
 
@@ -245,7 +256,7 @@ def decode_order_events(logs: DataFrame, matches: DataFrame, blocks: DataFrame)
             hex_long(F.col("blockNumber")).alias("block_number"),
             F.lower("address").alias("exchange"),
             _address(F.get("topics", F.lit(2))).alias("user_id"),
-            _word(1).alias("_asset_word"),
+            _word_text(1).alias("asset"),
             F.when(buys, F.col("_maker")).otherwise(F.col("_taker")).alias("amount_usdc"),
             F.when(buys, F.col("_taker")).otherwise(F.col("_maker")).alias("amount_shares"),
             F.when(buys, "BUY").otherwise("SELL").alias("side"),
@@ -256,9 +267,6 @@ def decode_order_events(logs: DataFrame, matches: DataFrame, blocks: DataFrame)
             F.concat(F.lit("0x"), F.lower(F.hex(_word(6)))).alias("metadata"),
         )
     )
-    # Assets are few beside fills: each distinct word is converted once.
-    assets = decoded.select("_asset_word").where("_asset_word IS NOT NULL").distinct().withColumn("asset", uint256_text(F.hex("_asset_word")))
-    decoded = decoded.join(assets, "_asset_word", "left").drop("_asset_word")
     matched = matches.select(
         F.lower("transactionHash").alias("transaction_hash"),
         F.lower(F.get("topics", F.lit(1))).alias("order_hash"),

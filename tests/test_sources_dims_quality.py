@@ -93,6 +93,20 @@ def test_event_log_decoding(spark):
     assert R.decode_order_events(logs.withColumn("data", F.upper(F.substring("data", 3, 448))), matches, blocks).count() == 3
 
 
+def test_asset_words_are_converted_where_they_are(spark):
+    """No second reading of the logs and no shuffle of decoded rows for their assets."""
+    values = [0, 1, 2**56 - 1, 2**63, 2**64 - 1, 2**64, 2**96 + 12345, 2**119 + 1, 2**120 - 1, 2**120, 2**126, 10**38, 2**256 - 1]
+    data = [(k, "0x10", "0xEX", "0xTX", hex(k), ["0xf", "0xo", "0xa", "0xb"], "0x" + "".join(_word(n) for n in (0, v, 1, 1, 0, 0, 0)))
+            for k, v in enumerate(values)]
+    logs = spark.createDataFrame(data, "k int, blockNumber string, address string, transactionHash string, logIndex string, topics array<string>, data string")
+    matches = spark.createDataFrame([], "transactionHash string, topics array<string>")
+    blocks = spark.createDataFrame([(16, 1704067200)], "block_number long, block_timestamp long")
+    decoded = R.decode_order_events(logs, matches, blocks)
+    assert {r.log_index: r.asset for r in decoded.collect()} == {k: str(v) for k, v in enumerate(values)}
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2 - (plan.count("LocalRelation <empty>") > 0)
+
+
 def test_metadata_flattening(spark):
     base = {"id": "m", "title": "T", "outcomes": '["Yes","No"]', "clobTokenIds": '["1","2"]', "createdAt": "2024-01-01T00:00:00Z"}
     rows = [
