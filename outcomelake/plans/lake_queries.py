@@ -106,8 +106,8 @@ def _(spark, sf):
     )
 
 
-def _drifting_lake(spark, sf, v2: bool = False) -> Lake:
-    """Amounts as integers in older files and as text, with one more column, in newer ones; with ``v2`` its fills as well."""
+def _drifting_lake(spark, sf) -> Lake:
+    """Amounts as integers in older files and as text, with one more column, in newer ones."""
     lake = _lake(spark)
     amounts = ("makerAmountFilled", "takerAmountFilled")
     with scratch(spark) as keep:
@@ -116,8 +116,6 @@ def _drifting_lake(spark, sf, v2: bool = False) -> Lake:
         old = fills.where("makerAssetId = '0'")
         lake.write_partitioned("orderFilled", old.withColumns({c: F.col(c).cast("long") for c in amounts}), dealt=True)
         lake.write_partitioned("orderFilled", fills.where("makerAssetId <> '0'").withColumn("venue", F.lit("x")), dealt=True)
-        if v2:
-            lake.write_partitioned("order_filled_v2", fills_v2_of(lines), dealt=True)
     return lake
 
 
@@ -211,9 +209,9 @@ def _(spark, sf):
     return R.flatten_market_metadata(raw_markets(spark, sf))
 
 
-def _metadata_lake(spark, sf) -> Lake:
-    """A lake with both fill generations, market metadata and the asset dimension."""
-    lake = _drifting_lake(spark, sf, v2=True)
+def _metadata_lake(spark, sf, fills: str) -> Lake:
+    """A lake with the fill generation that is read, the first in two kinds of files, market metadata and the asset dimension."""
+    lake = _drifting_lake(spark, sf) if fills == "orderFilled" else _fill_lake(spark, sf)
     lake.write_partitioned("markets", part_markets(spark, sf).drop("p_size", "p_partkey"))
     lake.publish_snapshot("market_assets", asset_dimension(part_markets(spark, sf)))
     return lake
@@ -223,7 +221,7 @@ def _metadata_lake(spark, sf) -> Lake:
   SELECT 'orderFilled' AS source, count(*) AS rows FROM fills_v1 UNION ALL
   SELECT 'markets', count(*) FROM part_markets UNION ALL SELECT 'trades', 0""", ("fills_v1", "part_markets"))
 def _(spark, sf):
-    lake = _metadata_lake(spark, sf)
+    lake = _metadata_lake(spark, sf, "orderFilled")
     frames = {"orderFilled": lake.scan_order_filled(), "markets": lake.scan_markets(), "trades": lake.scan_trades()}
     counts = [df.agg(F.lit(s).alias("source"), F.count(F.lit(1)).alias("rows")) for s, df in frames.items()]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
@@ -237,7 +235,7 @@ _ADHOC = """
 @query("l12_adhoc_sql", _ADHOC.format(fills="fills_v2", assets="assets"),
        ("fills_v2", "assets"))
 def _(spark, sf):
-    lake = _metadata_lake(spark, sf)
+    lake = _metadata_lake(spark, sf, "order_filled_v2")
     lake.register_views(["order_filled_v2", "market_assets"])
     return spark.sql(_ADHOC.format(fills="order_filled_v2", assets="market_assets"))
 
@@ -324,7 +322,7 @@ def _(spark, sf):
   SELECT 'market_assets', count(*), max(timestamp) FROM assets UNION ALL SELECT 'trades', 0, -1""",
        ("fills_v2", "assets"))
 def _(spark, sf):
-    inventory = _metadata_lake(spark, sf).source_inventory(["order_filled_v2", "market_assets", "trades"])
+    inventory = _metadata_lake(spark, sf, "order_filled_v2").source_inventory(["order_filled_v2", "market_assets", "trades"])
     return inventory.select("source", "rows", F.coalesce("latest_timestamp", F.lit(-1)).alias("latest_timestamp"))
 
 
@@ -383,7 +381,7 @@ def _(spark, sf):
 
 @query("l19_process_incremental_v1", V1_SQL, ("fills_v1", "assets"))
 def _(spark, sf):
-    lake = _metadata_lake(spark, sf)
+    lake = _metadata_lake(spark, sf, "orderFilled")
     lake.process_v1()
     assert lake.process_v1() == 0
     return lake.scan("trades").drop("year", "month")
@@ -414,7 +412,7 @@ def _(spark, sf):
 
 @query("l20_export_snapshot", _monthly_sql("fills_v2", "amount_usdc"), ("fills_v2",))
 def _(spark, sf):
-    lake = _metadata_lake(spark, sf)
+    lake = _metadata_lake(spark, sf, "order_filled_v2")
     target = shared_folder(spark, "export")
     lake.export_snapshot(["order_filled_v2", "market_assets"], "2026-01-01", target)
     return _monthly(spark.read.parquet(f"{target}/2026-01-01/order_filled_v2"), "amount_usdc")

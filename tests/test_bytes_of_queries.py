@@ -10,6 +10,7 @@ import pytest
 from __spark_entry__ import queries
 from outcomelake.operators import dims as D
 from outcomelake.sources import readers as R
+from outcomelake.sources.lake import Lake
 from test_plans import SF_DIR, plan
 from test_sources_dims_quality import EVENT
 
@@ -54,3 +55,11 @@ def test_json_lists_that_do_not_parse_fail(spark, tmp_path, line):
     path.write_text(line)
     with pytest.raises(Exception, match="malformed list of events|missing fields"):
         R.import_fill_jsonl(spark, str(path)).collect()
+
+
+def test_only_fills_that_are_read_are_landed(spark, monkeypatch):
+    landed = []
+    write = Lake.write_partitioned
+    monkeypatch.setattr(Lake, "write_partitioned", lambda lake, source, *a, **k: (landed.append(source), write(lake, source, *a, **k))[1])
+    queries()["l12_adhoc_sql"](spark, SF_DIR)
+    assert landed.count("order_filled_v2") == 1 and "orderFilled" not in landed
