@@ -22,7 +22,7 @@ from outcomelake.plans.fixtures import (
     trades,
 )
 from outcomelake.plans.registry import query
-from outcomelake.session import materialize, scratch, shared_folder
+from outcomelake.session import freed_shuffles, materialize, scratch, shared_folder
 from outcomelake.sources import readers as R
 from outcomelake.sources.lake import Lake
 from outcomelake.streaming.incremental import current_bars, fills_to_trades, read_fill_stream, trades_to_bars
@@ -162,15 +162,15 @@ def _(spark, sf):
        ("latest_fills_v2",))
 def _(spark, sf):
     path = shared_folder(spark, "jsonl")
-    fills = fills_v2(spark, sf)
-    fields = F.struct(*[c for c in fills.columns if c not in ("timestamp", "ingest_seq")])
-    first, again = fills.where("ingest_seq = 0"), fills.where("ingest_seq = 1")
+    first, again = fills_v2(spark, sf, 0), fills_v2(spark, sf, 1)
+    fields = F.struct(*[c for c in first.columns if c not in ("timestamp", "ingest_seq")])
     # First run bare and enveloped; the second run wraps each order's fills in an array.
     wrapped = F.to_json(F.struct(F.lit(1).alias("page"), F.array(fields).alias("events")))
     bare = first.select(F.when(F.col("order_type") == "maker", F.to_json(fields)).otherwise(wrapped).alias("value"))
     arrays = again.groupBy("transaction_hash").agg(F.to_json(F.collect_list(fields)).alias("value"))
-    bare.write.text(f"{path}/run1")
-    arrays.select("value").write.text(f"{path}/run2")
+    with freed_shuffles(spark):
+        bare.write.option("compression", "gzip").text(f"{path}/run1")
+        arrays.select("value").write.option("compression", "gzip").text(f"{path}/run2")
     out = R.import_fill_jsonl(spark, f"{path}/*")
     return out.select(
         "id", "timestamp", "block_number", "asset", "amount_usdc", "amount_shares", "price", "side",
