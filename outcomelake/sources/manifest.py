@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from outcomelake.session import freed_shuffles
 from outcomelake.sources import storage
 
 COMMIT = "_commit"
@@ -116,7 +117,8 @@ class Manifest:
     def switch(self, facts: DataFrame, replaces: list[tuple[str, int, int]] = ()) -> None:
         """Name the files of a commit and the months of commits that they replace, in one file."""
         gone = self.spark.createDataFrame([("drop", *unit) for unit in replaces], f"op string, {COMMIT} string, year int, month int")
-        facts.unionByName(gone, allowMissingColumns=True).coalesce(1).write.mode("append").json(self.table)
+        with freed_shuffles(self.spark):
+            facts.unionByName(gone, allowMissingColumns=True).coalesce(1).write.mode("append").json(self.table)
 
     # -- upkeep --------------------------------------------------------------
 
